@@ -81,16 +81,22 @@ def _direction(diff: Column) -> Column:
     return F.when(rnd_agg(diff, 6) > 0, F.lit("slower")).otherwise(F.lit("faster"))
 
 
-_WINDY, _CALM = c("wind_kmh") >= 25, c("wind_kmh") < 15
-_WET, _DRY = c("rain") >= 2.0, c("rain") < 0.5
+def _wind() -> tuple[Column, Column]:
+    """Windy and calm."""
+    return c("wind_kmh") >= 25, c("wind_kmh") < 15
+
+
+def _rain() -> tuple[Column, Column]:
+    """Wet and dry."""
+    return c("rain") >= 2.0, c("rain") < 0.5
 
 
 def wind_impact(runs: DataFrame) -> DataFrame:
-    return _impact(runs, _WINDY, _CALM)
+    return _impact(runs, *_wind())
 
 
 def rain_impact(runs: DataFrame) -> DataFrame:
-    return _impact(runs, _WET, _DRY)
+    return _impact(runs, *_rain())
 
 
 def weather_summary(runs: DataFrame) -> DataFrame:
@@ -100,8 +106,8 @@ def weather_summary(runs: DataFrame) -> DataFrame:
         inside = W.temp_bucket(c("temp")) == label
         buckets[f"_n{i}"] = F.count(F.when(inside, 1))
         buckets[f"_p{i}"] = F.avg(F.when(inside, c("pace")))
-    wind, n_windy, n_calm = _contrast(_WINDY, _CALM)
-    rain, n_wet, n_dry = _contrast(_WET, _DRY)
+    wind, n_windy, n_calm = _contrast(*_wind())
+    rain, n_wet, n_dry = _contrast(*_rain())
     found = runs.groupBy(ATHLETE).agg(
         F.count("*").alias("n_runs"),
         *[e.alias(n) for n, e in buckets.items()],

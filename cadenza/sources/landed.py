@@ -24,8 +24,11 @@ def _or_zero(x: Column) -> Column:
     return F.coalesce(x, F.lit(0.0))
 
 
-def normalise_activities(payload: DataFrame) -> DataFrame:
-    """Activity payloads to raw activities without weather and audit columns."""
+def normalise_activities(payload: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Activity payloads to raw activities without weather and audit columns.
+
+    ``keep`` names payload columns to carry along at the end.
+    """
     km = rnd(_or_zero(F.col("distance")) / 1000, 2)
     minutes = rnd(_or_zero(F.col("duration")) / 60, 2)
     measured = payload.withColumns({"_km": km, "_min": minutes})
@@ -63,10 +66,10 @@ def normalise_activities(payload: DataFrame) -> DataFrame:
         "aerobic_training_effect": F.col("aerobicTrainingEffect"),
         "anaerobic_training_effect": F.col("anaerobicTrainingEffect"),
     }
-    return measured.select(*[c.alias(n) for n, c in fields.items()])
+    return measured.select(*[c.alias(n) for n, c in fields.items()], *keep)
 
 
-def normalise_weather(payload: DataFrame) -> DataFrame:
+def normalise_weather(payload: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per-activity weather: ``weather_json`` (array or object) to the six fields."""
     first = F.get(F.from_json("weather_json", schemas.WEATHER_PAYLOAD), 0)
     read = payload.withColumn("_w", first)
@@ -77,6 +80,7 @@ def normalise_weather(payload: DataFrame) -> DataFrame:
     return read.select(
         "athlete_id",
         "activity_id",
+        *keep,
         W.celsius(w["temp"]).alias("weather_temp_c"),
         W.celsius(w["apparentTemp"]).alias("weather_feels_like_c"),
         w["relativeHumidity"].alias("weather_humidity_pct"),
