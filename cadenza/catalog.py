@@ -18,6 +18,7 @@ from cadenza.functions import activity as A
 from cadenza.functions import dates as D
 from cadenza.functions import text as T
 from cadenza.functions.numeric import rnd_agg, safe_divide
+from cadenza.functions.reuse import reusable
 from cadenza.operators import keyed, quality, shaping
 from cadenza.operators.windows import newest
 from cadenza.plans import build, checks, coaching, dashboard, health, overview, race, staging
@@ -157,24 +158,20 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     df = QUERIES[name](Tables(spark, sf_dir))
     if not ROUNDED[name]:
         return df
-    return df.withColumns({n: rnd_agg(c(n), 6) for n in ROUNDED[name]})
+    return df.withColumns(_cut(tuple(ROUNDED[name])))
 
 
-# -- sources, normalisation, loads, sinks -------------------------------------------
+@reusable
+def _cut(columns: tuple[str, ...]) -> dict[str, Column]:
+    return {n: rnd_agg(c(n), 6) for n in columns}
 
 
-def _stored(t: Tables, name: str, df: DataFrame) -> DataFrame:
-    """Write a raw table and read it back in its declared schema."""
-    path = new_path(t.spark, name)
-    df.write.parquet(path)
-    return bronze.read_table(t.spark, path, name)
+# -- sources, normalisation, loads, sinks -------------------------------------------
 
 
-query("src_activities", "avg_speed_mps max_speed_mps moving_duration_seconds")(
-    lambda t: _stored(t, "activities", t.activities)
-)
-query("src_daily_health")(lambda t: _stored(t, "daily_health", t.daily_health))
-query("src_calendar")(lambda t: _stored(t, "calendar_events", t.calendar_events))
+query("src_activities", "avg_speed_mps max_speed_mps moving_duration_seconds")(lambda t: t.activities)
+query("src_daily_health")(lambda t: t.daily_health)
+query("src_calendar")(lambda t: t.calendar_events)
 
 
 @query("src_goals_csv")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cadenza import constants as K
-from cadenza.functions.numeric import band, first_match, rnd
+from cadenza.functions.numeric import band, first_match, rnd_pos
 
 
 def distance_category(km: Column) -> Column:
@@ -22,7 +22,7 @@ def sane_pace(raw_pace: Column, km: Column, minutes: Column) -> Column:
             (raw_pace.isNull() | km.isNull() | (km == 0), F.lit(None).cast("double")),
             (raw_pace.between(K.PACE_MIN, K.PACE_MAX), raw_pace),
         ],
-        rnd(minutes / F.nullif(km, F.lit(0.0)), 3),
+        rnd_pos(minutes / F.nullif(km, F.lit(0.0)), 3),
     )
 
 
@@ -31,7 +31,7 @@ def repaired_pace(raw_pace: Column, km: Column, minutes: Column) -> Column:
     return first_match(
         [
             (raw_pace.between(K.PACE_MIN, K.PACE_MAX), raw_pace),
-            (km > 0, rnd(minutes / F.nullif(km, F.lit(0.0)), 3)),
+            (km > 0, rnd_pos(minutes / F.nullif(km, F.lit(0.0)), 3)),
         ]
     )
 
@@ -72,7 +72,7 @@ def effort_level(hr: Column, pace: Column) -> Column:
 
 
 def training_load(minutes: Column, hr: Column) -> Column:
-    return rnd(minutes * band(hr, K.LOAD_FACTORS, "<", missing=K.LOAD_FACTOR_NO_HR), 2)
+    return rnd_pos(minutes * band(hr, K.LOAD_FACTORS, "<", missing=K.LOAD_FACTOR_NO_HR), 2)
 
 
 def time_of_day(hour: Column) -> Column:

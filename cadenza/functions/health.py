@@ -6,21 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cadenza import constants as K
-from cadenza.functions.numeric import band, first_match, or_zero, rnd
+from cadenza.functions.numeric import band, first_match, or_zero, rnd_pos
 
 
 def hours(seconds: Column) -> Column:
-    return rnd(or_zero(seconds) / 3600.0, 2)
+    return rnd_pos(or_zero(seconds) / 3600.0, 2)
 
 
 def sleep_efficiency(sleep_s: Column, awake_s: Column) -> Column:
     """Share of the night asleep in percent; null without sleep reading."""
     night = sleep_s + or_zero(awake_s)
-    return F.when(night != 0, rnd(sleep_s * 100.0 / F.nullif(night, F.lit(0)), 1))
+    return F.when(night != 0, rnd_pos(sleep_s * 100.0 / F.nullif(night, F.lit(0)), 1))
 
 
 def stage_share(stage_s: Column, sleep_s: Column) -> Column:
-    return rnd(stage_s * 100.0 / F.nullif(sleep_s, F.lit(0)), 1)
+    return rnd_pos(stage_s * 100.0 / F.nullif(sleep_s, F.lit(0)), 1)
 
 
 def sleep_quality(sleep_hours: Column) -> Column:
@@ -70,7 +70,7 @@ def trend_score(
     )
     calm = band(stress, K.TREND_STRESS, "<=", missing=K.TREND_NEUTRAL)
     charge = band(battery_net, K.TREND_BATTERY, ">=", missing=K.TREND_NEUTRAL)
-    return rnd(sleep + heart + calm + charge, 0)
+    return rnd_pos(sleep + heart + calm + charge, 0)
 
 
 def trend_readiness(

@@ -13,20 +13,37 @@ from pyspark.sql import functions as F
 _TIE_LIFT = 1e-6
 
 
-def _half_up(x: Column, places: int, lift: float) -> Column:
-    x = x.cast("double")
-    scale = F.lit(float(10**places))
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5 + lift)) / scale + F.lit(0.0)
-
-
 def rnd(x: Column, places: int) -> Column:
     """Round a value of one row, halves away from zero."""
-    return _half_up(x, places, 0.0)
+    return _signed(x, places, 0.0)
+
+
+def rnd_pos(x: Column, places: int) -> Column:
+    """:func:`rnd` of a value that is never negative.
+
+    Names ``x`` once: expressions that build on each other do not double in size at
+    every step when a filter is pushed down through them.
+    """
+    return _positive(x, places, 0.0)
 
 
 def rnd_agg(x: Column, places: int) -> Column:
     """Round an aggregate of doubles; ties do not depend on the order of the sum."""
-    return _half_up(x, places, _TIE_LIFT)
+    return _signed(x, places, _TIE_LIFT)
+
+
+def rnd_agg_pos(x: Column, places: int) -> Column:
+    """:func:`rnd_agg` of a value that is never negative."""
+    return _positive(x, places, _TIE_LIFT)
+
+
+def _positive(x: Column, places: int, lift: float) -> Column:
+    scale = F.lit(float(10**places))
+    return F.floor(x.cast("double") * scale + F.lit(0.5 + lift)) / scale
+
+
+def _signed(x: Column, places: int, lift: float) -> Column:
+    return F.signum(x.cast("double")) * _positive(F.abs(x), places, lift) + F.lit(0.0)
 
 
 def band(x: Column, steps: list, test: str, missing=None) -> Column:

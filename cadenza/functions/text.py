@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cadenza.functions.numeric import rnd
+from cadenza.functions.numeric import rnd, rnd_pos
 
 MISSING = "—"
 
 
 def fixed(x: Column, places: int) -> Column:
-    """Number with a fixed count of decimals."""
-    return F.format_string(f"%.{places}f", rnd(x, places))
+    """Number with a fixed count of decimals; null stays null."""
+    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", rnd(x, places)))
 
 
 def whole(x: Column) -> Column:
@@ -38,7 +38,7 @@ def _clock(seconds: Column) -> Column:
 def _pace_seconds(pace: Column) -> Column:
     """Whole seconds per km, the part minute rounded on its own."""
     minutes = F.floor(pace)
-    return minutes * 60 + rnd((pace - minutes) * 60, 0).cast("bigint")
+    return minutes * 60 + rnd_pos((pace - minutes) * 60, 0).cast("bigint")
 
 
 def pace_short(pace: Column) -> Column:
@@ -54,7 +54,7 @@ def pace(p: Column) -> Column:
 def pace_uncarried(p: Column) -> Column:
     """m:ss where rounding may print :60, as the coaching texts do."""
     minutes = F.floor(p)
-    seconds = rnd((p - minutes) * 60, 0)
+    seconds = rnd_pos((p - minutes) * 60, 0)
     return F.concat(minutes.cast("string"), F.lit(":"), two_digits(seconds))
 
 
@@ -68,7 +68,7 @@ def pace_truncated(p: Column) -> Column:
 
 def duration(minutes: Column) -> Column:
     """1h05:30 from an hour on, else 45:00."""
-    total = rnd(minutes * 60, 0).cast("bigint")
+    total = rnd_pos(minutes * 60, 0).cast("bigint")
     h = F.floor(total / 3600)
     rest = total % 3600
     long_form = F.concat(
@@ -131,7 +131,7 @@ def delta_pace(new: Column, old: Column) -> Column:
     """+0:15; null when either is missing."""
     delta = new - old
     sign = F.when(delta >= 0, F.lit("+")).otherwise(F.lit("-"))
-    return F.concat(sign, _clock(rnd(F.abs(delta) * 60, 0).cast("bigint")))
+    return F.concat(sign, _clock(rnd_pos(F.abs(delta) * 60, 0).cast("bigint")))
 
 
 def signed_gap(seconds: Column) -> Column:

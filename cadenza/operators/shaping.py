@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` by name: missing ones null, others dropped, all cast."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    have = dict(df.dtypes)
+
+    def column(f: T.StructField) -> str:
+        kind = f.dataType.simpleString()
+        if have.get(f.name) == kind:
+            return f"`{f.name}`"
+        source = f"`{f.name}`" if f.name in have else "NULL"
+        return f"CAST({source} AS {kind}) AS `{f.name}`"
+
+    return df.selectExpr(*[column(f) for f in schema.fields])
 
 
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:

@@ -12,7 +12,7 @@ from cadenza.functions import activity as A
 from cadenza.functions import dates as D
 from cadenza.functions import text as T
 from cadenza.functions import weather as W
-from cadenza.functions.numeric import band, first_match, rnd, rnd_agg
+from cadenza.functions.numeric import band, first_match, rnd, rnd_agg, rnd_pos
 from cadenza.operators.windows import newest, newest_ranked
 
 c = F.col
@@ -45,7 +45,7 @@ def weather_activities(raw: DataFrame) -> DataFrame:
         rnd(c("weather_temp_c"), 1).alias("temp_c"),
         c("weather_temp_c").alias("temp_raw"),
         c("weather_humidity_pct").alias("humidity_pct"),
-        rnd(c("weather_wind_speed_ms") * 3.6, 1).alias("wind_kmh"),
+        rnd_pos(c("weather_wind_speed_ms") * 3.6, 1).alias("wind_kmh"),
         "weather_condition",
         c("weather_precipitation_mm").alias("precipitation_mm"),
     )
@@ -63,7 +63,7 @@ def recent_activities(activities: DataFrame, n: int = 10) -> DataFrame:
             "activity_type",
             "distance_km",
             "duration_minutes",
-            F.when(km > 0, rnd(c("duration_minutes") / km, 3)).alias("pace_min_km"),
+            F.when(km > 0, rnd_pos(c("duration_minutes") / km, 3)).alias("pace_min_km"),
             "avg_heart_rate",
             "elevation_gain_m",
             "training_load",

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import dates as D
 from cadenza.functions import health as H
 from cadenza.functions.numeric import rnd
+from cadenza.functions.reuse import reusable
 from cadenza.operators.windows import calendar_window, last_rows, whole
 
 c = F.col
@@ -44,52 +45,61 @@ _LAGS = {
 }
 
 
-def calendar_parts(health: DataFrame) -> DataFrame:
+@reusable
+def _calendar_parts() -> dict[str, Column]:
     day = c("health_date")
-    return health.withColumns(
-        {
-            "day_name": D.day_name(c("day_of_week")),
-            "week_start_date": D.week_start(day),
-            "month_start_date": D.month_start(day),
-        }
-    )
+    return {
+        "day_name": D.day_name(c("day_of_week")),
+        "week_start_date": D.week_start(day),
+        "month_start_date": D.month_start(day),
+    }
 
 
-def rolling(health: DataFrame) -> DataFrame:
-    """7- and 28-row means and lags. Frames count rows: a gap in the days reaches
-    further back."""
+def calendar_parts(health: DataFrame) -> DataFrame:
+    return health.withColumns(_calendar_parts())
+
+
+@reusable
+def _rolling() -> dict[str, Column]:
     day = "health_date"
     week, four_weeks, by_day = last_rows(day, 7), last_rows(day, 28), calendar_window(day)
     debt = F.lit(TARGET_SLEEP_HOURS) - c("sleep_hours")
-    return health.withColumns(
-        {
-            **{name: F.avg(source).over(week) for name, source in _MEANS_7.items()},
-            **{name: F.avg(source).over(four_weeks) for name, source in _MEANS_28.items()},
-            **{name: F.lag(source, n).over(by_day) for name, (source, n) in _LAGS.items()},
-            "sleep_debt_7day_cumulative": F.sum(debt).over(week),
-        }
-    )
+    return {
+        **{name: F.avg(source).over(week) for name, source in _MEANS_7.items()},
+        **{name: F.avg(source).over(four_weeks) for name, source in _MEANS_28.items()},
+        **{name: F.lag(source, n).over(by_day) for name, (source, n) in _LAGS.items()},
+        "sleep_debt_7day_cumulative": F.sum(debt).over(week),
+    }
+
+
+def rolling(health: DataFrame) -> DataFrame:
+    """7- and 28-row means and lags. Frames count rows: a gap in the days reaches
+    further back."""
+    return health.withColumns(_rolling())
+
+
+@reusable
+def _changes() -> dict[str, Column]:
+    sleep, rhr, stress = c("sleep_hours"), c("resting_heart_rate"), c("stress_avg")
+    return {
+        "sleep_change_vs_prev_day": sleep - c("prev_day_sleep_hours"),
+        "rhr_change_vs_prev_day": rhr - c("prev_day_rhr"),
+        "stress_change_vs_prev_day": stress - c("prev_day_stress"),
+        "sleep_change_vs_prev_week": sleep - c("prev_week_sleep_hours"),
+        "rhr_change_vs_prev_week": rhr - c("prev_week_rhr"),
+        "sleep_vs_7day_avg": sleep - c("sleep_7day_avg"),
+        "rhr_vs_7day_avg": rhr - c("rhr_7day_avg"),
+        "stress_vs_7day_avg": stress - c("stress_7day_avg"),
+    }
 
 
 def changes(rolled: DataFrame) -> DataFrame:
     """Differences to the day before, to 7 rows ago and to the 7-row mean."""
-    sleep, rhr, stress = c("sleep_hours"), c("resting_heart_rate"), c("stress_avg")
-    return rolled.withColumns(
-        {
-            "sleep_change_vs_prev_day": sleep - c("prev_day_sleep_hours"),
-            "rhr_change_vs_prev_day": rhr - c("prev_day_rhr"),
-            "stress_change_vs_prev_day": stress - c("prev_day_stress"),
-            "sleep_change_vs_prev_week": sleep - c("prev_week_sleep_hours"),
-            "rhr_change_vs_prev_week": rhr - c("prev_week_rhr"),
-            "sleep_vs_7day_avg": sleep - c("sleep_7day_avg"),
-            "rhr_vs_7day_avg": rhr - c("rhr_7day_avg"),
-            "stress_vs_7day_avg": stress - c("stress_7day_avg"),
-        }
-    )
+    return rolled.withColumns(_changes())
 
 
-def recovery(changed: DataFrame) -> DataFrame:
-    """Score and readiness against the athlete's own mean, and the night's sleep debt."""
+@reusable
+def _recovery() -> dict[str, Column]:
     readings = (
         c("sleep_hours"),
         c("resting_heart_rate"),
@@ -97,31 +107,36 @@ def recovery(changed: DataFrame) -> DataFrame:
         c("stress_avg"),
         c("body_battery_net"),
     )
-    return changed.withColumns(
-        {
-            "recovery_score": H.trend_score(*readings),
-            "training_readiness": H.trend_readiness(*readings),
-            "sleep_debt_hours": rnd(F.lit(TARGET_SLEEP_HOURS) - c("sleep_hours"), 2),
-        }
-    )
+    return {
+        "recovery_score": H.trend_score(*readings),
+        "training_readiness": H.trend_readiness(*readings),
+        "sleep_debt_hours": rnd(F.lit(TARGET_SLEEP_HOURS) - c("sleep_hours"), 2),
+    }
+
+
+def recovery(changed: DataFrame) -> DataFrame:
+    """Score and readiness against the athlete's own mean, and the night's sleep debt."""
+    return changed.withColumns(_recovery())
+
+
+@reusable
+def _week_context() -> dict[str, Column]:
+    week = whole("week_start_date")
+    return {
+        "week_avg_sleep": F.avg("sleep_hours").over(week),
+        "week_avg_rhr": F.avg("resting_heart_rate").over(week),
+        "week_avg_stress": F.avg("stress_avg").over(week),
+        "week_total_steps": F.sum("steps").over(week),
+    }
 
 
 def week_context(days: DataFrame) -> DataFrame:
     """Means and steps of the whole calendar week on each of its days."""
-    week = whole("week_start_date")
-    return days.withColumns(
-        {
-            "week_avg_sleep": F.avg("sleep_hours").over(week),
-            "week_avg_rhr": F.avg("resting_heart_rate").over(week),
-            "week_avg_stress": F.avg("stress_avg").over(week),
-            "week_total_steps": F.sum("steps").over(week),
-        }
-    )
+    return days.withColumns(_week_context())
 
 
-def mart_health(health: DataFrame) -> DataFrame:
-    """One row per athlete and day. All windows share one exchange on the athlete."""
-    days = week_context(recovery(changes(rolling(calendar_parts(health)))))
+@reusable
+def _output() -> list[Column | str]:
     columns = """
         day_name week_start_date month_start_date
         sleep_hours deep_sleep_hours light_sleep_hours rem_sleep_hours awake_hours
@@ -140,8 +155,11 @@ def mart_health(health: DataFrame) -> DataFrame:
         week_avg_sleep week_avg_rhr week_avg_stress week_total_steps
     """.split()
     names = {**_RENAMED, "hrv_avg": "hrv_numeric"}
-    return days.select(
-        "athlete_id",
-        c("health_date").alias("date"),
-        *[c(n).alias(names.get(n, n)) for n in columns],
-    )
+    day = c("health_date").alias("date")
+    return ["athlete_id", day, *[c(n).alias(names.get(n, n)) for n in columns]]
+
+
+def mart_health(health: DataFrame) -> DataFrame:
+    """One row per athlete and day. All windows share one exchange on the athlete."""
+    days = week_context(recovery(changes(rolling(calendar_parts(health)))))
+    return days.select(*_output())

@@ -4,23 +4,24 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza import constants as K
 from cadenza.functions import activity as A
 from cadenza.functions import dates as D
 from cadenza.functions import health as H
-from cadenza.functions.numeric import or_zero, rnd
+from cadenza.functions.numeric import or_zero, rnd, rnd_pos
+from cadenza.functions.reuse import reusable
 
 c = F.col
 
 
-def enrich_activities(raw: DataFrame) -> DataFrame:
-    """Every raw activity with its derived measures and labels."""
+@reusable
+def _activity_measures() -> list[Column | str]:
     km = F.coalesce(c("distance_km"), F.lit(0.0))
     moving = F.coalesce(c("moving_duration_seconds"), c("duration_seconds"))
-    measured = raw.select(
+    return [
         "athlete_id",
         "activity_id",
         "activity_name",
@@ -34,13 +35,13 @@ def enrich_activities(raw: DataFrame) -> DataFrame:
         "location_name",
         km.alias("distance_km"),
         "duration_minutes",
-        rnd(c("moving_duration_seconds") / 60, 2).alias("moving_duration_minutes"),
+        rnd_pos(c("moving_duration_seconds") / 60, 2).alias("moving_duration_minutes"),
         rnd((c("duration_seconds") - moving) / 60, 2).alias("pause_duration_minutes"),
         A.sane_pace(c("avg_pace_min_km"), c("distance_km"), c("duration_minutes")).alias(
             "avg_pace_min_km"
         ),
-        rnd(c("avg_speed_mps") * 3.6, 2).alias("avg_speed_kmh"),
-        rnd(c("max_speed_mps") * 3.6, 2).alias("max_speed_kmh"),
+        rnd_pos(c("avg_speed_mps") * 3.6, 2).alias("avg_speed_kmh"),
+        rnd_pos(c("max_speed_mps") * 3.6, 2).alias("max_speed_kmh"),
         "avg_heart_rate",
         "max_heart_rate",
         (c("max_heart_rate") - c("avg_heart_rate")).alias("hr_delta"),
@@ -58,27 +59,34 @@ def enrich_activities(raw: DataFrame) -> DataFrame:
         c("max_cadence").alias("max_cadence_spm"),
         c("inserted_at").alias("loaded_at"),
         "updated_at",
-    )
+    ]
+
+
+@reusable
+def _activity_labels() -> dict[str, Column]:
     pace, hr, minutes = c("avg_pace_min_km"), c("avg_heart_rate"), c("duration_minutes")
-    return measured.withColumns(
-        {
-            "is_race": A.is_race(c("event_type"), c("activity_name")),
-            "race_distance_category": A.distance_category(c("distance_km")),
-            "pace_zone": A.pace_zone(pace),
-            "hr_zone": A.hr_zone(hr),
-            "effort_level": A.effort_level(hr, pace),
-            "training_load": A.training_load(minutes, hr),
-            "terrain_type": A.terrain(c("elevation_gain_m")),
-            "time_of_day": A.time_of_day(c("start_hour")),
-            "is_weekend": F.coalesce(D.is_weekend(c("day_of_week")), F.lit(False)),
-            "has_data_quality_issues": A.zero_or_missing(c("distance_km"))
-            | A.zero_or_missing(minutes),
-            "is_very_short": F.coalesce(minutes < K.MIN_DURATION_MINUTES, F.lit(False)),
-            "has_unrealistic_pace": F.coalesce(
-                ~pace.between(K.PACE_MIN, K.PACE_MAX), F.lit(False)
-            ),
-        }
-    )
+    return {
+        "is_race": A.is_race(c("event_type"), c("activity_name")),
+        "race_distance_category": A.distance_category(c("distance_km")),
+        "pace_zone": A.pace_zone(pace),
+        "hr_zone": A.hr_zone(hr),
+        "effort_level": A.effort_level(hr, pace),
+        "training_load": A.training_load(minutes, hr),
+        "terrain_type": A.terrain(c("elevation_gain_m")),
+        "time_of_day": A.time_of_day(c("start_hour")),
+        "is_weekend": F.coalesce(D.is_weekend(c("day_of_week")), F.lit(False)),
+        "has_data_quality_issues": A.zero_or_missing(c("distance_km"))
+        | A.zero_or_missing(minutes),
+        "is_very_short": F.coalesce(minutes < K.MIN_DURATION_MINUTES, F.lit(False)),
+        "has_unrealistic_pace": F.coalesce(
+            ~pace.between(K.PACE_MIN, K.PACE_MAX), F.lit(False)
+        ),
+    }
+
+
+def enrich_activities(raw: DataFrame) -> DataFrame:
+    """Every raw activity with its derived measures and labels."""
+    return raw.select(*_activity_measures()).withColumns(_activity_labels())
 
 
 def valid_activities(raw: DataFrame) -> DataFrame:
@@ -93,12 +101,12 @@ def stage_activities(raw: DataFrame) -> DataFrame:
     return enrich_activities(valid_activities(raw))
 
 
-def enrich_health(raw: DataFrame) -> DataFrame:
-    """Every raw health day with its derived measures and labels."""
+@reusable
+def _health_measures() -> list[Column | str]:
     day = c("date")
     sleep, awake = c("sleep_seconds"), c("awake_seconds")
     charged, drained = or_zero(c("body_battery_charged")), or_zero(c("body_battery_drained"))
-    measured = raw.select(
+    return [
         "athlete_id",
         day.alias("health_date"),
         D.dow(day).alias("day_of_week"),
@@ -106,7 +114,7 @@ def enrich_health(raw: DataFrame) -> DataFrame:
         F.month(day).alias("month_number"),
         F.year(day).alias("year_number"),
         or_zero(c("steps")).alias("steps"),
-        rnd(or_zero(c("distance_m")) / 1000, 2).alias("daily_distance_km"),
+        rnd_pos(or_zero(c("distance_m")) / 1000, 2).alias("daily_distance_km"),
         or_zero(c("active_calories")).alias("active_calories"),
         or_zero(c("bmr_calories")).alias("bmr_calories"),
         (or_zero(c("active_calories")) + or_zero(c("bmr_calories"))).alias("total_calories"),
@@ -133,21 +141,28 @@ def enrich_health(raw: DataFrame) -> DataFrame:
         "avg_sleep_respiration_rate",
         c("inserted_at").alias("loaded_at"),
         "updated_at",
-    )
+    ]
+
+
+@reusable
+def _health_labels() -> dict[str, Column]:
     stress, peak, rhr = c("stress_avg"), c("body_battery_high"), c("resting_heart_rate")
-    return measured.withColumns(
-        {
-            "is_weekend": D.is_weekend(c("day_of_week")),
-            "sleep_quality": H.sleep_quality(c("sleep_hours")),
-            "stress_category": H.stress_category(stress),
-            "body_battery_status": H.battery_status(peak),
-            "hrv_category": H.hrv_category(c("hrv_avg")),
-            "steps_goal_met": c("steps") >= K.STEPS_GOAL,
-            "recovery_score": H.day_score(c("sleep_hours"), stress, peak, rhr),
-            "has_missing_sleep": A.zero_or_missing(c("sleep_hours")),
-            "has_missing_hr": rhr.isNull(),
-        }
-    )
+    return {
+        "is_weekend": D.is_weekend(c("day_of_week")),
+        "sleep_quality": H.sleep_quality(c("sleep_hours")),
+        "stress_category": H.stress_category(stress),
+        "body_battery_status": H.battery_status(peak),
+        "hrv_category": H.hrv_category(c("hrv_avg")),
+        "steps_goal_met": c("steps") >= K.STEPS_GOAL,
+        "recovery_score": H.day_score(c("sleep_hours"), stress, peak, rhr),
+        "has_missing_sleep": A.zero_or_missing(c("sleep_hours")),
+        "has_missing_hr": rhr.isNull(),
+    }
+
+
+def enrich_health(raw: DataFrame) -> DataFrame:
+    """Every raw health day with its derived measures and labels."""
+    return raw.select(*_health_measures()).withColumns(_health_labels())
 
 
 def stage_health(raw: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import dates as D
-from cadenza.functions.numeric import first_match, pct_change, rnd_agg
+from cadenza.functions.numeric import first_match, pct_change, rnd_agg, rnd_agg_pos
+from cadenza.functions.reuse import reusable
 from cadenza.operators.windows import calendar_window, last_rows
 
 c = F.col
@@ -56,37 +57,38 @@ def _share(zone: str) -> Column:
     return F.avg(F.when(c("hr_zone") == zone, F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def weekly_metrics(activities: DataFrame) -> DataFrame:
-    """Unrounded totals, means and zone shares of every running week."""
+@reusable
+def _weekly() -> list[Column]:
     km, pace = c("distance_km"), c("avg_pace_min_km")
     effort = first_match(
         [(c("effort_level") == name, F.lit(points)) for name, points in _EFFORT_POINTS.items()]
     )
-    return (
-        runs_by_week(activities)
-        .groupBy(*WEEK)
-        .agg(
-            F.count("*").alias("total_activities"),
-            F.count(F.when(c("is_race"), 1)).alias("total_races"),
-            F.sum(km).alias("total_distance_km"),
-            F.avg(km).alias("avg_distance_per_activity_km"),
-            F.max(km).alias("max_distance_km"),
-            F.sum("duration_minutes").alias("total_duration_minutes"),
-            F.avg("duration_minutes").alias("avg_duration_per_activity_minutes"),
-            (F.sum(pace * km) / F.nullif(F.sum(km), F.lit(0.0))).alias("avg_pace_min_per_km"),
-            F.avg("avg_heart_rate").alias("avg_heart_rate_bpm"),
-            F.max("max_heart_rate").alias("max_heart_rate_bpm"),
-            F.sum("elevation_gain_m").alias("total_elevation_gain_m"),
-            F.avg("elevation_gain_m").alias("avg_elevation_per_activity_m"),
-            F.avg(effort).alias("avg_effort_level"),
-            F.sum("training_load").alias("total_training_load"),
-            *[_share(zone).alias(name) for zone, name in _ZONES.items()],
-        )
-    )
+    return [
+        F.count("*").alias("total_activities"),
+        F.count(F.when(c("is_race"), 1)).alias("total_races"),
+        F.sum(km).alias("total_distance_km"),
+        F.avg(km).alias("avg_distance_per_activity_km"),
+        F.max(km).alias("max_distance_km"),
+        F.sum("duration_minutes").alias("total_duration_minutes"),
+        F.avg("duration_minutes").alias("avg_duration_per_activity_minutes"),
+        (F.sum(pace * km) / F.nullif(F.sum(km), F.lit(0.0))).alias("avg_pace_min_per_km"),
+        F.avg("avg_heart_rate").alias("avg_heart_rate_bpm"),
+        F.max("max_heart_rate").alias("max_heart_rate_bpm"),
+        F.sum("elevation_gain_m").alias("total_elevation_gain_m"),
+        F.avg("elevation_gain_m").alias("avg_elevation_per_activity_m"),
+        F.avg(effort).alias("avg_effort_level"),
+        F.sum("training_load").alias("total_training_load"),
+        *[_share(zone).alias(name) for zone, name in _ZONES.items()],
+    ]
 
 
-def rolling_metrics(weeks: DataFrame) -> DataFrame:
-    """4- and 8-row means and the previous week, over weeks with a run."""
+def weekly_metrics(activities: DataFrame) -> DataFrame:
+    """Unrounded totals, means and zone shares of every running week."""
+    return runs_by_week(activities).groupBy(*WEEK).agg(*_weekly())
+
+
+@reusable
+def _rolling() -> dict[str, Column]:
     added = {}
     for n in (4, 8):
         frame = last_rows("week_start_date", n)
@@ -96,7 +98,12 @@ def rolling_metrics(weeks: DataFrame) -> DataFrame:
     added["prev_week_distance_km"] = F.lag("total_distance_km").over(by_week)
     added["prev_week_activities"] = F.lag("total_activities").over(by_week)
     added["prev_week_avg_pace"] = F.lag("avg_pace_min_per_km").over(by_week)
-    return weeks.withColumns(added)
+    return added
+
+
+def rolling_metrics(weeks: DataFrame) -> DataFrame:
+    """4- and 8-row means and the previous week, over weeks with a run."""
+    return weeks.withColumns(_rolling())
 
 
 def trend(value: Column, mean: Column) -> Column:
@@ -106,14 +113,8 @@ def trend(value: Column, mean: Column) -> Column:
     )
 
 
-def mart_training(activities: DataFrame) -> DataFrame:
-    """One row per athlete and running week.
-
-    Takes staged or unified activities: the health columns are not used, so the build
-    feeds staging and skips that join. The week spine equals the aggregate's keys, so
-    year and week come from the key without a join.
-    """
-    rolled = rolling_metrics(weekly_metrics(activities))
+@reusable
+def _output() -> list[Column | str]:
     out = {
         "total_activities": c("total_activities"),
         "total_races": c("total_races"),
@@ -122,20 +123,20 @@ def mart_training(activities: DataFrame) -> DataFrame:
         "max_distance_km": c("max_distance_km"),
         "total_duration_minutes": c("total_duration_minutes"),
         "avg_duration_per_activity_minutes": c("avg_duration_per_activity_minutes"),
-        "avg_pace_min_per_km": rnd_agg(c("avg_pace_min_per_km"), 2),
-        "avg_heart_rate_bpm": rnd_agg(c("avg_heart_rate_bpm"), 0),
+        "avg_pace_min_per_km": rnd_agg_pos(c("avg_pace_min_per_km"), 2),
+        "avg_heart_rate_bpm": rnd_agg_pos(c("avg_heart_rate_bpm"), 0),
         "max_heart_rate_bpm": c("max_heart_rate_bpm"),
         "total_elevation_gain_m": c("total_elevation_gain_m"),
-        "avg_elevation_per_activity_m": rnd_agg(c("avg_elevation_per_activity_m"), 0),
-        "avg_effort_level": rnd_agg(c("avg_effort_level"), 1),
-        "total_training_load": rnd_agg(c("total_training_load"), 1),
+        "avg_elevation_per_activity_m": rnd_agg_pos(c("avg_elevation_per_activity_m"), 0),
+        "avg_effort_level": rnd_agg_pos(c("avg_effort_level"), 1),
+        "total_training_load": rnd_agg_pos(c("total_training_load"), 1),
     }
     for name in _ZONES.values():
-        out[name] = rnd_agg(c(name) * 100, 1)
+        out[name] = rnd_agg_pos(c(name) * 100, 1)
     for n in (4, 8):
         for name, places in _ROLLED.values():
             column = f"rolling_{n}wk_avg_{name}"
-            out[column] = rnd_agg(c(column), places)
+            out[column] = rnd_agg_pos(c(column), places)
     km, mean_km = c("total_distance_km"), c("rolling_4wk_avg_distance_km")
     out["distance_vs_prev_week_pct"] = rnd_agg(pct_change(km, c("prev_week_distance_km")), 1)
     out["activities_vs_prev_week_pct"] = rnd_agg(
@@ -146,6 +147,15 @@ def mart_training(activities: DataFrame) -> DataFrame:
     out["training_load_trend_4wk"] = trend(
         c("total_training_load"), c("rolling_4wk_avg_training_load")
     )
-    return week_parts(rolled).select(
-        *WEEK, "year", "week_number", "week_label", *[e.alias(n) for n, e in out.items()]
-    )
+    names = [*WEEK, "year", "week_number", "week_label"]
+    return [*names, *[e.alias(n) for n, e in out.items()]]
+
+
+def mart_training(activities: DataFrame) -> DataFrame:
+    """One row per athlete and running week.
+
+    Takes staged or unified activities: the health columns are not used, so the build
+    feeds staging and skips that join. The week spine equals the aggregate's keys, so
+    year and week come from the key without a join.
+    """
+    return week_parts(rolling_metrics(weekly_metrics(activities))).select(*_output())

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions import health as H
+from cadenza.functions.reuse import reusable
 
 c = F.col
 
@@ -62,18 +63,24 @@ def join_day(activities: DataFrame, health: DataFrame) -> DataFrame:
     return joined.withColumn("is_missing_health_context", c("_has_day").isNull()).drop("_has_day")
 
 
+@reusable
+def _readiness() -> Column:
+    return H.readiness_for(c("is_missing_health_context"), c("recovery_score"))
+
+
+@reusable
+def _workout() -> dict[str, Column]:
+    missing, effort = c("is_missing_health_context"), c("effort_level")
+    return {
+        "ran_while_tired": H.ran_while_tired(
+            effort, c("pre_run_sleep_quality"), c("recovery_score")
+        ),
+        "workout_context": H.workout_context(missing, effort, c("training_readiness")),
+    }
+
+
 def unify(activities: DataFrame, health: DataFrame, source: str = "garmin") -> DataFrame:
     """Staged activities with same-day health, readiness and workout context."""
     carried = activities.drop(*_NOT_CARRIED)
     joined = join_day(tag_source(carried, source), health)
-    missing, effort = c("is_missing_health_context"), c("effort_level")
-    return joined.withColumn(
-        "training_readiness", H.readiness_for(missing, c("recovery_score"))
-    ).withColumns(
-        {
-            "ran_while_tired": H.ran_while_tired(
-                effort, c("pre_run_sleep_quality"), c("recovery_score")
-            ),
-            "workout_context": H.workout_context(missing, effort, c("training_readiness")),
-        }
-    )
+    return joined.withColumn("training_readiness", _readiness()).withColumns(_workout())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadenza import schemas
 from cadenza.functions import activity as A
 from cadenza.functions import weather as W
-from cadenza.functions.numeric import rnd
+from cadenza.functions.numeric import rnd, rnd_pos
 from cadenza.operators.shaping import conform, first_per_key, latest_per_key
 
 
@@ -29,8 +29,8 @@ def normalise_activities(payload: DataFrame, keep: tuple[str, ...] = ()) -> Data
 
     ``keep`` names payload columns to carry along at the end.
     """
-    km = rnd(_or_zero(F.col("distance")) / 1000, 2)
-    minutes = rnd(_or_zero(F.col("duration")) / 60, 2)
+    km = rnd_pos(_or_zero(F.col("distance")) / 1000, 2)
+    minutes = rnd_pos(_or_zero(F.col("duration")) / 60, 2)
     measured = payload.withColumns({"_km": km, "_min": minutes})
     fields = {
         "athlete_id": F.col("athlete_id"),
@@ -52,7 +52,7 @@ def normalise_activities(payload: DataFrame, keep: tuple[str, ...] = ()) -> Data
         "max_speed_mps": F.col("maxSpeed"),
         "avg_pace_min_km": F.when(
             (F.col("_km") > 0) & (F.col("_min") > 0),
-            rnd(F.col("_min") / F.nullif(F.col("_km"), F.lit(0.0)), 2),
+            rnd_pos(F.col("_min") / F.nullif(F.col("_km"), F.lit(0.0)), 2),
         ),
         "avg_heart_rate": F.col("averageHR").cast("int"),
         "max_heart_rate": F.col("maxHR").cast("int"),
@@ -160,7 +160,7 @@ def normalise_calendar(payload: DataFrame) -> DataFrame:
         item["url"].alias("url"),
     )
     once = first_per_key(flat, ["athlete_id", "event_uuid", "_unmatched"], "month", "position")
-    km = F.when(F.col("distance_m") != 0, rnd(F.col("distance_m") / 1000, 3))
+    km = F.when(F.col("distance_m") != 0, rnd_pos(F.col("distance_m") / 1000, 3))
     classed = once.withColumn("distance_km", km).withColumn(
         "race_distance_category", A.distance_category(F.col("distance_km"))
     )

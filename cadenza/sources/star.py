@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,21 +11,35 @@ from pyspark.sql import functions as F
 
 from cadenza import schemas
 from cadenza.operators.shaping import conform
+from cadenza.session import new_path
 from cadenza.sources import star_mapping as M
+from cadenza.sources.bronze import read_table
 
 AS_OF = dt.date.fromisoformat(M.AS_OF)
 LOADED_AT = dt.datetime.fromisoformat(M.LOADED_AT)
 
 
 def _build(df: DataFrame, base: dict[str, str], steps: list[dict[str, str]], keep: list[str]):
-    out = df.select(*keep, *[F.expr(t.replace("{ntz}", "_NTZ")).alias(n) for n, t in base.items()])
+    def texts(columns: dict[str, str]) -> list[str]:
+        return [f"{t.replace('{ntz}', '_NTZ')} AS {n}" for n, t in columns.items()]
+
+    out = df.selectExpr(*keep, *texts(base))
     for step in steps:
-        out = out.withColumns({n: F.expr(t) for n, t in step.items()})
+        out = out.selectExpr("*", *texts(step))
     return out
 
 
+# Raw tables already written by this application: (application, directory, table) to path.
+_written: dict[tuple[str, str, str], str] = {}
+
+
 class StarTables:
-    """Lazy raw tables over one directory of test tables."""
+    """Raw tables over one directory of test tables.
+
+    The projection stands in for a load: it is written once per application to the
+    shared work folder, and queries read the raw table from there, in its declared
+    schema and with filters and columns pushed into the scan.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -33,6 +48,14 @@ class StarTables:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _raw(self, name: str, projected: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _written:
+            path = new_path(self.spark, f"raw-{name}")
+            conform(projected(), schemas.TABLES[name]).write.parquet(path)
+            _written[key] = path
+        return read_table(self.spark, _written[key], name)
+
     @cached_property
     def orders(self) -> DataFrame:
         return self._read("orders").select(
@@ -50,7 +73,7 @@ class StarTables:
 
     @cached_property
     def activities(self) -> DataFrame:
-        return conform(self.keyed_activities, schemas.ACTIVITIES)
+        return self._raw("activities", lambda: self.keyed_activities)
 
     @cached_property
     def keyed_health(self) -> DataFrame:
@@ -67,7 +90,7 @@ class StarTables:
 
     @cached_property
     def daily_health(self) -> DataFrame:
-        return conform(self.keyed_health, schemas.DAILY_HEALTH)
+        return self._raw("daily_health", lambda: self.keyed_health)
 
     @cached_property
     def keyed_calendar(self) -> DataFrame:
@@ -76,10 +99,19 @@ class StarTables:
 
     @cached_property
     def calendar_events(self) -> DataFrame:
-        return conform(self.keyed_calendar, schemas.CALENDAR_EVENTS)
+        return self._raw("calendar_events", lambda: self.keyed_calendar)
 
     @cached_property
     def race_goals(self) -> DataFrame:
+        return self._raw("race_goals", self._projected_goals)
+
+    @cached_property
+    def analysis_log(self) -> DataFrame:
+        return self._raw(
+            "analysis_log", lambda: _build(self.orders.filter(M.LOG_FILTER), M.LOG_BASE, [], [])
+        )
+
+    def _projected_goals(self) -> DataFrame:
         per_day = (
             self.keyed_activities.filter(M.GOAL_FILTER)
             .groupBy("athlete_id", F.to_date("activity_date").alias("race_date"))
@@ -89,22 +121,11 @@ class StarTables:
                 F.min("distance_km").alias("distance_km"),
             )
         )
-        s = F.col("goal_time_seconds")
-        named = per_day.select(
+        return per_day.selectExpr(
             "*",
-            F.concat(F.lit("Goal "), F.col("k").cast("string")).alias("race_name"),
-            F.expr(M.CALENDAR_STEPS[1]["race_distance_category"]).alias("race_distance_category"),
-            F.format_string(
-                "%d:%02d:%02d",
-                F.floor(s / 3600),
-                F.floor(s % 3600 / 60),
-                (s % 60).cast("bigint"),
-            ).alias("goal_time_formatted"),
-            F.when(F.col("k") % 4 != 3, F.lit("steady start")).alias("notes"),
+            "concat('Goal ', k) AS race_name",
+            f"{M.CALENDAR_STEPS[1]['race_distance_category']} AS race_distance_category",
+            "format_string('%d:%02d:%02d', goal_time_seconds div 3600,"
+            " goal_time_seconds % 3600 div 60, goal_time_seconds % 60) AS goal_time_formatted",
+            "CASE WHEN k % 4 <> 3 THEN 'steady start' END AS notes",
         )
-        return conform(named, schemas.RACE_GOALS)
-
-    @cached_property
-    def analysis_log(self) -> DataFrame:
-        high = self.orders.filter(M.LOG_FILTER)
-        return conform(_build(high, M.LOG_BASE, [], []), schemas.ANALYSIS_LOG)

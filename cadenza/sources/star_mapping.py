@@ -20,7 +20,8 @@ def whole(num: str, den: int) -> str:
 
 
 def half_up(x: str, places: int) -> str:
-    return f"(sign({x}) * floor(abs({x}) * 1e{places} + 5e-1) / 1e{places} + 0e0)"
+    """Round a value that is never negative."""
+    return f"(floor({x} * 1e{places} + 5e-1) / 1e{places})"
 
 
 ATHLETE = whole("c", 30)
@@ -75,7 +76,7 @@ ACTIVITY_BASE = {
         " WHEN 3 THEN 'SNOW' WHEN 4 THEN 'FOG' ELSE 'WINDY' END"
     ),
     "weather_precipitation_mm": (
-        "CASE WHEN k % 5 = 0 THEN CAST(k % 60 AS DOUBLE) / 1e1 ELSE 0e0 END"
+        "CASE WHEN k % 4 = 0 THEN CAST(k % 60 AS DOUBLE) / 1e1 ELSE 0e0 END"
     ),
     "inserted_at": "order_ts + INTERVAL '1' DAY",
     "updated_at": "order_ts + INTERVAL '1' DAY",
@@ -180,7 +181,7 @@ LOG_BASE = {
         "CASE k % 5 WHEN 0 THEN '5K' WHEN 1 THEN '10K' WHEN 2 THEN 'Half Marathon'"
         " WHEN 3 THEN 'Marathon' ELSE 'Ultra' END"
     ),
-    "goal_hours": "CAST(k % 5 AS INT)",
+    "goal_hours": "CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE k % 5 END AS INT)",
     "goal_minutes": "CAST(20 + k % 40 AS INT)",
     "race_date": "CAST(order_ts AS DATE) + 120",
     "city_name": "CASE WHEN k % 3 = 0 THEN NULL ELSE 'City ' || CAST(c % 25 AS STRING) END",
