@@ -100,6 +100,27 @@ class Tables(StarTables):
     def race(self) -> DataFrame:
         return race.mart_race(self.stg, self.race_goals)
 
+    # The pages, alerts and data tests read stored marts, as they are built once a day.
+
+    def _stored(self, name: str, computed: Callable[[], DataFrame]) -> DataFrame:
+        return build.read_mart(self.spark, self._once(name, computed))
+
+    @cached_property
+    def gold_training(self) -> DataFrame:
+        return self._stored("mart-training", lambda: self.training)
+
+    @cached_property
+    def gold_health(self) -> DataFrame:
+        return self._stored("mart-health", lambda: self.health)
+
+    @cached_property
+    def gold_race(self) -> DataFrame:
+        return self._stored("mart-race", lambda: self.race)
+
+    @cached_property
+    def stored_unified(self) -> DataFrame:
+        return self._stored("int-unified", lambda: self.unified)
+
     @cached_property
     def weather(self) -> DataFrame:
         return dashboard.weather_activities(self.activities)
@@ -115,7 +136,9 @@ class Tables(StarTables):
     @cached_property
     def context(self) -> DataFrame:
         goals = coaching.newest_goal(self.analysis_log)
-        return coaching.coaching_context(self.training, self.health, self.race, goals, AS_OF)
+        return coaching.coaching_context(
+            self.gold_training, self.gold_health, self.gold_race, goals, AS_OF
+        )
 
     @cached_property
     def tested(self) -> dict[str, DataFrame]:
@@ -128,10 +151,10 @@ class Tables(StarTables):
             "stg_activities": self.stg,
             "stg_health": self.stg_days,
             "stg_calendar": self.events,
-            "int_unified": self.unified,
-            "mart_training": self.training,
-            "mart_race": self.race,
-            "mart_health": self.health,
+            "int_unified": self.stored_unified,
+            "mart_training": self.gold_training,
+            "mart_race": self.gold_race,
+            "mart_health": self.gold_health,
         }
 
 
@@ -292,7 +315,7 @@ def ingest_incremental(t: Tables) -> DataFrame:
 @query("sink_marts", "total_distance_km")
 def sink_marts(t: Tables) -> DataFrame:
     path = new_path(t.spark, "mart-training")
-    build.write_mart(t.training, path, "year(week_start_date)")
+    build.write_mart(t.training, path)
     return build.read_mart(t.spark, path).select(*WEEK, "total_activities", "total_distance_km")
 
 
@@ -306,7 +329,7 @@ def sink_views(t: Tables) -> DataFrame:
 
 @query("sink_csv")
 def sink_csv(t: Tables) -> DataFrame:
-    shown = dashboard.period(t.health, "date", "Last 12 months", AS_OF).select(
+    shown = dashboard.period(t.gold_health, "date", "Last 12 months", AS_OF).select(
         AID, "date", "recovery_score", "training_readiness"
     )
     path = new_path(t.spark, "health-csv")
@@ -441,7 +464,7 @@ query("join_range_30d", "total_training_distance_30d")(
 )
 query("join_upcoming_goals")(lambda t: dashboard.upcoming_with_goals(t.events, t.race_goals))
 query("join_runs_per_week", "total_duration_hours")(
-    lambda t: overview.with_runs_per_week(t.training, t.stg).select(
+    lambda t: overview.with_runs_per_week(t.gold_training, t.stg).select(
         *WEEK, "total_activities", "total_runs", "total_duration_hours"
     )
 )
@@ -450,9 +473,9 @@ query("join_recent_weather")(
         dashboard.recent_activities(t.stg, 10), t.weather
     ).select(*ACT, "activity_date", "temp_c", "weather_condition")
 )
-query("join_week_training_health")(lambda t: overview.training_with_health(t.training, t.health))
-query("join_day_workouts")(lambda t: overview.days_with_workouts(t.health, t.stg))
-query("join_pre_race_health")(lambda t: overview.races_with_eve_health(t.race, t.health))
+query("join_week_training_health")(lambda t: overview.training_with_health(t.gold_training, t.gold_health))
+query("join_day_workouts")(lambda t: overview.days_with_workouts(t.gold_health, t.stg))
+query("join_pre_race_health")(lambda t: overview.races_with_eve_health(t.gold_race, t.gold_health))
 query("anti_new_keys")(
     lambda t: keyed.new_rows(
         B.stored_activities(t), B.activity_batch(t), schemas.KEYS["activities"]
@@ -507,19 +530,19 @@ query("agg_health_overview")(lambda t: overview.health_overview(t.daily_health))
 query("agg_activity_types")(lambda t: overview.activity_types(t.activities))
 query("agg_runs_per_week")(lambda t: overview.runs_per_week(t.stg))
 query("agg_null_coverage")(lambda t: overview.null_coverage(t.activities, "weather_temp_c"))
-query("agg_date_range")(lambda t: overview.week_range(t.training))
+query("agg_date_range")(lambda t: overview.week_range(t.gold_training))
 query("agg_effort_totals", "total_distance")(lambda t: overview.effort_totals(t.stg))
 query("agg_weekend_split", "avg_distance avg_pace")(lambda t: overview.weekend_split(t.stg))
 query("agg_iso_week_recovery", "avg_recovery avg_sleep avg_rhr")(
     lambda t: overview.iso_week_recovery(t.stg_days)
 )
-query("agg_weekday_profile", "avg_stress")(lambda t: overview.weekday_profile(t.health))
-query("agg_week_health")(lambda t: overview.recent_weekly_health(t.health))
+query("agg_weekday_profile", "avg_stress")(lambda t: overview.weekday_profile(t.gold_health))
+query("agg_week_health")(lambda t: overview.recent_weekly_health(t.gold_health))
 query("agg_rhr_week_spread", "week_avg_rhr avg_deviation")(
-    lambda t: overview.rhr_week_spread(t.health.withColumn("week_avg_rhr", rnd_agg(c("week_avg_rhr"), 6)))
+    lambda t: overview.rhr_week_spread(t.gold_health.withColumn("week_avg_rhr", rnd_agg(c("week_avg_rhr"), 6)))
 )
-query("agg_readiness_distribution")(lambda t: overview.readiness_distribution(t.health))
-query("agg_health_extremes")(lambda t: overview.health_extremes(t.health))
+query("agg_readiness_distribution")(lambda t: overview.readiness_distribution(t.gold_health))
+query("agg_health_extremes")(lambda t: overview.health_extremes(t.gold_health))
 query("distinct_weeks")(lambda t: overview.distinct_weeks(t.stg))
 
 # -- windows ------------------------------------------------------------------------
@@ -575,9 +598,9 @@ query("win_days_since_pr")(
     )
 )
 query("win_running_total", "total_distance_km running_distance_km")(
-    lambda t: overview.running_total(t.training)
+    lambda t: overview.running_total(t.gold_training)
 )
-query("win_score_ma7_30d", "score_7day_ma")(lambda t: checks.score_trend(t.health, AS_OF))
+query("win_score_ma7_30d", "score_7day_ma")(lambda t: checks.score_trend(t.gold_health, AS_OF))
 
 # -- marts --------------------------------------------------------------------------
 
@@ -642,26 +665,26 @@ PERIOD = "Last 12 months"
 
 
 def _weeks(t: Tables) -> DataFrame:
-    return dashboard.period(t.training, "week_start_date", PERIOD, AS_OF)
+    return dashboard.period(t.gold_training, "week_start_date", PERIOD, AS_OF)
 
 
 def _health_days(t: Tables) -> DataFrame:
-    return dashboard.period(t.health, "date", PERIOD, AS_OF)
+    return dashboard.period(t.gold_health, "date", PERIOD, AS_OF)
 
 
 query("qry_weather_activities")(lambda t: t.weather)
 query("qry_recent_activities")(lambda t: dashboard.recent_activities(t.stg, 10))
 query("qry_calendar")(lambda t: dashboard.calendar_listing(t.events))
 query("qry_upcoming_top4")(lambda t: dashboard.next_races(t.events, 4))
-query("qry_all_time", "total_km total_hours")(lambda t: dashboard.all_time(t.training, t.race))
+query("qry_all_time", "total_km total_hours")(lambda t: dashboard.all_time(t.gold_training, t.gold_race))
 query(
     "qry_latest_and_previous",
     "current_distance current_duration previous_distance distance_delta load_delta",
-)(lambda t: dashboard.latest_and_previous(t.training))
-query("qry_recovery_today")(lambda t: dashboard.recovery_today(t.health))
-query("qry_race_highlights")(lambda t: dashboard.race_highlights(t.race))
+)(lambda t: dashboard.latest_and_previous(t.gold_training))
+query("qry_recovery_today")(lambda t: dashboard.recovery_today(t.gold_health))
+query("qry_race_highlights")(lambda t: dashboard.race_highlights(t.gold_race))
 query("qry_last_n_weeks")(
-    lambda t: dashboard.last_n(t.training, "week_start_date", 12, "avg_pace_min_per_km").select(
+    lambda t: dashboard.last_n(t.gold_training, "week_start_date", 12, "avg_pace_min_per_km").select(
         *WEEK, "avg_pace_min_per_km", "total_training_load"
     )
 )
@@ -672,7 +695,7 @@ query("qry_type_filter")(
 )
 query("qry_weather_label")(lambda t: dashboard.weather_labels(t.activities))
 query("qry_period_filter", "total_distance_km")(
-    lambda t: dashboard.period(t.training, "week_start_date", "Last 3 months", AS_OF).select(
+    lambda t: dashboard.period(t.gold_training, "week_start_date", "Last 3 months", AS_OF).select(
         *WEEK, "total_distance_km"
     )
 )
@@ -692,72 +715,72 @@ query("qry_temp_pace_trend", "slope intercept pace_at_min pace_at_max")(
     lambda t: dashboard.temp_pace_trend(dashboard.running_weather(t.weather, "All time", AS_OF))
 )
 query("qry_race_filters")(
-    lambda t: dashboard.filter_races(t.race, ["10K", "Half Marathon"], [1999, 2000]).select(
+    lambda t: dashboard.filter_races(t.gold_race, ["10K", "Half Marathon"], [1999, 2000]).select(
         *RACE, "race_year", "race_distance_category"
     )
 )
-query("qry_race_years")(lambda t: dashboard.race_years(t.race))
-query("qry_race_kpis")(lambda t: dashboard.race_kpis(t.race))
-query("qry_race_history")(lambda t: dashboard.race_history(t.race))
-query("qry_pr_lines")(lambda t: dashboard.pr_lines(t.race))
-query("qry_pr_cards")(lambda t: dashboard.pr_cards(t.race))
-query("qry_goal_summary")(lambda t: dashboard.goal_summary(t.race))
-query("qry_goal_gaps")(lambda t: dashboard.goal_gaps(t.race))
-query("qry_readiness_context")(lambda t: dashboard.readiness_context(t.race))
+query("qry_race_years")(lambda t: dashboard.race_years(t.gold_race))
+query("qry_race_kpis")(lambda t: dashboard.race_kpis(t.gold_race))
+query("qry_race_history")(lambda t: dashboard.race_history(t.gold_race))
+query("qry_pr_lines")(lambda t: dashboard.pr_lines(t.gold_race))
+query("qry_pr_cards")(lambda t: dashboard.pr_cards(t.gold_race))
+query("qry_goal_summary")(lambda t: dashboard.goal_summary(t.gold_race))
+query("qry_goal_gaps")(lambda t: dashboard.goal_gaps(t.gold_race))
+query("qry_readiness_context")(lambda t: dashboard.readiness_context(t.gold_race))
 query("qry_health_kpis", "avg_sleep avg_rhr avg_hrv avg_stress avg_recovery avg_steps")(
     lambda t: dashboard.health_kpis(_health_days(t))
 )
-query("qry_health_tiers")(lambda t: dashboard.health_tiers(t.health))
+query("qry_health_tiers")(lambda t: dashboard.health_tiers(t.gold_health))
 query("qry_sleep_stages_7")(lambda t: dashboard.sleep_stages(_health_days(t)))
-query("qry_coverage")(lambda t: dashboard.coverage(t.health, "All time", AS_OF))
+query("qry_coverage")(lambda t: dashboard.coverage(t.gold_health, "All time", AS_OF))
 query(
     "qry_week_overall",
     "total_distance_km total_duration_minutes total_hours avg_weekly_km avg_weekly_activities"
     " avg_weekly_load",
-)(lambda t: dashboard.week_overall(t.training))
+)(lambda t: dashboard.week_overall(t.gold_training))
 query("qry_analysis_history")(lambda t: dashboard.analysis_history(t.analysis_log))
 query("qry_analysis_goals")(lambda t: dashboard.analysis_goals(t.analysis_log))
 
 # -- published look-ups -------------------------------------------------------------
 
-query("ck_peak_week")(lambda t: checks.peak_week(t.training))
+query("ck_peak_week")(lambda t: checks.peak_week(t.gold_training))
 query("ck_above_average_weeks", "total_distance_km")(
-    lambda t: checks.above_average_weeks(t.training)
+    lambda t: checks.above_average_weeks(t.gold_training)
 )
-query("ck_zone_history")(lambda t: checks.zone_history(t.training))
-query("ck_load_trend")(lambda t: checks.load_trend(t.training))
-query("ck_recent_weeks", "total_distance_km")(lambda t: checks.recent_weeks(t.training))
-query("ck_best_worst_recovery")(lambda t: checks.best_worst_recovery(t.health))
+query("ck_zone_history")(lambda t: checks.zone_history(t.gold_training))
+query("ck_load_trend")(lambda t: checks.load_trend(t.gold_training))
+query("ck_recent_weeks", "total_distance_km")(lambda t: checks.recent_weeks(t.gold_training))
+query("ck_best_worst_recovery")(lambda t: checks.best_worst_recovery(t.gold_health))
 query("ck_sleep_debt_alert", "sleep_debt_7day_cumulative")(
-    lambda t: checks.sleep_debt_alert(t.health)
+    lambda t: checks.sleep_debt_alert(t.gold_health)
 )
 query("ck_rhr_trend_label", "rhr_7day_avg rhr_vs_7day_avg")(
-    lambda t: checks.rhr_trend_label(t.health)
+    lambda t: checks.rhr_trend_label(t.gold_health)
 )
-query("ck_battery_label")(lambda t: checks.battery_label(t.health))
-query("ck_null_audit")(lambda t: checks.null_audit(t.health))
-query("ck_debt_validation", "calculated_debt")(lambda t: checks.debt_validation(t.health))
+query("ck_battery_label")(lambda t: checks.battery_label(t.gold_health))
+query("ck_null_audit")(lambda t: checks.null_audit(t.gold_health))
+query("ck_debt_validation", "calculated_debt")(lambda t: checks.debt_validation(t.gold_health))
 query("ck_overreaching")(lambda t: checks.overreaching(t.unified))
-query("ck_current_prs")(lambda t: checks.current_records(t.race))
-query("ck_race_calendar")(lambda t: checks.race_calendar(t.race))
-query("ck_readiness_vs_result")(lambda t: checks.readiness_vs_result(t.race))
-query("ck_10k_progression")(lambda t: checks.ten_k_progression(t.race))
-query("ck_pacing_analysis")(lambda t: checks.pacing_analysis(t.race))
-query("ck_best_races")(lambda t: checks.best_races(t.race))
+query("ck_current_prs")(lambda t: checks.current_records(t.gold_race))
+query("ck_race_calendar")(lambda t: checks.race_calendar(t.gold_race))
+query("ck_readiness_vs_result")(lambda t: checks.readiness_vs_result(t.gold_race))
+query("ck_10k_progression")(lambda t: checks.ten_k_progression(t.gold_race))
+query("ck_pacing_analysis")(lambda t: checks.pacing_analysis(t.gold_race))
+query("ck_best_races")(lambda t: checks.best_races(t.gold_race))
 query("ck_restless_days")(lambda t: checks.restless_days(t.stg_days))
 
 # -- coaching -----------------------------------------------------------------------
 
 query("ctx_acute_chronic")(
-    lambda t: coaching.load_context(t.training).drop("acwr", "pct_easy", "pct_hard")
+    lambda t: coaching.load_context(t.gold_training).drop("acwr", "pct_easy", "pct_hard")
 )
-query("ctx_acwr")(lambda t: coaching.load_context(t.training).select(AID, "acwr"))
+query("ctx_acwr")(lambda t: coaching.load_context(t.gold_training).select(AID, "acwr"))
 query("ctx_zone_split")(
-    lambda t: coaching.load_context(t.training).select(AID, "pct_easy", "pct_hard")
+    lambda t: coaching.load_context(t.gold_training).select(AID, "pct_easy", "pct_hard")
 )
-query("ctx_health_7d")(lambda t: coaching.health_context(t.health).drop("hrv_trend_pct"))
-query("ctx_hrv_trend")(lambda t: coaching.health_context(t.health).select(AID, "hrv_trend_pct"))
-query("ctx_pr_paces")(lambda t: coaching.race_context(t.race))
+query("ctx_health_7d")(lambda t: coaching.health_context(t.gold_health).drop("hrv_trend_pct"))
+query("ctx_hrv_trend")(lambda t: coaching.health_context(t.gold_health).select(AID, "hrv_trend_pct"))
+query("ctx_pr_paces")(lambda t: coaching.race_context(t.gold_race))
 query("ctx_goal")(lambda t: coaching.goal_context(coaching.newest_goal(t.analysis_log), AS_OF))
 query("coaching_context")(lambda t: t.context)
 for _rule in coaching.ALERTS:
@@ -811,7 +834,7 @@ query("dq_report")(lambda t: quality.report(t.tested, quality_specs.TESTS))
 # -- sorts, top-n, sets -------------------------------------------------------------
 
 query("sort_marts")(
-    lambda t: t.race.select(*RACE, "race_date", "performance_rating").orderBy(
+    lambda t: t.gold_race.select(*RACE, "race_date", "performance_rating").orderBy(
         c("race_date").desc(), AID, "race_id"
     )
 )
@@ -821,6 +844,7 @@ query("topn_per_athlete")(
         5,
         c("activity_date").desc(),
         c("activity_id").desc(),
+        spread_by="activity_id",
     )
 )
 query("set_distinct")(lambda t: t.stg.select(AID, "activity_type", "pace_zone").distinct())

@@ -10,7 +10,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ATHLETE = "athlete_id"
@@ -31,54 +31,53 @@ class Test:
     where: str | None = None
     severity: str = "warn"
 
-    def failing(self) -> Column:
-        """True for a row that fails; a null passes all but ``not_null``."""
-        x = F.col(self.column)
+    def failing(self) -> str:
+        """SQL condition of a row that fails; a null passes all but ``not_null``."""
+        x = f"`{self.column}`"
         if self.kind == "not_null":
-            bad = x.isNull()
+            bad = f"{x} IS NULL"
         elif self.kind == "accepted_values":
-            bad = ~x.isin(list(self.arg))
+            bad = f"{x} NOT IN ({', '.join(map(_literal, self.arg))})"
         elif self.kind == "accepted_range":
             low, high = self.arg
-            bad = F.lit(False)
-            if low is not None:
-                bad = bad | (x < low)
-            if high is not None:
-                bad = bad | (x > high)
+            sides = [f"{x} < {low}"] if low is not None else []
+            sides += [f"{x} > {high}"] if high is not None else []
+            bad = " OR ".join(sides) or "FALSE"
         elif self.kind == "expression":
-            bad = ~F.expr(f"`{self.column}` {self.arg}")
+            bad = f"NOT ({x} {self.arg})"
         else:
             raise ValueError(self.kind)
-        return bad & F.expr(self.where) if self.where else bad
+        return f"({bad}) AND ({self.where})" if self.where else bad
 
+    def result(self, failures: str) -> str:
+        """SQL record of the outcome."""
+        labels = {
+            "table_name": self.table,
+            "column_name": self.column,
+            "test_name": self.kind,
+            "where_clause": self.where or "",
+            "severity": self.severity,
+        }
+        fields = [f"{_literal(v)} AS {n}" for n, v in labels.items()]
+        return f"struct({', '.join(fields)}, {failures} AS failures)"
 
-def _status(failures: Column, severity: Column) -> Column:
-    return F.when(failures == 0, F.lit("pass")).otherwise(severity)
 
-
-def _result(test: Test, failures: Column) -> Column:
-    return F.struct(
-        F.lit(test.table).alias("table_name"),
-        F.lit(test.column).alias("column_name"),
-        F.lit(test.kind).alias("test_name"),
-        F.lit(test.where or "").alias("where_clause"),
-        F.lit(test.severity).alias("severity"),
-        failures.alias("failures"),
-    )
+def _literal(value) -> str:
+    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
 def run_row_tests(df: DataFrame, tests: list[Test]) -> DataFrame:
     """One pass over the table, one row per test."""
-    counted = df.agg(*[F.count_if(t.failing()).alias(f"t{i}") for i, t in enumerate(tests)])
-    results = F.array(*[_result(t, F.col(f"t{i}")) for i, t in enumerate(tests)])
-    return counted.select(F.inline(results))
+    counted = df.selectExpr(*[f"count_if({t.failing()}) AS t{i}" for i, t in enumerate(tests)])
+    results = ", ".join(t.result(f"t{i}") for i, t in enumerate(tests))
+    return counted.selectExpr(f"inline(array({results}))")
 
 
 def run_unique(df: DataFrame, test: Test) -> DataFrame:
     """Number of keys (athlete, column) stored more than once."""
     keys = df.filter(F.col(test.column).isNotNull()).groupBy(ATHLETE, test.column).count()
     repeated = keys.agg(F.count_if(F.col("count") > 1).alias("n"))
-    return repeated.select(F.inline(F.array(_result(test, F.col("n")))))
+    return repeated.selectExpr(f"inline(array({test.result('n')}))")
 
 
 def report(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
@@ -91,7 +90,8 @@ def report(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
             parts.append(run_row_tests(df, by_row))
         parts += [run_unique(df, t) for t in mine if t.kind == "unique"]
     found = reduce(DataFrame.unionByName, parts)
-    return found.withColumn("status", _status(F.col("failures"), F.col("severity")))
+    status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.col("severity"))
+    return found.withColumn("status", status)
 
 
 def freshness(

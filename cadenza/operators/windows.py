@@ -30,19 +30,36 @@ def whole(*keys: str):
     return Window.partitionBy(ATHLETE, *keys)
 
 
-def newest(df: DataFrame, n: int, *order: Column, keys: tuple[str, ...] = (ATHLETE,)) -> DataFrame:
-    """The first ``n`` rows per key in ``order``.
-
-    Spark cuts every map partition to ``n`` rows per key before the shuffle, so a busy
-    key costs its reducer n rows per map task.
-    """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+# Parts a busy key is cut into before its final ranking.
+SPREAD = 64
 
 
 def newest_ranked(
-    df: DataFrame, n: int, *order: Column, keys: tuple[str, ...] = (ATHLETE,)
+    df: DataFrame,
+    n: int,
+    *order: Column,
+    keys: tuple[str, ...] = (ATHLETE,),
+    spread_by: str | None = None,
 ) -> DataFrame:
-    """Like :func:`newest`, keeping the rank as ``rank``."""
+    """The first ``n`` rows per key in ``order``, with their ``rank``.
+
+    Spark cuts every map partition to ``n`` rows per key before the shuffle. On tables
+    without a calendar bound name a row id in ``spread_by``: the rows left of one key are
+    then ranked in 64 parts first, so that no task sees n rows from every map task.
+    """
+    if spread_by is not None:
+        part = F.pmod(F.xxhash64(spread_by), F.lit(SPREAD))
+        in_part = Window.partitionBy(*keys, "_part").orderBy(*order)
+        df = (
+            df.withColumn("_part", part)
+            .withColumn("_place", F.row_number().over(in_part))
+            .filter(F.col("_place") <= n)
+            .drop("_part", "_place")
+        )
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("rank", rank).filter(F.col("rank") <= n)
+
+
+def newest(df: DataFrame, n: int, *order: Column, **how) -> DataFrame:
+    """:func:`newest_ranked` without the rank."""
+    return newest_ranked(df, n, *order, **how).drop("rank")

@@ -36,26 +36,18 @@ def marts(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-_YEAR = {
-    "mart_training": "year(week_start_date)",
-    "mart_health": "year(date)",
-    "mart_race": "year(race_date)",
-}
+def write_mart(df: DataFrame, path: str) -> None:
+    """Store a mart, rebuilt in full.
 
-
-def write_mart(df: DataFrame, path: str, year: str) -> None:
-    """Store a mart, rebuilt in full, one folder per year."""
-    partitioned = df.selectExpr("*", f"{year} AS part_year")
-    (
-        partitioned.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("part_year")
-        .parquet(path)
-    )
+    The windows leave it clustered and sorted by athlete, so the files' own statistics
+    find one athlete's rows; folders per athlete or year would only cut it into many
+    small files.
+    """
+    df.write.mode("overwrite").parquet(path)
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("part_year")
+    return spark.read.parquet(path)
 
 
 def build(raw: dict[str, DataFrame], out: str) -> dict[str, str]:
@@ -63,5 +55,5 @@ def build(raw: dict[str, DataFrame], out: str) -> dict[str, str]:
     paths = {}
     for name, df in marts(raw).items():
         paths[name] = f"{out}/{name}"
-        write_mart(df, paths[name], _YEAR[name])
+        write_mart(df, paths[name])
     return paths

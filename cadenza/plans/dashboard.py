@@ -72,6 +72,7 @@ def recent_activities(activities: DataFrame, n: int = 10) -> DataFrame:
         n,
         c("activity_date").desc(),
         c("activity_id").desc(),
+        spread_by="activity_id",
     )
 
 

@@ -22,6 +22,10 @@ c = F.col
 
 DAY = ["athlete_id", "race_date"]
 CATEGORY = ["athlete_id", "race_distance_category"]
+# Races outside the distance bands follow each other too. Under a name of their own they
+# join by plain equality, which keeps the partitioning of the windows before the join.
+DISTANCE = ["athlete_id", "_distance"]
+UNGRADED = "ungraded"
 LOOK_BACK_DAYS = 30
 
 
@@ -135,10 +139,15 @@ def with_day_context(race: DataFrame, context: DataFrame) -> DataFrame:
     return joined.drop("_nth", "prev_race_date", "races_before", "races_before_in_year")
 
 
+@reusable
+def _distance_name() -> Column:
+    return F.coalesce("race_distance_category", F.lit(UNGRADED))
+
+
 @reusable
 def _distance_day() -> tuple[Column, list[Column], list[Column | str]]:
     """Rank from the day's end, the day's aggregates, and the columns over days."""
-    in_day = Window.partitionBy(*CATEGORY, "race_date").orderBy(c("race_id").desc())
+    in_day = Window.partitionBy(*DISTANCE, "race_date").orderBy(c("race_id").desc())
     pace, from_end = c("pace_min_per_km"), c("_from_end")
     totals = [
         F.min("duration_minutes").alias("_minutes"),
@@ -147,14 +156,14 @@ def _distance_day() -> tuple[Column, list[Column], list[Column | str]]:
         F.max(F.when(from_end == 2, pace)).alias("_last_2"),
         F.count("*").alias("_races"),
     ]
-    by_day = Window.partitionBy(*CATEGORY).orderBy("race_date")
-    at_distance = Window.partitionBy(*CATEGORY)
-    graded = c("race_distance_category").isNotNull()
+    by_day = Window.partitionBy(*DISTANCE).orderBy("race_date")
+    at_distance = Window.partitionBy(*DISTANCE)
+    graded = c("_distance") != UNGRADED
     before_2 = F.when(
         F.lag("_races", 1).over(by_day) > 1, F.lag("_last_2", 1).over(by_day)
     ).otherwise(F.lag("_last_1", 2).over(by_day))
     over_days = [
-        *CATEGORY,
+        *DISTANCE,
         "race_date",
         F.when(graded, F.min("_minutes").over(at_distance)).alias("pr_duration_minutes"),
         F.when(graded, F.min("_pace").over(at_distance)).alias("pr_pace_min_per_km"),
@@ -171,10 +180,11 @@ def distance_days(race: DataFrame) -> DataFrame:
     windows over one athlete then run on this day table.
     """
     from_end, totals, over_days = _distance_day()
-    placed = race.select(
-        *CATEGORY, "race_date", "duration_minutes", "pace_min_per_km", from_end
+    named = race.withColumn("_distance", _distance_name())
+    placed = named.select(
+        *DISTANCE, "race_date", "duration_minutes", "pace_min_per_km", from_end
     )
-    return placed.groupBy(*CATEGORY, "race_date").agg(*totals).select(*over_days)
+    return placed.groupBy(*DISTANCE, "race_date").agg(*totals).select(*over_days)
 
 
 def personal_records(race: DataFrame) -> DataFrame:
@@ -191,7 +201,7 @@ def personal_records(race: DataFrame) -> DataFrame:
 
 @reusable
 def _places() -> dict[str, Column]:
-    in_day = Window.partitionBy(*CATEGORY, "race_date").orderBy("race_id")
+    in_day = Window.partitionBy(*DISTANCE, "race_date").orderBy("race_id")
     return {
         "_nth": F.row_number().over(in_day),
         "_lag_1": F.lag("pace_min_per_km", 1).over(in_day),
@@ -226,13 +236,12 @@ def with_distance_history(race: DataFrame, days: DataFrame) -> DataFrame:
 
     Races without a category have no record, but they do follow each other.
     """
-    keys = [*CATEGORY, "race_date"]
-    on = [c(f"r.{k}").eqNullSafe(c(f"d.{k}")) for k in keys]
-    known = [f"d.{n}" for n in days.columns if n not in keys]
-    placed = race.withColumns(_places()).alias("r")
-    joined = placed.join(days.alias("d"), on, "left").select("r.*", *known)
+    named = race.withColumn("_distance", _distance_name()).withColumns(_places())
+    joined = named.join(days, [*DISTANCE, "race_date"], "left")
     traced = joined.withColumns(_history())
-    return traced.drop("_nth", "_lag_1", "_lag_2", "_before_day_1", "_before_day_2")
+    return traced.drop(
+        "_distance", "_nth", "_lag_1", "_lag_2", "_before_day_1", "_before_day_2"
+    )
 
 
 def with_goals(race: DataFrame, goals: DataFrame) -> DataFrame:

@@ -36,7 +36,8 @@ def weather_runs(raw: DataFrame) -> DataFrame:
         (c("weather_wind_speed_ms") * 3.6).alias("wind_kmh"),
         c("weather_precipitation_mm").alias("rain"),
     )
-    return newest(runs, LATEST_RUNS, c("activity_date").desc(), c("activity_id").desc())
+    newer = (c("activity_date").desc(), c("activity_id").desc())
+    return newest(runs, LATEST_RUNS, *newer, spread_by="activity_id")
 
 
 def temp_buckets(runs: DataFrame) -> DataFrame:

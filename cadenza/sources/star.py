@@ -29,7 +29,7 @@ def _build(df: DataFrame, base: dict[str, str], steps: list[dict[str, str]], kee
     return out
 
 
-# Raw tables already written by this application: (application, directory, table) to path.
+# Tables already written by this application: (application, directory, table) to path.
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -48,17 +48,27 @@ class StarTables:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _raw(self, name: str, projected: Callable[[], DataFrame]) -> DataFrame:
+    def _once(self, name: str, derived: Callable[[], DataFrame]) -> str:
+        """Path of a derived table, written when first asked for."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _written:
-            path = new_path(self.spark, f"raw-{name}")
-            conform(projected(), schemas.TABLES[name]).write.parquet(path)
+            path = new_path(self.spark, name)
+            derived().write.parquet(path)
             _written[key] = path
-        return read_table(self.spark, _written[key], name)
+        return _written[key]
+
+    def _raw(self, name: str, projected: Callable[[], DataFrame]) -> DataFrame:
+        path = self._once(name, lambda: conform(projected(), schemas.TABLES[name]))
+        return read_table(self.spark, path, name)
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self._read("orders").select(
+        orders = self._read("orders")
+        # The test tables are one file each, which one task would read.
+        cores = self.spark.sparkContext.defaultParallelism
+        if len(orders.inputFiles()) < cores:
+            orders = orders.repartition(cores, "o_orderkey")
+        return orders.select(
             "o_orderpriority",
             F.col("o_orderkey").alias("k"),
             F.col("o_custkey").alias("c"),
