@@ -17,7 +17,7 @@ ATHLETE = "athlete_id"
 
 
 @dataclass(frozen=True)
-class Test:
+class ColumnTest:
     """One declared test of a column. ``arg`` depends on ``kind``:
 
     ``accepted_values`` the values, ``accepted_range`` (min, max) with ``None`` for open,
@@ -66,21 +66,21 @@ def _literal(value) -> str:
     return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
-def run_row_tests(df: DataFrame, tests: list[Test]) -> DataFrame:
+def run_row_tests(df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
     """One pass over the table, one row per test."""
     counted = df.selectExpr(*[f"count_if({t.failing()}) AS t{i}" for i, t in enumerate(tests)])
     results = ", ".join(t.result(f"t{i}") for i, t in enumerate(tests))
     return counted.selectExpr(f"inline(array({results}))")
 
 
-def run_unique(df: DataFrame, test: Test) -> DataFrame:
+def run_unique(df: DataFrame, test: ColumnTest) -> DataFrame:
     """Number of keys (athlete, column) stored more than once."""
     keys = df.filter(F.col(test.column).isNotNull()).groupBy(ATHLETE, test.column).count()
     repeated = keys.agg(F.count_if(F.col("count") > 1).alias("n"))
     return repeated.selectExpr(f"inline(array({test.result('n')}))")
 
 
-def report(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
+def report(tables: dict[str, DataFrame], tests: list[ColumnTest]) -> DataFrame:
     """One row per test over all tables."""
     parts = []
     for name, df in tables.items():

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cadenza import constants as K
-from cadenza.operators.quality import Test
+from cadenza.operators.quality import ColumnTest
 
 _FLAG = (True, False)
 _DISTANCES = tuple(K.DISTANCE_LABELS)
@@ -35,16 +35,16 @@ def _tests(
     expressions: dict | None = None,
     where: dict | None = None,
     errors: tuple = (),
-) -> list[Test]:
+) -> list[ColumnTest]:
     where = where or {}
-    out = [Test(table, c, "unique") for c in unique.split()]
-    out += [Test(table, c, "not_null") for c in not_null.split()]
+    out = [ColumnTest(table, c, "unique") for c in unique.split()]
+    out += [ColumnTest(table, c, "not_null") for c in not_null.split()]
     out += [
-        Test(table, c, "accepted_values", tuple(v), where.get(c)) for c, v in (values or {}).items()
+        ColumnTest(table, c, "accepted_values", tuple(v), where.get(c)) for c, v in (values or {}).items()
     ]
-    out += [Test(table, c, "accepted_range", r, where.get(c)) for c, r in (ranges or {}).items()]
+    out += [ColumnTest(table, c, "accepted_range", r, where.get(c)) for c, r in (ranges or {}).items()]
     out += [
-        Test(table, c, "expression", e, None, "error" if c in errors else "warn")
+        ColumnTest(table, c, "expression", e, None, "error" if c in errors else "warn")
         for c, e in (expressions or {}).items()
     ]
     return out
@@ -54,7 +54,7 @@ def _present(*columns: str) -> dict:
     return {c: f"{c} is not null" for c in columns}
 
 
-TESTS: list[Test] = [
+TESTS: list[ColumnTest] = [
     *_tests(
         "activities",
         unique="activity_id",
