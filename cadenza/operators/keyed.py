@@ -118,10 +118,9 @@ class MonthTable:
         return conform(df, self.schema).withColumn(self.PARTITION, month)
 
     def _write(self, df: DataFrame, path: str, mode: str) -> None:
-        # Rows of a month go to several files by key, so a full month is no single task.
-        salt = F.pmod(F.xxhash64(*self.keys), F.lit(8))
+        # Few files per month, but a month too large for one task is split by size.
         (
-            df.repartition(F.col(self.PARTITION), salt)
+            df.hint("rebalance", self.PARTITION)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
             .partitionBy(self.PARTITION)
@@ -194,6 +193,12 @@ class MonthTable:
 
     # -- helpers --------------------------------------------------------------------
 
+    def stage(self, batch: DataFrame) -> DataFrame:
+        """Write a batch that several loads use, so that it is computed once."""
+        path = new_path(self.spark, "batch")
+        batch.write.parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path)
+
     def _months(self, rows: DataFrame) -> list[str]:
         """Months of rows: at most one value per calendar month, so safe to collect."""
         return [r[0] for r in rows.select(self.PARTITION).distinct().collect()]

@@ -20,6 +20,7 @@ def build_session(cores: int | str = "*", **extra: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="cadenza-warehouse-"))
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -103,7 +103,9 @@ ACTIVITY_STEPS = [
     },
 ]
 
-_SLEEP = "CAST(14400 + (h * 101) % 18000 AS INT)"
+# Every tenth athlete sleeps badly and stays tired.
+_TIRED = "athlete_id % 10 = 3"
+_SLEEP = f"CAST(CASE WHEN {_TIRED} THEN 3600 + h % 7200 ELSE 14400 + (h * 101) % 18000 END AS INT)"
 _STEPS = "CAST((h * 13) % 15000 + q AS INT)"
 HEALTH_BASE = {
     "athlete_id": "athlete_id",
@@ -118,9 +120,14 @@ HEALTH_BASE = {
         "CASE h % 4 WHEN 0 THEN 'BALANCED' WHEN 1 THEN 'UNBALANCED' WHEN 2 THEN 'LOW' ELSE 'POOR' END"
     ),
     "awake_seconds": "CAST((h * 7) % 3600 AS INT)",
-    "stress_avg": "CASE WHEN h % 23 = 0 THEN NULL ELSE CAST((h * 19) % 100 AS INT) END",
+    "stress_avg": (
+        f"CASE WHEN h % 23 = 0 THEN NULL WHEN {_TIRED} THEN CAST(60 + h % 40 AS INT)"
+        " ELSE CAST((h * 19) % 100 AS INT) END"
+    ),
     "body_battery_charged": "CAST(h % 80 AS INT)",
-    "body_battery_drained": "CAST((h * 5) % 80 AS INT)",
+    "body_battery_drained": (
+        f"CAST(CASE WHEN {_TIRED} THEN 80 + h % 20 ELSE (h * 5) % 80 END AS INT)"
+    ),
     "body_battery_high": "CASE WHEN h % 37 = 0 THEN NULL ELSE CAST(20 + (h * 3) % 80 AS INT) END",
     "body_battery_low": "CAST(h % 20 AS INT)",
     "active_calories": "CAST(h % 900 AS INT)",

@@ -39,7 +39,7 @@ def load_activities(table: MonthTable, records: DataFrame, loaded_at: dt.datetim
     """Insert unseen activities, then fill weather that stored ones lack."""
     last = latest_per_key(records, ["athlete_id", "activityId"], "fetch")
     base = landed.normalise_activities(last, keep=("weather_json",))
-    batch = landed.normalise_weather(base, keep=tuple(base.columns[2:-1]))
+    batch = table.stage(landed.normalise_weather(base, keep=tuple(base.columns[2:-1])))
     table.insert_new(batch, loaded_at)
     table.backfill_weather(batch, loaded_at)
 
@@ -52,13 +52,13 @@ def load_health(table: MonthTable, records: DataFrame, loaded_at: dt.datetime) -
         return last.filter(F.col(name).isNotNull()).select("athlete_id", "date", f"{name}.*")
 
     days = landed.normalise_daily_health(part("stats"), part("hrv"), part("sleep"))
-    table.insert_new(days, loaded_at)
+    table.insert_new(table.stage(days), loaded_at)
 
 
 def load_calendar(table: MonthTable, records: DataFrame, loaded_at: dt.datetime) -> None:
     """Store race events over older versions of themselves."""
     last = latest_per_key(records, ["athlete_id", "month"], "fetch")
-    table.replace_by_key(landed.normalise_calendar(last), loaded_at)
+    table.replace_by_key(table.stage(landed.normalise_calendar(last)), loaded_at)
 
 
 LOADERS: dict[str, tuple[str, Callable[[MonthTable, DataFrame, dt.datetime], None]]] = {

@@ -28,7 +28,7 @@ def activity(ident, fetch=1, **change):
         "activityName": "Lunch run",
         "startTimeLocal": "2025-03-05 12:00:00",
         "activityType": {"typeKey": "running"},
-        "distance": 10005.0,
+        "distance": 10004.0,
         "duration": 3000.0,
         "fetch": fetch,
     }
