@@ -206,3 +206,117 @@ TEMP_BUCKETS = [
     ("Mild (15–22°C)", 15, 22),
     ("Warm (> 22°C)", 22, None),
 ]
+
+# Level, emoji and text of each alert, the graver one first.
+ALERT_TEXTS = {
+    "load": [
+        (
+            "red",
+            "🔴",
+            "Training load spike: ACWR is {acwr} (>1.5 = high injury risk). "
+            "Acute load is {acwr_pct}% of your chronic baseline.",
+        ),
+        (
+            "yellow",
+            "🟡",
+            "Training load increasing quickly: ACWR is {acwr} (optimal range: 0.8–1.3). "
+            "Monitor for fatigue signs.",
+        ),
+    ],
+    "hrv": [
+        (
+            "red",
+            "🔴",
+            "HRV dropped {drop}% vs your 4-week average (now {hrv}ms). "
+            "Strong recovery signal — consider an easy week.",
+        ),
+        (
+            "yellow",
+            "🟡",
+            "HRV trending down: {trend}% vs 4-week average ({hrv}ms). Mild fatigue accumulation.",
+        ),
+    ],
+    "sleep": [
+        (
+            "red",
+            "🔴",
+            "Critical sleep deficit: averaging {hours}h/night this week "
+            "(minimum recommended for athletes: 7h). Performance will be impaired.",
+        ),
+        (
+            "yellow",
+            "🟡",
+            "Insufficient sleep: {hours}h/night average this week. "
+            "Athletes typically need 7–9h for optimal recovery.",
+        ),
+    ],
+    "recovery": [
+        (
+            "red",
+            "🔴",
+            "Low recovery score: {score}/100 average this week. "
+            "Body is not fully recovering between sessions.",
+        ),
+    ],
+    "goal_gap": [
+        (
+            "yellow",
+            "🎯",
+            "Ambitious goal: your current {distance} pace is {now}/km — your target requires "
+            "{goal}/km ({gap}% faster). Worth discussing with your coach.",
+        ),
+    ],
+}
+# Limits of the alerts, in the order of the texts above.
+ACWR_LIMITS = [1.5, 1.3]  # above
+HRV_TREND_LIMITS = [-20, -10]  # below
+SLEEP_LIMITS = [5.0, 6.5]  # below
+RECOVERY_LIMIT = 40  # below
+GOAL_GAP_LIMIT = -25  # below
+
+# The lines of the coaching text.
+PROMPT_LINES = [
+    "ATHLETE DATA — last 4 weeks",
+    "",
+    "TRAINING LOAD",
+    "- Weekly volume: {weekly_km} km/week (4-week avg)",
+    "- Training load (TRIMP): {weekly_load}/week (4-week avg)",
+    "- Load trend: {load_trend}% vs previous 4 weeks",
+    "- ACWR (injury risk ratio): {acwr} (optimal: 0.8–1.3 | caution: >1.3 | danger: >1.5)",
+    "- Average pace: {pace}/km",
+    "- HR zone split: {easy}% easy (zones 1–2) / {hard}% hard (zones 3–5)",
+    "  Note: 80/20 rule = ~80% easy / 20% hard",
+    "",
+    "HEALTH — last 7 days",
+    "- Sleep: {sleep}h/night avg",
+    "- HRV: {hrv} (trend vs 4-week avg: {hrv_trend})",
+    "- Resting HR: {resting_hr}",
+    "- Stress: {stress}",
+    "- Recovery score: {recovery}",
+    "- Training readiness: {readiness}",
+    "",
+    "RACE HISTORY",
+    "- Last race: {last_distance} at {last_pace}/km",
+    "- PRs: 5K {pr_5k} | 10K {pr_10k} | Half {pr_half} | Marathon {pr_marathon}",
+    "",
+    "GOAL",
+    "- Race: {goal}",
+    "- Target time: {goal_hours}h{goal_minutes}",
+    "- Required pace: {goal_pace}/km",
+    "- Time to race: {weeks} weeks",
+]
+NOT_KNOWN = "N/A"
+
+# The lines of the weather texts.
+WEATHER_HEAD = "Historical weather impact (based on {n} runs with weather data):"
+WEATHER_TEMP_HEAD = "Temperature vs pace:"
+WEATHER_BUCKET = "  {bucket}: avg pace {pace}/km ({n} runs)"
+WEATHER_WIND = (
+    "Wind impact: pace is {size}s/km {direction} in strong wind (>25 km/h)"
+    " vs calm conditions (<15 km/h)"
+)
+WEATHER_RAIN = "Rain impact: pace is {size}s/km {direction} in rainy conditions (≥2mm) vs dry runs"
+FORECAST_HEAD = "WEATHER FORECAST — {city} (next 7 days)"
+FORECAST_DAY = "- {day} ({date}): {low}–{high}°C, {condition}{flags}"
+FORECAST_HEAT = "⚠️ heat"
+FORECAST_FROST = "⚠️ frost"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,13 @@ from cadenza.functions.numeric import rnd, rnd_pos
 MISSING = "—"
 
 
+def fill(template: str, values: dict[str, Column]) -> Column:
+    """Text with each ``{name}`` replaced; null when a value it names is null."""
+    parts = re.split(r"\{(\w+)\}", template)
+    cells = [values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts) if p or not i]
+    return F.concat(*cells)
+
+
 def fixed(x: Column, places: int) -> Column:
     """Number with a fixed count of decimals; null stays null."""
     return F.when(x.isNotNull(), F.format_string(f"%.{places}f", rnd(x, places)))

@@ -74,5 +74,5 @@ def forecast_flags(rain: Column, wind: Column, t_min: Column, t_max: Column) ->
         first_match(
             [(wind >= 30, reading("strong wind ", wind, "km/h")), (wind >= 20, reading("wind ", wind, "km/h"))]
         ),
-        first_match([(t_max >= 28, F.lit("⚠️ heat")), (t_min <= 0, F.lit("⚠️ frost"))]),
+        first_match([(t_max >= 28, F.lit(K.FORECAST_HEAT)), (t_min <= 0, F.lit(K.FORECAST_FROST))]),
     )

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza import constants as K
 from cadenza.functions import dates as D
 from cadenza.functions import text as T
 from cadenza.functions.numeric import first_match, rnd_agg
+from cadenza.functions.reuse import reusable
 from cadenza.operators.windows import newest_ranked
 
 c = F.col
@@ -157,110 +158,46 @@ def coaching_context(
 # -- alerts -------------------------------------------------------------------------
 
 
-def _alert(level: str, emoji: str, *message: Column | str) -> Column:
-    parts = [F.lit(m) if isinstance(m, str) else m for m in message]
+def _alert(text: tuple[str, str, str], words: dict[str, Column]) -> Column:
+    level, emoji, message = text
     return F.struct(
-        F.lit(level).alias("level"), F.lit(emoji).alias("emoji"), F.concat(*parts).alias("message")
+        F.lit(level).alias("level"),
+        F.lit(emoji).alias("emoji"),
+        T.fill(message, words).alias("message"),
     )
 
 
-def _red(*message) -> Column:
-    return _alert("red", "🔴", *message)
-
-
-def _yellow(*message) -> Column:
-    return _alert("yellow", "🟡", *message)
+def _graded(name: str, tests: list[Column], words: dict[str, Column]) -> Column:
+    """The first alert of a rule whose test holds, null when none does."""
+    texts = K.ALERT_TEXTS[name]
+    return first_match([(t, _alert(x, words)) for t, x in zip(tests, texts, strict=True)])
 
 
 def load_alert() -> Column:
     acwr = c("acwr")
-    return first_match(
-        [
-            (
-                acwr > 1.5,
-                _red(
-                    "Training load spike: ACWR is ",
-                    T.fixed(acwr, 2),
-                    " (>1.5 = high injury risk). Acute load is ",
-                    T.whole(acwr * 100),
-                    "% of your chronic baseline.",
-                ),
-            ),
-            (
-                acwr > 1.3,
-                _yellow(
-                    "Training load increasing quickly: ACWR is ",
-                    T.fixed(acwr, 2),
-                    " (optimal range: 0.8–1.3). Monitor for fatigue signs.",
-                ),
-            ),
-        ]
-    )
+    words = {"acwr": T.fixed(acwr, 2), "acwr_pct": T.whole(acwr * 100)}
+    return _graded("load", [acwr > limit for limit in K.ACWR_LIMITS], words)
 
 
 def hrv_alert() -> Column:
-    trend, hrv = c("hrv_trend_pct"), T.whole(c("avg_hrv"))
-    return first_match(
-        [
-            (
-                trend < -20,
-                _red(
-                    "HRV dropped ",
-                    T.whole(F.abs(trend)),
-                    "% vs your 4-week average (now ",
-                    hrv,
-                    "ms). Strong recovery signal — consider an easy week.",
-                ),
-            ),
-            (
-                trend < -10,
-                _yellow(
-                    "HRV trending down: ",
-                    T.whole(trend),
-                    "% vs 4-week average (",
-                    hrv,
-                    "ms). Mild fatigue accumulation.",
-                ),
-            ),
-        ]
-    )
+    trend = c("hrv_trend_pct")
+    words = {
+        "trend": T.whole(trend),
+        "drop": T.whole(F.abs(trend)),
+        "hrv": T.whole(c("avg_hrv")),
+    }
+    return _graded("hrv", [trend < limit for limit in K.HRV_TREND_LIMITS], words)
 
 
 def sleep_alert() -> Column:
     hours = c("avg_sleep_hours")
-    return first_match(
-        [
-            (
-                hours < 5.0,
-                _red(
-                    "Critical sleep deficit: averaging ",
-                    T.fixed(hours, 1),
-                    "h/night this week (minimum recommended for athletes: 7h)."
-                    " Performance will be impaired.",
-                ),
-            ),
-            (
-                hours < 6.5,
-                _yellow(
-                    "Insufficient sleep: ",
-                    T.fixed(hours, 1),
-                    "h/night average this week. Athletes typically need 7–9h for optimal recovery.",
-                ),
-            ),
-        ]
-    )
+    words = {"hours": T.fixed(hours, 1)}
+    return _graded("sleep", [hours < limit for limit in K.SLEEP_LIMITS], words)
 
 
 def recovery_alert() -> Column:
     score = c("avg_recovery_score")
-    return F.when(
-        score < 40,
-        _red(
-            "Low recovery score: ",
-            T.whole(score),
-            "/100 average this week. Body is not fully recovering between sessions.",
-        ),
-    )
+    return _graded("recovery", [score < K.RECOVERY_LIMIT], {"score": T.whole(score)})
 
 
 def current_race_pace() -> Column:
@@ -274,22 +211,13 @@ def current_race_pace() -> Column:
 def goal_alert() -> Column:
     now, goal = current_race_pace(), c("goal_pace_min_per_km")
     gap = (goal - now) / F.nullif(now, F.lit(0.0)) * 100
-    return F.when(
-        gap < -25,
-        _alert(
-            "yellow",
-            "🎯",
-            "Ambitious goal: your current ",
-            c("goal_distance"),
-            " pace is ",
-            T.pace_uncarried(now),
-            "/km — your target requires ",
-            T.pace_uncarried(goal),
-            "/km (",
-            T.fixed(F.abs(gap), 0),
-            "% faster). Worth discussing with your coach.",
-        ),
-    )
+    words = {
+        "distance": c("goal_distance"),
+        "now": T.pace_uncarried(now),
+        "goal": T.pace_uncarried(goal),
+        "gap": T.fixed(F.abs(gap), 0),
+    }
+    return _graded("goal_gap", [gap < K.GOAL_GAP_LIMIT], words)
 
 
 ALERTS = {
@@ -324,12 +252,12 @@ def alerts(context: DataFrame) -> DataFrame:
 # -- prompt -------------------------------------------------------------------------
 
 
-def _optional(x: Column, unit: str = "") -> Column:
-    return F.coalesce(F.concat(x.cast("string"), F.lit(unit)), F.lit("N/A"))
+def _known(x: Column, unit: str = "") -> Column:
+    return F.coalesce(F.concat(x.cast("string"), F.lit(unit)), F.lit(K.NOT_KNOWN))
 
 
-def _optional_pace(x: Column) -> Column:
-    return F.coalesce(T.pace_uncarried(x), F.lit("N/A"))
+def _known_pace(x: Column) -> Column:
+    return F.coalesce(T.pace_uncarried(x), F.lit(K.NOT_KNOWN))
 
 
 def _signed(x: Column) -> Column:
@@ -337,92 +265,47 @@ def _signed(x: Column) -> Column:
     return F.concat(sign, T.whole(F.abs(x)))
 
 
+@reusable
+def _prompt() -> Column:
+    minutes, pace = c("goal_time_minutes"), c("avg_pace_min_per_km")
+    words = {
+        "weekly_km": c("avg_weekly_km").cast("string"),
+        "weekly_load": c("avg_weekly_load").cast("string"),
+        "load_trend": _signed(c("load_trend_pct")),
+        "acwr": c("acwr").cast("string"),
+        "pace": _known_pace(F.when(pace > 0, pace)),
+        "easy": T.whole(c("pct_easy")),
+        "hard": T.whole(c("pct_hard")),
+        "sleep": c("avg_sleep_hours").cast("string"),
+        "hrv": _known(c("avg_hrv"), "ms"),
+        "hrv_trend": _known(c("hrv_trend_pct"), "%"),
+        "resting_hr": _known(c("avg_resting_hr"), " bpm"),
+        "stress": _known(c("avg_stress"), "/100"),
+        "recovery": _known(c("avg_recovery_score"), "/100"),
+        "readiness": _known(c("avg_readiness"), "/100"),
+        "last_distance": _known(c("last_race_distance")),
+        "last_pace": _known_pace(c("last_race_pace_min_per_km")),
+        "pr_5k": _known_pace(c("pr_5k_pace")),
+        "pr_10k": _known_pace(c("pr_10k_pace")),
+        "pr_half": _known_pace(c("pr_half_pace")),
+        "pr_marathon": _known_pace(c("pr_marathon_pace")),
+        "goal": c("goal_distance"),
+        "goal_hours": F.floor(minutes / 60).cast("string"),
+        "goal_minutes": T.two_digits(F.floor(minutes % 60)),
+        "goal_pace": _known_pace(c("goal_pace_min_per_km")),
+        "weeks": c("weeks_to_race").cast("string"),
+    }
+    return T.fill("\n".join(K.PROMPT_LINES), words)
+
+
 def prompt_text(context: DataFrame, weather: DataFrame | None = None) -> DataFrame:
     """The context as one labelled text per athlete, ``N/A`` for what is missing.
 
-    ``weather`` (athlete_id, weather_text) adds a block at the end.
+    ``weather`` (athlete_id, weather_text) adds a block after two blank lines.
     """
-    minutes = c("goal_time_minutes")
-    mean_pace = F.when(c("avg_pace_min_per_km") > 0, c("avg_pace_min_per_km"))
-    # The lines of the text.
-    lines = [
-        ["ATHLETE DATA — last 4 weeks"],
-        [""],
-        ["TRAINING LOAD"],
-        ["- Weekly volume: ", c("avg_weekly_km").cast("string"), " km/week (4-week avg)"],
-        [
-            "- Training load (TRIMP): ",
-            c("avg_weekly_load").cast("string"),
-            "/week (4-week avg)",
-        ],
-        ["- Load trend: ", _signed(c("load_trend_pct")), "% vs previous 4 weeks"],
-        [
-            "- ACWR (injury risk ratio): ",
-            c("acwr").cast("string"),
-            " (optimal: 0.8–1.3 | caution: >1.3 | danger: >1.5)",
-        ],
-        ["- Average pace: ", _optional_pace(mean_pace), "/km"],
-        [
-            "- HR zone split: ",
-            T.whole(c("pct_easy")),
-            "% easy (zones 1–2) / ",
-            T.whole(c("pct_hard")),
-            "% hard (zones 3–5)",
-        ],
-        ["  Note: 80/20 rule = ~80% easy / 20% hard"],
-        [""],
-        ["HEALTH — last 7 days"],
-        ["- Sleep: ", c("avg_sleep_hours").cast("string"), "h/night avg"],
-        [
-            "- HRV: ",
-            _optional(c("avg_hrv"), "ms"),
-            " (trend vs 4-week avg: ",
-            _optional(c("hrv_trend_pct"), "%"),
-            ")",
-        ],
-        ["- Resting HR: ", _optional(c("avg_resting_hr"), " bpm")],
-        ["- Stress: ", _optional(c("avg_stress"), "/100")],
-        ["- Recovery score: ", _optional(c("avg_recovery_score"), "/100")],
-        ["- Training readiness: ", _optional(c("avg_readiness"), "/100")],
-        [""],
-        ["RACE HISTORY"],
-        [
-            "- Last race: ",
-            F.coalesce("last_race_distance", F.lit("N/A")),
-            " at ",
-            _optional_pace(c("last_race_pace_min_per_km")),
-            "/km",
-        ],
-        [
-            "- PRs: 5K ",
-            _optional_pace(c("pr_5k_pace")),
-            " | 10K ",
-            _optional_pace(c("pr_10k_pace")),
-            " | Half ",
-            _optional_pace(c("pr_half_pace")),
-            " | Marathon ",
-            _optional_pace(c("pr_marathon_pace")),
-        ],
-        [""],
-        ["GOAL"],
-        ["- Race: ", c("goal_distance")],
-        [
-            "- Target time: ",
-            F.floor(minutes / 60).cast("string"),
-            "h",
-            T.two_digits(F.floor(minutes % 60)),
-        ],
-        ["- Required pace: ", _optional_pace(c("goal_pace_min_per_km")), "/km"],
-        ["- Time to race: ", c("weeks_to_race").cast("string"), " weeks"],
-    ]
-    text = F.concat_ws(
-        "\n",
-        *[F.concat(*[F.lit(p) if isinstance(p, str) else p for p in line]) for line in lines],
-    )
+    text = _prompt()
     if weather is not None:
         context = context.join(weather, ATHLETE, "left")
-        # Two blank lines: the text ends with a line break of its own.
-        text = F.concat(
-            text, F.coalesce(F.concat(F.lit("\n\n\n"), c("weather_text")), F.lit(""))
-        )
+        block = F.concat(F.lit("\n\n\n"), c("weather_text"))
+        text = F.concat(text, F.coalesce(block, F.lit("")))
     return context.select(ATHLETE, text.alias("prompt"))

@@ -51,15 +51,8 @@ def temp_buckets(runs: DataFrame) -> DataFrame:
 
 
 def _bucket_line(label: Column, pace: Column, n: Column) -> Column:
-    return F.concat(
-        F.lit("  "),
-        label,
-        F.lit(": avg pace "),
-        T.pace_uncarried(rnd_agg(pace, 6)),
-        F.lit("/km ("),
-        n.cast("string"),
-        F.lit(" runs)"),
-    )
+    shown = T.pace_uncarried(rnd_agg(pace, 6))
+    return T.fill(K.WEATHER_BUCKET, {"bucket": label, "pace": shown, "n": n.cast("string")})
 
 
 def _contrast(bad: Column, good: Column) -> tuple[Column, Column, Column]:
@@ -120,28 +113,18 @@ def weather_summary(runs: DataFrame) -> DataFrame:
         for i, (label, _, _) in enumerate(K.TEMP_BUCKETS)
     ]
 
-    def impact_line(diff: Column, kind: str, tail: str) -> Column:
-        return F.concat(
-            F.lit(f"{kind} impact: pace is "),
-            T.fixed(F.abs(rnd_agg(diff, 0)), 0),
-            F.lit("s/km "),
-            _direction(diff),
-            F.lit(tail),
-        )
+
+    def impact_line(template: str, diff: Column) -> Column:
+        size = T.fixed(F.abs(rnd_agg(diff, 0)), 0)
+        return T.fill(template, {"size": size, "direction": _direction(diff)})
 
     text = F.concat_ws(
         "\n",
-        F.concat(
-            F.lit("Historical weather impact (based on "),
-            c("n_runs").cast("string"),
-            F.lit(" runs with weather data):"),
-        ),
-        F.when(F.coalesce(*bucket_lines).isNotNull(), F.lit("Temperature vs pace:")),
+        T.fill(K.WEATHER_HEAD, {"n": c("n_runs").cast("string")}),
+        F.when(F.coalesce(*bucket_lines).isNotNull(), F.lit(K.WEATHER_TEMP_HEAD)),
         *bucket_lines,
-        impact_line(
-            c("_wind"), "Wind", " in strong wind (>25 km/h) vs calm conditions (<15 km/h)"
-        ),
-        impact_line(c("_rain"), "Rain", " in rainy conditions (≥2mm) vs dry runs"),
+        impact_line(K.WEATHER_WIND, c("_wind")),
+        impact_line(K.WEATHER_RAIN, c("_rain")),
     )
     return found.select(
         ATHLETE, "n_runs", F.when(c("n_runs") >= MIN_RUNS, text).alias("summary")
@@ -153,26 +136,17 @@ def forecast_lines(forecast: DataFrame) -> DataFrame:
     flags = W.forecast_flags(
         c("precipitation_mm"), c("wind_kmh"), c("temp_min_c"), c("temp_max_c")
     )
-    tail = F.when(c("flags") != "", F.concat(F.lit(" ["), c("flags"), F.lit("]")))
-    return forecast.withColumn("flags", flags).select(
-        ATHLETE,
-        "city",
-        "date",
-        "flags",
-        F.concat(
-            F.lit("- "),
-            c("day_name"),
-            F.lit(" ("),
-            c("date").cast("string"),
-            F.lit("): "),
-            c("temp_min_c").cast("string"),
-            F.lit("–"),
-            c("temp_max_c").cast("string"),
-            F.lit("°C, "),
-            c("condition"),
-            F.coalesce(tail, F.lit("")),
-        ).alias("line"),
-    )
+    listed = F.when(c("flags") != "", F.concat(F.lit(" ["), c("flags"), F.lit("]")))
+    words = {
+        "day": c("day_name"),
+        "date": c("date").cast("string"),
+        "low": c("temp_min_c").cast("string"),
+        "high": c("temp_max_c").cast("string"),
+        "condition": c("condition"),
+        "flags": F.coalesce(listed, F.lit("")),
+    }
+    line = T.fill(K.FORECAST_DAY, words).alias("line")
+    return forecast.withColumn("flags", flags).select(ATHLETE, "city", "date", "flags", line)
 
 
 def weather_block(forecast: DataFrame, summary: DataFrame) -> DataFrame:
@@ -187,14 +161,7 @@ def weather_block(forecast: DataFrame, summary: DataFrame) -> DataFrame:
         ).alias("_days")
     )
     joined = days.join(summary.select(ATHLETE, "summary"), ATHLETE, "left")
-    return joined.select(
-        ATHLETE,
-        "city",
-        F.concat(
-            F.lit("WEATHER FORECAST — "),
-            c("city"),
-            F.lit(" (next 7 days)\n"),
-            c("_days"),
-            F.coalesce(F.concat(F.lit("\n\n"), c("summary")), F.lit("")),
-        ).alias("weather_text"),
-    )
+    history = F.coalesce(F.concat(F.lit("\n\n"), c("summary")), F.lit(""))
+    head = T.fill(K.FORECAST_HEAD, {"city": c("city")})
+    text = F.concat(head, F.lit("\n"), c("_days"), history)
+    return joined.select(ATHLETE, "city", text.alias("weather_text"))

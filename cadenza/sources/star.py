@@ -66,7 +66,7 @@ class StarTables:
         orders = self._read("orders")
         # The test tables are one file each, which one task would read.
         cores = self.spark.sparkContext.defaultParallelism
-        if len(orders.inputFiles()) < cores:
+        if orders.rdd.getNumPartitions() < cores:
             orders = orders.repartition(cores, "o_orderkey")
         return orders.select(
             "o_orderpriority",

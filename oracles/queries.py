@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from cadenza import constants as K
 from cadenza import quality_specs, schemas
 from cadenza.catalog import ROUNDED
@@ -1023,42 +1025,40 @@ _now = """coalesce(CASE goal_distance WHEN '5K' THEN pr_5k_pace WHEN '10K' THEN
   last_race_pace_min_per_km)"""
 _gap = f"((goal_pace_min_per_km - {_now}) / {_now} * 100)"
 
-# rule -> (place, [(condition, level, emoji, message)]), first condition that holds.
+
+def _fill(template: str, values: dict[str, str]) -> str:
+    """SQL text of a template of ``cadenza.constants``."""
+    parts = re.split(r"\{(\w+)\}", template)
+    cells = [f"({values[p]})" if i % 2 else quote(p) for i, p in enumerate(parts)]
+    return " || ".join(cells)
+
+
+_WORDS = {
+    "acwr": _fixed("acwr", 2),
+    "acwr_pct": _whole("(acwr * 100)"),
+    "drop": _whole("abs(hrv_trend_pct)"),
+    "trend": _whole("hrv_trend_pct"),
+    "hrv": _whole("avg_hrv"),
+    "hours": _fixed("avg_sleep_hours", 1),
+    "score": _whole("avg_recovery_score"),
+    "distance": "goal_distance",
+    "now": _uncarried(_now),
+    "goal": _uncarried("goal_pace_min_per_km"),
+    "gap": _fixed(f"abs({_gap})", 0),
+}
+_CONDITIONS = {
+    "load": ["acwr > 1.5", "acwr > 1.3"],
+    "hrv": ["hrv_trend_pct < -20", "hrv_trend_pct < -10"],
+    "sleep": ["avg_sleep_hours < 5", "avg_sleep_hours < 6.5"],
+    "recovery": ["avg_recovery_score < 40"],
+    "goal_gap": [f"{_gap} < -25"],
+}
 _RULES = {
-    "load": [
-        ("acwr > 1.5", "red", "🔴", "'Training load spike: ACWR is ' || " + _fixed("acwr", 2)
-         + " || ' (>1.5 = high injury risk). Acute load is ' || " + _whole("(acwr * 100)")
-         + " || '% of your chronic baseline.'"),
-        ("acwr > 1.3", "yellow", "🟡", "'Training load increasing quickly: ACWR is ' || "
-         + _fixed("acwr", 2) + " || ' (optimal range: 0.8–1.3). Monitor for fatigue signs.'"),
-    ],
-    "hrv": [
-        ("hrv_trend_pct < -20", "red", "🔴", "'HRV dropped ' || " + _whole("abs(hrv_trend_pct)")
-         + " || '% vs your 4-week average (now ' || " + _whole("avg_hrv")
-         + " || 'ms). Strong recovery signal — consider an easy week.'"),
-        ("hrv_trend_pct < -10", "yellow", "🟡", "'HRV trending down: ' || "
-         + _whole("hrv_trend_pct") + " || '% vs 4-week average (' || " + _whole("avg_hrv")
-         + " || 'ms). Mild fatigue accumulation.'"),
-    ],
-    "sleep": [
-        ("avg_sleep_hours < 5", "red", "🔴", "'Critical sleep deficit: averaging ' || "
-         + _fixed("avg_sleep_hours", 1) + " || 'h/night this week (minimum recommended for"
-         " athletes: 7h). Performance will be impaired.'"),
-        ("avg_sleep_hours < 6.5", "yellow", "🟡", "'Insufficient sleep: ' || "
-         + _fixed("avg_sleep_hours", 1) + " || 'h/night average this week. Athletes typically"
-         " need 7–9h for optimal recovery.'"),
-    ],
-    "recovery": [
-        ("avg_recovery_score < 40", "red", "🔴", "'Low recovery score: ' || "
-         + _whole("avg_recovery_score") + " || '/100 average this week. Body is not fully"
-         " recovering between sessions.'"),
-    ],
-    "goal_gap": [
-        (f"{_gap} < -25", "yellow", "🎯", "'Ambitious goal: your current ' || goal_distance"
-         " || ' pace is ' || " + _uncarried(_now) + " || '/km — your target requires ' || "
-         + _uncarried("goal_pace_min_per_km") + " || '/km (' || " + _fixed(f"abs({_gap})", 0)
-         + " || '% faster). Worth discussing with your coach.'"),
-    ],
+    name: [
+        (when, level, emoji, _fill(text, _WORDS))
+        for when, (level, emoji, text) in zip(tests, K.ALERT_TEXTS[name], strict=True)
+    ]
+    for name, tests in _CONDITIONS.items()
 }
 
 
@@ -1092,48 +1092,36 @@ def _pace_or_na(x: str) -> str:
     return f"coalesce({_uncarried(x)}, 'N/A')"
 
 
-_LINES = [
-    "'ATHLETE DATA — last 4 weeks'",
-    "''",
-    "'TRAINING LOAD'",
-    "'- Weekly volume: ' || avg_weekly_km || ' km/week (4-week avg)'",
-    "'- Training load (TRIMP): ' || avg_weekly_load || '/week (4-week avg)'",
-    "'- Load trend: ' || CASE WHEN load_trend_pct < 0 THEN '-' ELSE '+' END || "
-    + _whole("abs(load_trend_pct)") + " || '% vs previous 4 weeks'",
-    "'- ACWR (injury risk ratio): ' || acwr ||"
-    " ' (optimal: 0.8–1.3 | caution: >1.3 | danger: >1.5)'",
-    "'- Average pace: ' || "
-    + _pace_or_na("CASE WHEN avg_pace_min_per_km > 0 THEN avg_pace_min_per_km END") + " || '/km'",
-    "'- HR zone split: ' || " + _whole("pct_easy") + " || '% easy (zones 1–2) / ' || "
-    + _whole("pct_hard") + " || '% hard (zones 3–5)'",
-    "'  Note: 80/20 rule = ~80% easy / 20% hard'",
-    "''",
-    "'HEALTH — last 7 days'",
-    "'- Sleep: ' || avg_sleep_hours || 'h/night avg'",
-    "'- HRV: ' || " + _or_na("avg_hrv", "ms") + " || ' (trend vs 4-week avg: ' || "
-    + _or_na("hrv_trend_pct", "%") + " || ')'",
-    "'- Resting HR: ' || " + _or_na("avg_resting_hr", " bpm"),
-    "'- Stress: ' || " + _or_na("avg_stress", "/100"),
-    "'- Recovery score: ' || " + _or_na("avg_recovery_score", "/100"),
-    "'- Training readiness: N/A'",
-    "''",
-    "'RACE HISTORY'",
-    "'- Last race: ' || coalesce(last_race_distance, 'N/A') || ' at ' || "
-    + _pace_or_na("last_race_pace_min_per_km") + " || '/km'",
-    "'- PRs: 5K ' || " + _pace_or_na("pr_5k_pace") + " || ' | 10K ' || "
-    + _pace_or_na("pr_10k_pace") + " || ' | Half ' || " + _pace_or_na("pr_half_pace")
-    + " || ' | Marathon ' || " + _pace_or_na("pr_marathon_pace"),
-    "''",
-    "'GOAL'",
-    "'- Race: ' || goal_distance",
-    "'- Target time: ' || CAST(CAST(goal_time_minutes AS BIGINT) // 60 AS VARCHAR) || 'h'"
-    " || lpad(CAST(CAST(goal_time_minutes AS BIGINT) % 60 AS VARCHAR), 2, '0')",
-    "'- Required pace: ' || " + _pace_or_na("goal_pace_min_per_km") + " || '/km'",
-    "'- Time to race: ' || weeks_to_race || ' weeks'",
-]
-SQL["prompt_text"] = (
-    "SELECT athlete_id, " + " || chr(10) || ".join(f"({x})" for x in _LINES) + " AS prompt FROM x_ctx"
-)
+_PROMPT = {
+    "weekly_km": "CAST(avg_weekly_km AS VARCHAR)",
+    "weekly_load": "CAST(avg_weekly_load AS VARCHAR)",
+    "load_trend": "CASE WHEN load_trend_pct < 0 THEN '-' ELSE '+' END || "
+    + _whole("abs(load_trend_pct)"),
+    "acwr": "CAST(acwr AS VARCHAR)",
+    "pace": _pace_or_na("CASE WHEN avg_pace_min_per_km > 0 THEN avg_pace_min_per_km END"),
+    "easy": _whole("pct_easy"),
+    "hard": _whole("pct_hard"),
+    "sleep": "CAST(avg_sleep_hours AS VARCHAR)",
+    "hrv": _or_na("avg_hrv", "ms"),
+    "hrv_trend": _or_na("hrv_trend_pct", "%"),
+    "resting_hr": _or_na("avg_resting_hr", " bpm"),
+    "stress": _or_na("avg_stress", "/100"),
+    "recovery": _or_na("avg_recovery_score", "/100"),
+    "readiness": "'N/A'",
+    "last_distance": "coalesce(last_race_distance, 'N/A')",
+    "last_pace": _pace_or_na("last_race_pace_min_per_km"),
+    "pr_5k": _pace_or_na("pr_5k_pace"),
+    "pr_10k": _pace_or_na("pr_10k_pace"),
+    "pr_half": _pace_or_na("pr_half_pace"),
+    "pr_marathon": _pace_or_na("pr_marathon_pace"),
+    "goal": "goal_distance",
+    "goal_hours": "CAST(CAST(goal_time_minutes AS BIGINT) // 60 AS VARCHAR)",
+    "goal_minutes": "lpad(CAST(CAST(goal_time_minutes AS BIGINT) % 60 AS VARCHAR), 2, '0')",
+    "goal_pace": _pace_or_na("goal_pace_min_per_km"),
+    "weeks": "CAST(weeks_to_race AS VARCHAR)",
+}
+_text = " || chr(10) || ".join(f"({_fill(line, _PROMPT)})" for line in K.PROMPT_LINES)
+SQL["prompt_text"] = f"SELECT athlete_id, {_text} AS prompt FROM x_ctx"
 
 # -- weather ------------------------------------------------------------------------
 
@@ -1150,9 +1138,9 @@ QUALIFY row_number() OVER (PARTITION BY athlete_id
 _bucket = "CASE WHEN temp < 5 THEN {} WHEN temp < 15 THEN {} WHEN temp < 22 THEN {} ELSE {} END".format(
     *[quote(b[0]) for b in K.TEMP_BUCKETS]
 )
-_bucket_line = (
-    "'  ' || bucket || ': avg pace ' || " + _uncarried(s("avg_pace", 6))
-    + " || '/km (' || n_runs || ' runs)'"
+_bucket_line = _fill(
+    K.WEATHER_BUCKET,
+    {"bucket": "bucket", "pace": _uncarried(s("avg_pace", 6)), "n": "CAST(n_runs AS VARCHAR)"},
 )
 X["x_buckets"] = f"""
 SELECT *, {_bucket_line} AS line FROM (
@@ -1178,28 +1166,34 @@ SQL["wx_wind_impact"] = "SELECT * FROM x_wind"
 SQL["wx_rain_impact"] = "SELECT * FROM x_rain"
 
 
-def _impact_line(table: str, kind: str, tail: str) -> str:
+def _impact_line(table: str, template: str) -> str:
     size = _fixed(f"abs({s(table + '.diff_s_per_km', 0)})", 0)
-    return f"'{kind} impact: pace is ' || {size} || 's/km ' || {table}.direction || '{tail}'"
+    return _fill(template, {"size": size, "direction": f"{table}.direction"})
 
 
 _order = f"list_position([{listed(b[0] for b in K.TEMP_BUCKETS)}], bucket)"
 X["x_wsum"] = f"""
 SELECT a.athlete_id, a.n_runs, CASE WHEN a.n_runs >= 5 THEN concat_ws(chr(10),
-  'Historical weather impact (based on ' || a.n_runs || ' runs with weather data):',
-  CASE WHEN b.lines IS NOT NULL THEN 'Temperature vs pace:' END, b.lines,
-  {_impact_line('x_wind', 'Wind', ' in strong wind (>25 km/h) vs calm conditions (<15 km/h)')},
-  {_impact_line('x_rain', 'Rain', ' in rainy conditions (≥2mm) vs dry runs')}) END AS summary
+  {_fill(K.WEATHER_HEAD, {"n": "CAST(a.n_runs AS VARCHAR)"})},
+  CASE WHEN b.lines IS NOT NULL THEN {quote(K.WEATHER_TEMP_HEAD)} END, b.lines,
+  {_impact_line('x_wind', K.WEATHER_WIND)}, {_impact_line('x_rain', K.WEATHER_RAIN)})
+  END AS summary
 FROM (SELECT athlete_id, count(*) AS n_runs FROM x_wruns GROUP BY 1) a
 LEFT JOIN (SELECT athlete_id, string_agg(line, chr(10) ORDER BY {_order}) AS lines
            FROM x_buckets GROUP BY 1) b USING (athlete_id)
 LEFT JOIN x_wind USING (athlete_id) LEFT JOIN x_rain USING (athlete_id)
 """
 SQL["wx_summary"] = "SELECT * FROM x_wsum"
-X["x_flags"] = """
-SELECT *, '- ' || day_name || ' (' || CAST(date AS VARCHAR) || '): ' || temp_min_c || '–'
-    || temp_max_c || '°C, ' || condition
-    || CASE WHEN flags <> '' THEN ' [' || flags || ']' ELSE '' END AS line
+_day = {
+    "day": "day_name",
+    "date": "CAST(date AS VARCHAR)",
+    "low": "CAST(temp_min_c AS VARCHAR)",
+    "high": "CAST(temp_max_c AS VARCHAR)",
+    "condition": "condition",
+    "flags": "CASE WHEN flags <> '' THEN ' [' || flags || ']' ELSE '' END",
+}
+X["x_flags"] = f"""
+SELECT *, {_fill(K.FORECAST_DAY, _day)} AS line
 FROM (SELECT *, concat_ws(', ',
     CASE WHEN precipitation_mm >= 5 THEN 'rain ' || precipitation_mm || 'mm'
       WHEN precipitation_mm >= 1 THEN 'light rain ' || precipitation_mm || 'mm' END,
@@ -1209,8 +1203,8 @@ FROM (SELECT *, concat_ws(', ',
   FROM x_forecast)
 """
 choose("wx_forecast_flags", "x_flags", "athlete_id city date flags line")
-SQL["wx_prompt_block"] = """
-SELECT f.athlete_id, f.city, 'WEATHER FORECAST — ' || f.city || ' (next 7 days)' || chr(10) || f.days
+SQL["wx_prompt_block"] = f"""
+SELECT f.athlete_id, f.city, {_fill(K.FORECAST_HEAD, {'city': 'f.city'})} || chr(10) || f.days
   || coalesce(chr(10) || chr(10) || summary, '') AS weather_text
 FROM (SELECT athlete_id, city, string_agg(line, chr(10) ORDER BY date) AS days
       FROM x_flags GROUP BY 1, 2) f
