@@ -6,7 +6,6 @@ can be compared by value with another engine's.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
@@ -539,7 +538,10 @@ query("agg_iso_week_recovery", "avg_recovery avg_sleep avg_rhr")(
 query("agg_weekday_profile", "avg_stress")(lambda t: overview.weekday_profile(t.gold_health))
 query("agg_week_health")(lambda t: overview.recent_weekly_health(t.gold_health))
 query("agg_rhr_week_spread", "week_avg_rhr avg_deviation")(
-    lambda t: overview.rhr_week_spread(t.gold_health.withColumn("week_avg_rhr", rnd_agg(c("week_avg_rhr"), 6)))
+    # The key is a mean; cut it first so that equal means stay one group.
+    lambda t: overview.rhr_week_spread(
+        t.gold_health.withColumn("week_avg_rhr", rnd_agg(c("week_avg_rhr"), 6))
+    )
 )
 query("agg_readiness_distribution")(lambda t: overview.readiness_distribution(t.gold_health))
 query("agg_health_extremes")(lambda t: overview.health_extremes(t.gold_health))

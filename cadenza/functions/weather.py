@@ -69,10 +69,16 @@ def forecast_flags(rain: Column, wind: Column, t_min: Column, t_max: Column) ->
     return F.concat_ws(
         ", ",
         first_match(
-            [(rain >= 5, reading("rain ", rain, "mm")), (rain >= 1, reading("light rain ", rain, "mm"))]
+            [
+                (rain >= 5, reading("rain ", rain, "mm")),
+                (rain >= 1, reading("light rain ", rain, "mm")),
+            ]
         ),
         first_match(
-            [(wind >= 30, reading("strong wind ", wind, "km/h")), (wind >= 20, reading("wind ", wind, "km/h"))]
+            [
+                (wind >= 30, reading("strong wind ", wind, "km/h")),
+                (wind >= 20, reading("wind ", wind, "km/h")),
+            ]
         ),
         first_match([(t_max >= 28, F.lit(K.FORECAST_HEAT)), (t_min <= 0, F.lit(K.FORECAST_FROST))]),
     )

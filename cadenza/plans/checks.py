@@ -234,9 +234,8 @@ def pacing_analysis(race: DataFrame) -> DataFrame:
 
 def best_races(race: DataFrame, n: int = 5) -> DataFrame:
     """The n races closest to their record."""
-    best = newest(
-        race, n, c("pct_off_pr").asc_nulls_last(), c("race_date"), c("race_id")
-    )
+    closest = (c("pct_off_pr").asc_nulls_last(), c("race_date"), c("race_id"))
+    best = newest(race, n, *closest, spread_by="race_id")
     return best.select(
         ATHLETE,
         "race_id",

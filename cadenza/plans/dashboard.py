@@ -201,7 +201,13 @@ def calendar_listing(calendar: DataFrame) -> DataFrame:
 def next_races(calendar: DataFrame, n: int = 4) -> DataFrame:
     """The next ``n`` races per athlete with urgency and countdown."""
     days = c("days_until_race")
-    upcoming = newest_ranked(calendar.filter("is_upcoming"), n, c("event_date"), c("event_uuid"))
+    upcoming = newest_ranked(
+        calendar.filter("is_upcoming"),
+        n,
+        c("event_date"),
+        c("event_uuid"),
+        spread_by="event_uuid",
+    )
     plural = F.when(days == 1, F.lit("")).otherwise(F.lit("s"))
     return upcoming.select(
         ATHLETE,

@@ -244,23 +244,25 @@ def with_distance_history(race: DataFrame, days: DataFrame) -> DataFrame:
     )
 
 
+@reusable
+def _goal_gap() -> dict[str, Column]:
+    minutes, goal = c("duration_minutes"), c("goal_time_seconds")
+    return {
+        "seconds_vs_goal": rnd(minutes * 60 - goal, 0),
+        "goal_achievement": R.goal_outcome(minutes, goal),
+    }
+
+
 def with_goals(race: DataFrame, goals: DataFrame) -> DataFrame:
     """Races with the goal of their day, if any."""
-    slim = goals.select(
+    slim = goals.selectExpr(
         *DAY,
-        c("race_name").alias("goal_race_name"),
+        "race_name AS goal_race_name",
         "goal_time_seconds",
-        c("goal_time_formatted").alias("goal_time_formatted_target"),
-        c("notes").alias("goal_notes"),
-    )
-    joined = race.join(slim, DAY, "left")
-    minutes, goal = c("duration_minutes"), c("goal_time_seconds")
-    return joined.withColumns(
-        {
-            "seconds_vs_goal": rnd(minutes * 60 - goal, 0),
-            "goal_achievement": R.goal_outcome(minutes, goal),
-        }
+        "goal_time_formatted AS goal_time_formatted_target",
+        "notes AS goal_notes",
     )
+    return race.join(slim, DAY, "left").withColumns(_goal_gap())
 
 
 def days_since_record(recorded: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cadenza import schemas
 from cadenza.operators.keyed import MonthTable
-from cadenza.operators.shaping import conform, latest_per_key
+from cadenza.operators.shaping import latest_per_key
 from cadenza.sources import landed
 
 # A landed record carries the number of its fetch; of one key the last fetch counts.

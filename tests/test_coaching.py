@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from cadenza.plans import coaching, staging
+from cadenza.plans import coaching
 from cadenza.plans import weather as wx
 
 DEFAULT = {
