@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadenza.operators.layout import store_bucketed
 from cadenza.plans import health, race, staging, training, unified
 
 
@@ -26,12 +27,38 @@ def register_views(
     return views
 
 
-def marts(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Gold marts as lazy DataFrames."""
-    activities = staging.stage_activities(raw["activities"])
+def store_silver(
+    raw: dict[str, DataFrame], buckets: int, prefix: str = ""
+) -> dict[str, DataFrame]:
+    """Staged activities and health as tables bucketed by (athlete, day).
+
+    Joining activities with health, and summing activities per day for the race mart,
+    then need no shuffle; staging is computed once for all that reads it.
+    """
+    staged = {
+        "stg_activities": (staging.stage_activities(raw["activities"]), "activity_date"),
+        "stg_health": (staging.stage_health(raw["daily_health"]), "health_date"),
+    }
+    stored = {}
+    for name, (df, day) in staged.items():
+        store_bucketed(df, prefix + name, ["athlete_id", day], buckets)
+        stored[name] = df.sparkSession.table(prefix + name)
+    return stored
+
+
+def marts(
+    raw: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """Gold marts as lazy DataFrames, from stored staging tables where given."""
+    if silver is None:
+        silver = {
+            "stg_activities": staging.stage_activities(raw["activities"]),
+            "stg_health": staging.stage_health(raw["daily_health"]),
+        }
+    activities = silver["stg_activities"]
     return {
         "mart_training": training.mart_training(activities),
-        "mart_health": health.mart_health(staging.stage_health(raw["daily_health"])),
+        "mart_health": health.mart_health(silver["stg_health"]),
         "mart_race": race.mart_race(activities, raw["race_goals"]),
     }
 
@@ -50,10 +77,12 @@ def read_mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def build(raw: dict[str, DataFrame], out: str) -> dict[str, str]:
+def build(
+    raw: dict[str, DataFrame], out: str, silver: dict[str, DataFrame] | None = None
+) -> dict[str, str]:
     """Write all marts under ``out``; returns their paths."""
     paths = {}
-    for name, df in marts(raw).items():
+    for name, df in marts(raw, silver).items():
         paths[name] = f"{out}/{name}"
         write_mart(df, paths[name])
     return paths

@@ -1,30 +1,50 @@
 import pytest
 
-from cadenza.operators.layout import store_bucketed
-from cadenza.plans import staging, unified
-
-
-@pytest.fixture
-def stored(spark, table, run_row):
-    raw = table("activities", [run_row(activity_id=str(i), athlete_id=i % 3) for i in range(12)])
-    days = table(
-        "daily_health", [{"athlete_id": i, "date": "2025-03-05", "steps": 9000} for i in range(3)]
-    )
-    store_bucketed(
-        staging.stage_activities(raw), "layout_activities", ["athlete_id", "activity_date"], 4
-    )
-    store_bucketed(staging.stage_health(days), "layout_health", ["athlete_id", "health_date"], 4)
-    yield spark.table("layout_activities"), spark.table("layout_health")
-    spark.sql("DROP TABLE layout_activities")
-    spark.sql("DROP TABLE layout_health")
-
-
-def test_bucketed_tables_join_without_a_shuffle(spark, stored):
+from cadenza import schemas
+from cadenza.catalog import Tables
+from cadenza.plans import build, race, unified
+from cadenza.session import new_path
+
+
+@pytest.fixture(scope="module")
+def raw(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return {n: getattr(t, n) for n in schemas.TABLES}
+
+
+@pytest.fixture(scope="module")
+def silver(spark, raw):
+    stored = build.store_silver(raw, 4, "layout_")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = unified.unify(*stored)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
-        assert joined.filter("NOT is_missing_health_context").count() == 12
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    yield stored
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in stored:
+        spark.sql(f"DROP TABLE layout_{name}")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_health_joins_without_a_shuffle(silver):
+    joined = unified.unify(silver["stg_activities"], silver["stg_health"])
+    assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+
+
+def test_days_are_summed_without_a_shuffle(silver):
+    assert "Exchange" not in plan(race.day_totals(silver["stg_activities"]))
+
+
+def test_marts_do_not_depend_on_the_layout(spark, raw, silver):
+    straight = build.build(raw, new_path(spark, "marts"))
+    stored = build.build(raw, new_path(spark, "marts"), silver)
+    for name in straight:
+        a, b = (build.read_mart(spark, p[name]) for p in (straight, stored))
+        rows = [
+            sorted(
+                str(tuple(round(v, 6) if isinstance(v, float) else v for v in r))
+                for r in df.collect()
+            )
+            for df in (a, b)
+        ]
+        assert rows[0] == rows[1] and rows[0]
