@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
+#: What str.split() cuts at beside the blanks above.
+_ODD_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_WORDS = re.compile(WORD)
+
 _own_folders: dict[str, str] = {}
 
 
@@ -67,6 +72,11 @@ def lower_ascii(text: Column) -> Column:
 LOWER_ASCII = {i: i + 32 for i in range(65, 91)}
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text, as ``WORD`` has them."""
+    return _WORDS.findall(text) if _ODD_BLANKS.search(text) else text.split()
+
+
 def row_groups(rows: int, per_group: int) -> int:
     """So many groups that each has about ``per_group`` rows; 1 at least."""
     return max(1, -(-rows // per_group))

@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm.language_id import op7_language_id
+from cadenza.llm.mixing import op3_source_mixing
+from cadenza.llm.packing import op8_best_fit_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_source_mixing": op3_source_mixing,
     "op7_language_id": op7_language_id,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {}
