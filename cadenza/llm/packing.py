@@ -51,6 +51,16 @@ class WordIds(dict):
         return found
 
 
+_kept: dict[str, WordIds] = {}
+
+
+def kept_words(path: str) -> WordIds:
+    """The words of a tokenizer's file, which a worker keeps from one task to the next."""
+    if path not in _kept:
+        _kept[path] = WordIds(path)
+    return _kept[path]
+
+
 def _latin(text: str) -> bool:
     try:
         text.encode("latin-1")
@@ -85,15 +95,13 @@ def pieces(
     key = docs.schema[ids].dataType.simpleString()
     schema = f"`{ids}` {key}, piece int, start long, length long, ids_crc32 long"
     schema += ", token_ids binary" * with_ids
-    words: list[WordIds] = []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not words:
-            words.append(WordIds(tokenizer))
+        words = kept_words(tokenizer)
         for batch in common.slices(batches, "_text", BATCH_BYTES):
             row, piece, start, length, crc, own = [], [], [], [], [], []
             for i, t in enumerate(common.column_of(batch, "_text")):
-                tokens = document_ids(t, words[0], end_id)
+                tokens = document_ids(t, words, end_id)
                 for k, at in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[at : at + 4 * capacity]
                     row.append(i)
