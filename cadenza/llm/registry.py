@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from cadenza.llm.language_id import op7_language_id
 from cadenza.llm.mixing import op3_source_mixing
 from cadenza.llm.packing import op8_best_fit_packing
+from cadenza.llm.suffix_dedup import op2_suffix_dedup
 from cadenza.llm.token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_source_mixing": op3_source_mixing,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
