@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm.language_id import op7_language_id
+from cadenza.llm.lm_scoring import op9_lm_scoring
 from cadenza.llm.mixing import op3_source_mixing
 from cadenza.llm.packing import op8_best_fit_packing
 from cadenza.llm.suffix_dedup import op2_suffix_dedup
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mixing": op3_source_mixing,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_token_counts": op10_token_counts,
 }
 
