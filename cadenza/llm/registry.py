@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadenza.llm.chosen_path import op5_minhash_near_dedup
 from cadenza.llm.language_id import op7_language_id
 from cadenza.llm.lm_scoring import op9_lm_scoring
 from cadenza.llm.mixing import op3_source_mixing
@@ -16,6 +17,7 @@ from cadenza.llm.token_counts import op10_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_source_mixing": op3_source_mixing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_lm_scoring": op9_lm_scoring,
