@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadenza.llm.ann import op1_forest_ann
 from cadenza.llm.chosen_path import op5_minhash_near_dedup
 from cadenza.llm.language_id import op7_language_id
 from cadenza.llm.lm_scoring import op9_lm_scoring
@@ -15,6 +16,7 @@ from cadenza.llm.suffix_dedup import op2_suffix_dedup
 from cadenza.llm.token_counts import op10_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_forest_ann": op1_forest_ann,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_source_mixing": op3_source_mixing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
