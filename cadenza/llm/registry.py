@@ -12,6 +12,7 @@ from cadenza.llm.language_id import op7_language_id
 from cadenza.llm.lm_scoring import op9_lm_scoring
 from cadenza.llm.mixing import op3_source_mixing
 from cadenza.llm.packing import op8_best_fit_packing
+from cadenza.llm.simhash import op4_simhash_fingerprints
 from cadenza.llm.suffix_dedup import op2_suffix_dedup
 from cadenza.llm.token_counts import op10_token_counts
 from cadenza.llm.url_filter import op6_url_language_ratio
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_forest_ann": op1_forest_ann,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_source_mixing": op3_source_mixing,
+    "op4_simhash_fingerprints": op4_simhash_fingerprints,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_url_language_ratio": op6_url_language_ratio,
     "op7_language_id": op7_language_id,
