@@ -6,6 +6,7 @@ can be compared by value with another engine's.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
@@ -734,6 +735,20 @@ query("qry_health_kpis", "avg_sleep avg_rhr avg_hrv avg_stress avg_recovery avg_
 )
 query("qry_health_tiers")(lambda t: dashboard.health_tiers(t.gold_health))
 query("qry_sleep_stages_7")(lambda t: dashboard.sleep_stages(_health_days(t)))
+for _key, _name in {
+    "all": "All time",
+    "2_weeks": "Last 2 weeks",
+    "4_weeks": "Last 4 weeks",
+    "6_months": "Last 6 months",
+    "custom": "Custom",
+}.items():
+    query(f"qry_period_{_key}")(
+        lambda t, name=_name: dashboard.period(
+            t.gold_health, "date", name, AS_OF, (dt.date(1995, 1, 1), dt.date(1996, 6, 30))
+        )
+        .groupBy(AID)
+        .agg(F.count("*").alias("days"), F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    )
 query("qry_coverage")(lambda t: dashboard.coverage(t.gold_health, "All time", AS_OF))
 query(
     "qry_week_overall",
@@ -789,6 +804,11 @@ for _rule in coaching.ALERTS:
     query(f"alert_{_rule}")(lambda t, rule=_rule: coaching.alert(t.context, rule))
 query("alerts")(lambda t: coaching.alerts(t.context))
 query("prompt_text")(lambda t: coaching.prompt_text(t.context))
+query("prompt_with_weather")(
+    lambda t: coaching.prompt_text(
+        t.context, wx.weather_block(t.forecast, wx.weather_summary(t.weather_runs))
+    )
+)
 
 # -- weather ------------------------------------------------------------------------
 
@@ -796,6 +816,7 @@ query("wx_temp_buckets", "avg_pace")(lambda t: wx.temp_buckets(t.weather_runs))
 query("wx_wind_impact", "diff_s_per_km")(lambda t: wx.wind_impact(t.weather_runs))
 query("wx_rain_impact", "diff_s_per_km")(lambda t: wx.rain_impact(t.weather_runs))
 query("wx_summary")(lambda t: wx.weather_summary(t.weather_runs))
+query("wx_summary_all")(lambda t: wx.weather_summary(wx.weather_runs(t.activities, latest=None)))
 query("wx_forecast_flags")(lambda t: wx.forecast_lines(t.forecast))
 query("wx_prompt_block")(
     lambda t: wx.weather_block(t.forecast, wx.weather_summary(t.weather_runs))

@@ -81,12 +81,13 @@ PERIODS = {
     "Last 6 months": ("months", 6),
     "Last 12 months": ("months", 12),
 }
-ALL_TIME_START = dt.date(2000, 1, 1)
+ALL_TIME = "All time"
 
 
 def period_start(period: str, as_of: dt.date) -> Column:
-    if period == "All time":
-        return as_date(ALL_TIME_START)
+    """First day of the period; null where it has none, as for all time."""
+    if period == ALL_TIME:
+        return F.lit(None).cast("date")
     unit, n = PERIODS[period]
     end = as_date(as_of)
     return F.date_sub(end, 7 * n) if unit == "weeks" else F.add_months(end, -n)
@@ -101,4 +102,6 @@ def in_period(
     """True inside the period; ``Custom`` takes its own closed range."""
     if period == "Custom":
         return d.between(as_date(custom[0]), as_date(custom[1]))
+    if period == ALL_TIME:
+        return d <= as_date(as_of)
     return d.between(period_start(period, as_of), as_date(as_of))

@@ -7,8 +7,6 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cadenza.functions.numeric import rnd, rnd_pos
-
 MISSING = "—"
 
 
@@ -19,9 +17,45 @@ def fill(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*cells)
 
 
+def _shift(value: Column) -> Column:
+    """Ten times a (sum, rest) pair: the nearest double and, exactly, what it leaves out.
+
+    Ten times is eight times plus twice, which both are exact; the rest is the sum's rounding error.
+    """
+
+    def parts(v: Column) -> Column:
+        a, b = v["s"] * 8, v["s"] * 2
+        total = a + b
+        other = total - a
+        rest = (a - (total - other)) + (b - other)
+        return F.struct(total.alias("s"), (rest + v["e"] * 10).alias("e"))
+
+    return F.transform(F.array(value), parts)[0]
+
+
+def _half_even(value: Column) -> Column:
+    """The pair's nearest whole number; a half goes where the rest points, else to the even side."""
+
+    def whole_of(v: Column) -> Column:
+        low = F.floor(v["s"])
+        tied = (v["s"] - low == 0.5) & (v["e"] != 0)
+        near = F.when(v["e"] > 0, low + 1).otherwise(low).cast("double")
+        found = F.when(tied, near).otherwise(F.bround(v["s"], 0))
+        return F.when(v["s"] < 0, -F.abs(found)).otherwise(found)
+
+    return F.transform(F.array(value), whole_of)[0]
+
+
 def fixed(x: Column, places: int) -> Column:
-    """Number with a fixed count of decimals; null stays null."""
-    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", rnd(x, places)))
+    """Number with a fixed count of decimals; null stays null.
+
+    The exact binary value is rounded, halves to even, as printing does: 14.95 is a little less
+    than its name and gives 14.9.
+    """
+    value = F.struct(x.cast("double").alias("s"), F.lit(0.0).alias("e"))
+    for _ in range(places):
+        value = _shift(value)
+    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", _half_even(value) / float(10**places)))
 
 
 def whole(x: Column) -> Column:
@@ -47,7 +81,7 @@ def _clock(seconds: Column) -> Column:
 def _pace_seconds(pace: Column) -> Column:
     """Whole seconds per km, the part minute rounded on its own."""
     minutes = F.floor(pace)
-    return minutes * 60 + rnd_pos((pace - minutes) * 60, 0).cast("bigint")
+    return minutes * 60 + F.bround((pace - minutes) * 60, 0).cast("bigint")
 
 
 def pace_short(pace: Column) -> Column:
@@ -63,7 +97,7 @@ def pace(p: Column) -> Column:
 def pace_uncarried(p: Column) -> Column:
     """m:ss where rounding may print :60, as the coaching texts do."""
     minutes = F.floor(p)
-    seconds = rnd_pos((p - minutes) * 60, 0)
+    seconds = F.bround((p - minutes) * 60, 0)
     return F.concat(minutes.cast("string"), F.lit(":"), two_digits(seconds))
 
 
@@ -77,7 +111,7 @@ def pace_truncated(p: Column) -> Column:
 
 def duration(minutes: Column) -> Column:
     """1h05:30 from an hour on, else 45:00."""
-    total = rnd_pos(minutes * 60, 0).cast("bigint")
+    total = F.bround(minutes * 60, 0).cast("bigint")
     h = F.floor(total / 3600)
     rest = total % 3600
     long_form = F.concat(
@@ -140,7 +174,7 @@ def delta_pace(new: Column, old: Column) -> Column:
     """+0:15; null when either is missing."""
     delta = new - old
     sign = F.when(delta >= 0, F.lit("+")).otherwise(F.lit("-"))
-    return F.concat(sign, _clock(rnd_pos(F.abs(delta) * 60, 0).cast("bigint")))
+    return F.concat(sign, _clock(F.bround(F.abs(delta) * 60, 0).cast("bigint")))
 
 
 def signed_gap(seconds: Column) -> Column:

@@ -8,6 +8,7 @@ touch. Neither reads more than the key columns of the other months.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +27,11 @@ class DuplicateKeys(ValueError):
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> None:
-    """Raise on a repeated key, like a primary key does."""
-    repeated = df.groupBy(*keys).count().filter("count > 1")
-    if sample := repeated.limit(1).collect():
-        raise DuplicateKeys(f"repeated key {sample[0].asDict()} on {keys}")
+    """Raise on a repeated key or a null in one, like a primary key does."""
+    unknown = reduce(Column.__or__, [c(k).isNull() for k in keys])
+    wrong = df.groupBy(*keys).count().filter((c("count") > 1) | unknown)
+    if sample := wrong.limit(1).collect():
+        raise DuplicateKeys(f"repeated or null key {sample[0].asDict()} on {keys}")
 
 
 def _ts(loaded_at: dt.datetime) -> Column:
@@ -42,7 +44,7 @@ def stamp(batch: DataFrame, loaded_at: dt.datetime) -> DataFrame:
 
 
 def new_rows(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Batch rows whose key the table does not have. Keys are never null."""
+    """Batch rows whose key the table does not have."""
     return batch.join(existing.select(*keys), keys, "left_anti")
 
 
@@ -67,7 +69,11 @@ def weather_for_missing(existing: DataFrame, batch: DataFrame, keys: list[str])
 def backfill_weather(
     existing: DataFrame, batch: DataFrame, keys: list[str], loaded_at: dt.datetime
 ) -> DataFrame:
-    """The table where rows without temperature take each known weather field."""
+    """The table where rows without temperature take each known weather field.
+
+    A batch with a repeated key is refused: each of its rows would make one of the stored row.
+    """
+    require_unique(batch, keys)
     incoming = batch.filter(any_weather()).select(
         *keys,
         *[c(f).alias(f"_new_{f}") for f in WEATHER_FIELDS],
@@ -159,8 +165,8 @@ class MonthTable:
 
     def insert_new(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Store rows of unseen keys. Nothing stored is rewritten."""
+        require_unique(batch, self.keys)
         added = self._stage(self._with_month(stamp(new_rows(self.read(), batch, self.keys), loaded_at)))
-        require_unique(added, self.keys)
         self._write(added, self.path, "append")
 
     def backfill_weather(self, batch: DataFrame, loaded_at: dt.datetime) -> None:

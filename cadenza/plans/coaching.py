@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,14 +135,15 @@ def newest_goal(log: DataFrame) -> DataFrame:
 def coaching_context(
     training: DataFrame, health: DataFrame, race: DataFrame, goals: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    """One wide row per athlete with a goal. Missing history reads as the neutral value
-    for loads and sleep, else as null."""
-    joined = (
-        goal_context(goals, as_of)
-        .join(load_context(training), ATHLETE, "left")
-        .join(health_context(health), ATHLETE, "left")
-        .join(race_context(race), ATHLETE, "left")
-    )
+    """One wide row per athlete with a goal, training, health or a race. Missing history reads
+    as the neutral value for loads and sleep, else as null; without a goal its columns are null."""
+    parts = [
+        goal_context(goals, as_of),
+        load_context(training),
+        health_context(health),
+        race_context(race),
+    ]
+    joined = reduce(lambda a, b: a.join(b, ATHLETE, "full"), parts)
     return joined.fillna(
         {
             "avg_weekly_km": 0.0,
@@ -289,11 +291,11 @@ def _prompt() -> Column:
         "pr_10k": _known_pace(c("pr_10k_pace")),
         "pr_half": _known_pace(c("pr_half_pace")),
         "pr_marathon": _known_pace(c("pr_marathon_pace")),
-        "goal": c("goal_distance"),
-        "goal_hours": F.floor(minutes / 60).cast("string"),
-        "goal_minutes": T.two_digits(F.floor(minutes % 60)),
+        "goal": _known(c("goal_distance")),
+        "goal_hours": _known(F.floor(minutes / 60)),
+        "goal_minutes": _known(T.two_digits(F.floor(minutes % 60))),
         "goal_pace": _known_pace(c("goal_pace_min_per_km")),
-        "weeks": c("weeks_to_race").cast("string"),
+        "weeks": _known(c("weeks_to_race")),
     }
     return T.fill("\n".join(K.PROMPT_LINES), words)
 

@@ -77,8 +77,9 @@ def recent_activities(activities: DataFrame, n: int = 10) -> DataFrame:
 
 
 def recent_with_weather(recent: DataFrame, weather: DataFrame) -> DataFrame:
-    """Recent activities with the newest weather reading of their day."""
-    one_per_day = weather.groupBy(ATHLETE, "activity_date").agg(
+    """Recent activities with the newest weather reading of their day, looked up for those days only."""
+    days = recent.select(ATHLETE, "activity_date").distinct()
+    one_per_day = weather.join(days, [ATHLETE, "activity_date"], "left_semi").groupBy(ATHLETE, "activity_date").agg(
         F.max_by(
             F.struct("temp_c", "weather_condition"), F.struct("started_at", "activity_id")
         ).alias("_w")
@@ -619,12 +620,12 @@ def sleep_stages(days: DataFrame, n: int = 7) -> DataFrame:
 
 
 def coverage(days: DataFrame, name: str, as_of: dt.date) -> DataFrame:
-    """First and last day, and whether the asked period starts before the data."""
+    """First and last day, and whether the asked period starts before the data. All time has no start."""
     return days.groupBy(ATHLETE).agg(
         F.min("date").alias("data_min"),
         F.max("date").alias("data_max"),
         F.count("*").alias("data_days"),
-        (F.min("date") > D.period_start(name, as_of)).alias("starts_before_data"),
+        F.coalesce(F.min("date") > D.period_start(name, as_of), F.lit(False)).alias("starts_before_data"),
     )
 
 

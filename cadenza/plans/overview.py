@@ -208,7 +208,8 @@ def days_with_workouts(health: DataFrame, activities: DataFrame, days: int = 7)
         days,
         c("date").desc(),
     )
-    workouts = activities.groupBy(ATHLETE, c("activity_date").alias("date")).agg(
+    done = activities.withColumnRenamed("activity_date", "date").select(ATHLETE, "date", "distance_km")
+    workouts = done.join(recent.select(ATHLETE, "date"), [ATHLETE, "date"], "left_semi").groupBy(ATHLETE, "date").agg(
         F.count("*").alias("n"), F.sum("distance_km").alias("km")
     )
     return recent.join(workouts, [ATHLETE, "date"], "left").select(

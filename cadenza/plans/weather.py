@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 from cadenza import constants as K
 from cadenza.functions import text as T
 from cadenza.functions import weather as W
-from cadenza.functions.numeric import rnd, rnd_agg
+from cadenza.functions.numeric import ratio, rnd, rnd_agg
 from cadenza.operators.windows import newest
 
 c = F.col
 ATHLETE = "athlete_id"
+#: How many runs the impact of weather is judged on, unless a caller asks for others.
 LATEST_RUNS = 200
 MIN_RUNS = 5
 MIN_GROUP = 3
 
 
-def weather_runs(raw: DataFrame) -> DataFrame:
-    """The newest 200 plausible runs with a temperature per athlete."""
-    pace = c("duration_minutes") / c("distance_km")
+def weather_runs(raw: DataFrame, latest: int | None = LATEST_RUNS) -> DataFrame:
+    """Plausible runs with a temperature: the ``latest`` ones of each athlete, or all for None."""
+    pace = ratio(c("duration_minutes"), c("distance_km"))
     valid = raw.filter(
         (c("distance_km") > 1.0)
         & (c("duration_minutes") > 5)
@@ -37,7 +38,7 @@ def weather_runs(raw: DataFrame) -> DataFrame:
         c("weather_precipitation_mm").alias("rain"),
     )
     newer = (c("activity_date").desc(), c("activity_id").desc())
-    return newest(runs, LATEST_RUNS, *newer, spread_by="activity_id")
+    return runs if latest is None else newest(runs, latest, *newer, spread_by="activity_id")
 
 
 def temp_buckets(runs: DataFrame) -> DataFrame:

@@ -168,13 +168,15 @@ def normalise_calendar(payload: DataFrame) -> DataFrame:
 
 
 def normalise_forecast(payload: DataFrame) -> DataFrame:
-    """Daily forecast arrays to one row per day."""
+    """Daily forecast arrays to one row per athlete, city and day: that of the last ``fetch``, if there."""
     daily = F.col("daily")
+    fetch = F.col("fetch") if "fetch" in payload.columns else F.lit(0)
     names = ["time", "temperature_2m_min", "temperature_2m_max"]
     names += ["precipitation_sum", "windspeed_10m_max", "weathercode"]
     days = payload.select(
         "athlete_id",
         "city",
+        fetch.alias("fetch"),
         F.explode(F.arrays_zip(*[daily[n].alias(n) for n in names])).alias("day"),
     )
     day = F.col("day")
@@ -182,11 +184,12 @@ def normalise_forecast(payload: DataFrame) -> DataFrame:
     def reading(name: str) -> Column:
         return rnd(_or_zero(day[name]), 1)
 
-    date = F.to_date(day["time"])
-    return days.select(
+    days = days.withColumn("date", F.to_date(day["time"]))
+    date = F.col("date")
+    return latest_per_key(days, ["athlete_id", "city", "date"], "fetch").select(
         "athlete_id",
         "city",
-        date.alias("date"),
+        "date",
         F.date_format(date, "EEEE").alias("day_name"),
         reading("temperature_2m_min").alias("temp_min_c"),
         reading("temperature_2m_max").alias("temp_max_c"),
@@ -197,9 +200,13 @@ def normalise_forecast(payload: DataFrame) -> DataFrame:
 
 
 def clean_activities(df: DataFrame, sequence: str) -> DataFrame:
-    """One row per activity (the last by ``sequence``), unreadable dates null, newest first."""
+    """One row per activity (the last by ``sequence``), unreadable dates null."""
     dated = df.withColumns(
         {c: _clock(F.col(c)) for c in ("activity_date", "start_time", "end_time") if c in df.columns}
     )
-    last = latest_per_key(dated, schemas.KEYS["activities"], sequence)
-    return last.orderBy(F.col("activity_date").desc_nulls_last(), "athlete_id", "activity_id")
+    return latest_per_key(dated, schemas.KEYS["activities"], sequence)
+
+
+def newest_first(df: DataFrame) -> DataFrame:
+    """Activities in the order in which a reader wants them; not for a load."""
+    return df.orderBy(F.col("activity_date").desc_nulls_last(), "athlete_id", "activity_id")

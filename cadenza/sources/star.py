@@ -65,10 +65,7 @@ class StarTables:
     def orders(self) -> DataFrame:
         orders = self._read("orders")
         # The test tables are one file each, which one task would read.
-        cores = self.spark.sparkContext.defaultParallelism
-        if orders.rdd.getNumPartitions() < cores:
-            orders = orders.repartition(cores, "o_orderkey")
-        return orders.select(
+        return orders.repartition("o_orderkey").select(
             "o_orderpriority",
             F.col("o_orderkey").alias("k"),
             F.col("o_custkey").alias("c"),

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza import schemas
@@ -28,6 +29,13 @@ HEALTH_RECORD = f"""
 """
 CALENDAR_RECORD = schemas.CALENDAR_PAYLOAD + ", fetch INT"
 
+#: Where a line that is no JSON is kept, and the fields without which a record is of no use.
+BROKEN = "_broken"
+RECORD_KEYS = {
+    "activities": ("athlete_id", "activityId"),
+    "daily_health": ("athlete_id", "date"),
+    "calendar_events": ("athlete_id", "month"),
+}
 _DATES = {"activities": "activity_date", "daily_health": "date", "calendar_events": "event_date"}
 
 
@@ -75,17 +83,39 @@ def ingest_incremental(
     table_path: str,
     progress: str,
     loaded_at: dt.datetime,
-) -> None:
-    """Load the files that landed since the last run; ``progress`` remembers them."""
+    quarantine: str | None = None,
+) -> int:
+    """Load the files that landed since the last run; ``progress`` remembers them.
+
+    Lines that are no JSON, and records without a key, are put aside under ``quarantine`` (beside the
+    table, if not given) with the time of the load. Returns how many were.
+    """
     record, load = LOADERS[name]
     table = raw_table(spark, table_path, name)
     table.create_if_missing()
+    aside = quarantine or f"{table_path.rstrip('/')}-quarantine"
+    put_aside = []
+
+    def take(batch: DataFrame, _: int) -> None:
+        staged = table.stage(batch)
+        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in RECORD_KEYS[name]])
+        usable = F.col(BROKEN).isNull() & known
+        bad = staged.filter(~usable)
+        if n := bad.count():
+            put_aside.append(n)
+            line = F.coalesce(BROKEN, F.to_json(F.struct(*[c for c in staged.columns if c != BROKEN])))
+            late = F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz")
+            bad.select(line.alias("record"), late.alias("loaded_at")).write.mode("append").parquet(aside)
+        load(table, staged.filter(usable).drop(BROKEN), loaded_at)
+
     stream = (
-        spark.readStream.schema(record)
+        spark.readStream.schema(f"{record}, {BROKEN} STRING")
+        .option("columnNameOfCorruptRecord", BROKEN)
         .json(landing)
-        .writeStream.foreachBatch(lambda batch, _: load(table, batch, loaded_at))
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )
     stream.awaitTermination()
+    return sum(put_aside)

@@ -628,7 +628,8 @@ def _whole(x: str) -> str:
 
 
 def _fixed(x: str, places: int) -> str:
-    return f"printf('%.{places}f', {r(x, places)})"
+    """The exact binary value, halves to even, as the engine prints it."""
+    return f"printf('%.{places}f', CAST({x} AS DOUBLE))"
 
 
 SQL["qry_recovery_today"] = f"""
@@ -724,7 +725,7 @@ FROM (SELECT athlete_id, count(*) AS n_runs, regr_slope(avg_pace_min_km, temp_c)
         regr_intercept(avg_pace_min_km, temp_c) AS intercept, min(temp_c) AS temp_min,
         max(temp_c) AS temp_max
       FROM x_wact WHERE activity_type = 'running' AND avg_pace_min_km IS NOT NULL
-        AND activity_date BETWEEN DATE '2000-01-01' AND {TODAY} GROUP BY 1)
+        AND activity_date <= {TODAY} GROUP BY 1)
 WHERE n_runs >= 3
 """
 SQL["qry_race_filters"] = """
@@ -811,7 +812,7 @@ FROM ({newest('x_hyear', 7, 'date DESC')})
 """
 SQL["qry_coverage"] = """
 SELECT athlete_id, min(date) AS data_min, max(date) AS data_max, count(*) AS data_days,
-  DATE '2000-01-01' < min(date) AS starts_before_data
+  FALSE AS starts_before_data
 FROM x_mh GROUP BY 1
 """
 SQL["qry_week_overall"] = f"""
@@ -991,15 +992,18 @@ FROM (SELECT *, CAST(goal_hours * 60 + goal_minutes AS DOUBLE) AS goal_time_minu
       FROM ({newest('x_log', 1, 'generated_at DESC, analysis_id DESC')}))
 """
 X["x_ctx"] = """
-SELECT g.*, coalesce(avg_weekly_km, 0) AS avg_weekly_km,
+SELECT athlete_id, goal_distance, goal_time_minutes, goal_pace_min_per_km, weeks_to_race,
+  coalesce(avg_weekly_km, 0) AS avg_weekly_km,
   coalesce(avg_weekly_load, 0) AS avg_weekly_load, coalesce(load_trend_pct, 0) AS load_trend_pct,
   coalesce(acwr, 1) AS acwr, avg_pace_min_per_km, coalesce(pct_easy, 0) AS pct_easy,
   coalesce(pct_hard, 100) AS pct_hard, coalesce(avg_sleep_hours, 0) AS avg_sleep_hours, avg_hrv,
   hrv_trend_pct, avg_resting_hr, avg_stress, avg_recovery_score, avg_readiness,
   last_race_distance, last_race_pace_min_per_km, pr_5k_pace, pr_10k_pace, pr_half_pace,
   pr_marathon_pace
-FROM x_goal g LEFT JOIN x_load USING (athlete_id) LEFT JOIN x_state USING (athlete_id)
-LEFT JOIN x_past USING (athlete_id)
+FROM (SELECT athlete_id FROM x_goal UNION SELECT athlete_id FROM x_load
+  UNION SELECT athlete_id FROM x_state UNION SELECT athlete_id FROM x_past)
+LEFT JOIN x_goal USING (athlete_id) LEFT JOIN x_load USING (athlete_id)
+LEFT JOIN x_state USING (athlete_id) LEFT JOIN x_past USING (athlete_id)
 """
 SQL["ctx_acute_chronic"] = "SELECT * EXCLUDE (acwr, pct_easy, pct_hard) FROM x_load"
 SQL["ctx_acwr"] = "SELECT athlete_id, acwr FROM x_load"
@@ -1013,7 +1017,7 @@ SQL["coaching_context"] = "SELECT * FROM x_ctx"
 
 def _uncarried(p: str) -> str:
     """m:ss where rounding may print :60."""
-    seconds = r(f"(({p} - floor({p})) * 60)", 0)
+    seconds = f"round_even(({p} - floor({p})) * 60, 0)"
     return (
         f"(CAST(CAST(floor({p}) AS BIGINT) AS VARCHAR) || ':'"
         f" || lpad(CAST(CAST({seconds} AS BIGINT) AS VARCHAR), 2, '0'))"
@@ -1114,11 +1118,11 @@ _PROMPT = {
     "pr_10k": _pace_or_na("pr_10k_pace"),
     "pr_half": _pace_or_na("pr_half_pace"),
     "pr_marathon": _pace_or_na("pr_marathon_pace"),
-    "goal": "goal_distance",
-    "goal_hours": "CAST(CAST(goal_time_minutes AS BIGINT) // 60 AS VARCHAR)",
-    "goal_minutes": "lpad(CAST(CAST(goal_time_minutes AS BIGINT) % 60 AS VARCHAR), 2, '0')",
+    "goal": _or_na("goal_distance"),
+    "goal_hours": _or_na("(CAST(goal_time_minutes AS BIGINT) // 60)"),
+    "goal_minutes": _or_na("lpad(CAST(CAST(goal_time_minutes AS BIGINT) % 60 AS VARCHAR), 2, '0')"),
     "goal_pace": _pace_or_na("goal_pace_min_per_km"),
-    "weeks": "CAST(weeks_to_race AS VARCHAR)",
+    "weeks": _or_na("weeks_to_race"),
 }
 _text = " || chr(10) || ".join(f"({_fill(line, _PROMPT)})" for line in K.PROMPT_LINES)
 SQL["prompt_text"] = f"SELECT athlete_id, {_text} AS prompt FROM x_ctx"
@@ -1184,6 +1188,12 @@ LEFT JOIN (SELECT athlete_id, string_agg(line, chr(10) ORDER BY {_order}) AS lin
 LEFT JOIN x_wind USING (athlete_id) LEFT JOIN x_rain USING (athlete_id)
 """
 SQL["wx_summary"] = "SELECT * FROM x_wsum"
+# The same over all runs instead of the newest 200 of an athlete.
+_impact_parts = ("x_wruns", "x_buckets", "x_wind", "x_rain", "x_wsum")
+for _part in _impact_parts:
+    _all = re.sub(rf"\b({'|'.join(_impact_parts)})\b", r"\1_all", X[_part])
+    X[f"{_part}_all"] = re.sub(r"QUALIFY row_number[^=]*<= 200", "", _all)
+SQL["wx_summary_all"] = "SELECT * FROM x_wsum_all"
 _day = {
     "day": "day_name",
     "date": "CAST(date AS VARCHAR)",
@@ -1211,6 +1221,26 @@ FROM (SELECT athlete_id, city, string_agg(line, chr(10) ORDER BY date) AS days
 LEFT JOIN x_wsum USING (athlete_id)
 """
 
+_block = SQL["wx_prompt_block"]
+SQL["prompt_with_weather"] = f"""
+SELECT athlete_id, {_text} || coalesce(chr(10) || chr(10) || chr(10) || weather_text, '') AS prompt
+FROM x_ctx LEFT JOIN ({_block}) USING (athlete_id)
+"""
+
+# -- periods ------------------------------------------------------------------------
+
+for _name, _range in {
+    "all": f"<= {TODAY}",
+    "2_weeks": f"BETWEEN {TODAY} - 14 AND {TODAY}",
+    "4_weeks": f"BETWEEN {TODAY} - 28 AND {TODAY}",
+    "6_months": f"BETWEEN {TODAY} - INTERVAL 6 MONTH AND {TODAY}",
+    "custom": "BETWEEN DATE '1995-01-01' AND DATE '1996-06-30'",
+}.items():
+    SQL[f"qry_period_{_name}"] = f"""
+SELECT athlete_id, count(*) AS days, min(date) AS first_day, max(date) AS last_day
+FROM x_mh WHERE date {_range} GROUP BY 1
+"""
+
 # -- data tests ---------------------------------------------------------------------
 
 _TESTED = {
@@ -1325,7 +1355,7 @@ def _clock(total: str) -> str:
 
 
 def _secs(x: str) -> str:
-    return f"CAST({r(x, 0)} AS BIGINT)"
+    return f"CAST(round_even({x}, 0) AS BIGINT)"
 
 
 _pace_total = f"(CAST(floor(p) AS BIGINT) * 60 + {_secs('((p - floor(p)) * 60)')})"

@@ -127,11 +127,37 @@ def test_weather_summary_needs_five_runs(table, run_row, n, known):
         ]
 
 
-def test_only_the_newest_runs_count(table, run_row, monkeypatch):
-    monkeypatch.setattr(wx, "LATEST_RUNS", 2)
+def test_only_the_newest_runs_count(table, run_row):
     rows = [
         run_row(activity_id=str(i), weather_temp_c=10.0, activity_date=f"2025-03-0{i + 1} 07:00:00")
         for i in range(4)
     ]
-    runs = wx.weather_runs(table("activities", rows))
-    assert {r.activity_id for r in runs.collect()} == {"2", "3"}
+    raw = table("activities", rows)
+    assert {r.activity_id for r in wx.weather_runs(raw, latest=2).collect()} == {"2", "3"}
+    assert wx.weather_runs(raw, latest=None).count() == 4
+
+
+def test_an_athlete_without_a_goal_has_context_alerts_and_prompt(spark):
+    from cadenza.plans.coaching import alerts, coaching_context, prompt_text
+
+    training = spark.createDataFrame(
+        [(1, dt.date(2025, 3, 3), 10.0, 900.0, 5.0, 40.0, 20.0), (1, dt.date(2025, 2, 24), 10.0, 100.0, 5.0, 40.0, 20.0)],
+        "athlete_id long, week_start_date date, total_distance_km double, total_training_load double,"
+        " avg_pace_min_per_km double, pct_zone1_easy double, pct_zone2_moderate double",
+    )
+    health = spark.createDataFrame(
+        [(2, dt.date(2025, 3, 8), 4.0, 50.0, 50, 30, 20, "low")],
+        "athlete_id long, date date, total_sleep_hours double, hrv_numeric double, resting_heart_rate int,"
+        " average_stress_level int, recovery_score int, training_readiness string",
+    )
+    race = spark.createDataFrame(
+        [], "athlete_id long, race_number int, race_distance_category string, pace_min_per_km double"
+    )
+    goals = spark.createDataFrame(
+        [], "athlete_id long, goal_distance string, goal_time_minutes double, race_date date"
+    )
+    context = coaching_context(training, health, race, goals, dt.date(2025, 3, 9))
+    assert sorted(r.athlete_id for r in context.collect()) == [1, 2]
+    assert {(r.athlete_id, r.level) for r in alerts(context).collect()} >= {(1, "red"), (2, "red")}
+    prompts = {r.athlete_id: r.prompt for r in prompt_text(context).collect()}
+    assert prompts.keys() == {1, 2} and all("N/A" in p for p in prompts.values())

@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from cadenza import schemas
 from cadenza.session import new_path
 from cadenza.sources import landed
 from cadenza.streaming import ingest
@@ -156,3 +157,31 @@ def test_weather_shapes(spark):
     assert got["array"].weather_temp_c == 13.9 and got["array"].weather_condition == "LIGHT__RAIN"
     assert got["object"].weather_condition == "FOG"
     assert got["empty"].weather_temp_c is None and got["none"].weather_condition is None
+
+
+def test_unusable_records_are_put_aside(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    table_path, progress = new_path(spark, "t"), new_path(spark, "p")
+
+    def run(name, lines):
+        (folder / name).write_text("\n".join(lines))
+        return ingest.ingest_incremental(spark, "activities", str(folder), table_path, progress, LOADED)
+
+    assert run("1.json", [json.dumps(activity(1)), '{"athlete_id": 1, "activ']) == 1
+    assert run("2.json", ["no json", json.dumps(activity(None)), json.dumps(activity(2))]) == 2
+    stored = ingest.raw_table(spark, table_path, "activities").read()
+    assert sorted(r.activity_id for r in stored.collect()) == ["1", "2"]
+    aside = [r.record for r in spark.read.parquet(f"{table_path}-quarantine").collect()]
+    assert len(aside) == 3 and "no json" in aside
+    assert run("3.json", [json.dumps(activity(3))]) == 0
+
+
+def test_a_day_forecast_twice_is_one_row(spark):
+    def fetched(n, low):
+        daily = {"time": ["2025-03-08"], "temperature_2m_min": [low], "temperature_2m_max": [9.0]}
+        return (1, "Lyon", daily | {"precipitation_sum": [0.0], "windspeed_10m_max": [1.0], "weathercode": [0]}, n)
+
+    payload = spark.createDataFrame([fetched(2, 4.0), fetched(1, 2.0)], f"{schemas.FORECAST_PAYLOAD}, fetch INT")
+    rows = landed.normalise_forecast(payload).collect()
+    assert [r.temp_min_c for r in rows] == [4.0]

@@ -99,6 +99,17 @@ def test_backfill_fills_only_missing_weather(activities, table, run_row):
     assert got["other"].weather_temp_c is None and got["other"].updated_at == FIRST
 
 
+def test_a_batch_with_a_repeated_or_null_key_is_refused(activities, table, run_row):
+    activities.replace(batch(table, [run_row(activity_id="dry")]), FIRST)
+    twice = batch(table, [run_row(activity_id="dry", weather_temp_c=t) for t in (1.0, 2.0)])
+    nameless = batch(table, [run_row(activity_id=None, weather_temp_c=1.0)])
+    for load in (activities.insert_new, activities.backfill_weather):
+        for wrong in (twice, nameless):
+            with pytest.raises(DuplicateKeys):
+                load(wrong, LATER)
+    assert activities.read().count() == 1
+
+
 def event(uuid, day, title="first"):
     return {"athlete_id": 1, "event_uuid": uuid, "event_date": day, "title": title}
 

@@ -55,6 +55,13 @@ def num(x):
         (lambda: T.signed_gap(num(None)), "—"),
         (lambda: T.fixed(num(None), 1), None),
         (lambda: T.whole(num(2.5)), "2"),
+        (lambda: T.distance(num(14.95)), "14.9 km"),
+        (lambda: T.distance(num(6.25)), "6.2 km"),
+        (lambda: T.distance(num(14.85)), "14.8 km"),
+        (lambda: T.distance(num(0.35)), "0.3 km"),
+        (lambda: T.fixed(num(2.675), 2), "2.67"),
+        (lambda: T.fixed(num(-0.04), 1), "-0.0"),
+        (lambda: T.fixed(num(2.5), 0), "2"),
     ],
 )
 def test_texts(value, column, expected):
@@ -87,3 +94,12 @@ def test_lookups(value):
     assert value(W.condition_label(F.lit(None).cast("string"))) == "—"
     assert value(A.hr_ratio_zone(F.lit(140), F.lit(185))) == "Zone 3 - Tempo"
     assert value(A.hr_ratio_zone(F.lit(185), F.lit(185))) == "Unknown"
+
+
+def test_fixed_prints_the_exact_value(spark):
+    """All steps of 0.01 up to 500, and a spread of other values, against Python's printing."""
+    values = [i / 100 for i in range(50_000)] + [i / 8 for i in range(999)] + [-i * 0.05 for i in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for places in (0, 1, 2):
+        got = df.select("v", T.fixed(F.col("v"), places).alias("t")).collect()
+        assert [r.t for r in got] == [f"{r.v:.{places}f}" for r in got]
