@@ -5,10 +5,11 @@ follows the path of its chosen tokens: sets that agree on the tokens so far meet
 too many sets branches by further tokens. Within small nodes all pairs are compared by signature. Candidates
 are confirmed on the full sets, and the links make components.
 
-Documents with equal sets are one set from the start. In a dense node only a spanning forest and the
-likeliest pairs are tried first; pairs within what has become one component need no test, and the others
-are tried in further rounds, until none is left. A node that stays large is in the end compared block by
-block, apart from pairs within a component. No pair is given up for a node's size.
+Documents with equal sets are one set from the start. Of a dense node only a spanning forest and the likeliest
+pairs are confirmed at first; what they join needs no further test. The other pairs of dense nodes, and those
+of nodes that were too large, are then compared on the full sets within the node, large nodes block by block,
+apart from pairs within a component. A pair that meets in several trees is compared in the first of them. No
+pair is given up for a node's size.
 """
 
 from __future__ import annotations
@@ -29,9 +30,13 @@ from cadenza.llm.lm_scoring import words_of
 TOKENS = 128
 TREES = 12
 #: Numbers of tokens that the paths have, one level after the other.
-DEPTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
+DEPTHS = (2, 4, 8, 16, 32, 64, 128)
 #: Sets in a node that are compared with each other at once.
 NODE_SETS = 1500
+#: Shingles in a block of a large node.
+BLOCK_SHINGLES = 2_000_000
+#: Pairs of a dense node that are confirmed at first, for each of its sets.
+FIRST_PAIRS = 4
 #: A pair is a candidate if its estimate is at most this far below the threshold: 3.8 standard deviations.
 MARGIN = 0.12
 CHUNK_BYTES = 8_000_000
@@ -150,31 +155,34 @@ def paths(rows: DataFrame, depth: int, trees: int) -> DataFrame:
     return rows.mapInArrow(walk, "node long, tree int, key binary")
 
 
-def branch(sets: DataFrame, trees: int, node_sets: int) -> tuple[DataFrame, DataFrame | None]:
-    """Members (node, key) of all nodes with 2 to ``node_sets`` sets, and of those that were larger at first.
+def branch(sets: DataFrame, trees: int, node_sets: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Members (node, tree, key) of small nodes, those of the first level, and whether one was too large there.
 
-    ``sets`` has (key, tokens). Every level handles only the sets whose node was too large. Sets whose whole
-    signatures agree in more than ``node_sets`` cases are left to the second frame, which is None if no
-    node is too large.
+    ``sets`` has (key, tokens). The first frame has the nodes of all levels with 2 to ``node_sets`` sets, the
+    second all nodes of the first level, with ``members``. Every further level handles only the sets whose
+    node was too large.
     """
-    found, rows, large = None, sets.select("key", "tokens"), None
+    found, first, rows = None, None, sets.select("key", "tokens")
+    count = sets.count() * trees
     for depth in DEPTHS:
-        at = common.written(paths(rows, depth, trees), "paths")
+        at = common.written(paths(rows, depth, trees), "paths", count)
         sizes = at.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-        there = common.written(at.join(sizes, "node"), "members")
+        there = common.written(at.join(sizes, "node"), "members", count)
         common.drop_written(at)
-        small = there.where(F.col("members") <= node_sets).select("node", "key")
+        small = there.where(F.col("members") <= node_sets).select("node", "tree", "key")
         found = small if found is None else found.union(small)
         over = there.where(F.col("members") > node_sets).select("node", "tree", "key")
-        if not over.limit(1).count():
+        count = over.count()
+        if first is None:
+            first, wide = there.select("node", "tree", "key", "members"), count > 0
+        if not count:
             break
-        large = over.select("node", "key") if large is None else large
         rows = over.select("key", "tree").join(sets.select("key", "tokens"), "key").select("key", "tokens", "tree")
-    return found, large
+    return found, first, wide
 
 
-def _agreeing(tokens: np.ndarray, sizes: np.ndarray, group: np.ndarray, part: np.ndarray, least: int, ratio: float):
-    """Pairs of one group and different parts with at least ``least`` equal tokens: two indexes and the number.
+def _agreeing(tokens: np.ndarray, sizes: np.ndarray, group: np.ndarray, least: int, ratio: float):
+    """Pairs of one group with at least ``least`` equal tokens: two indexes and the number.
 
     Rows are sorted by group. Sizes that rule the threshold out are skipped.
     """
@@ -188,7 +196,7 @@ def _agreeing(tokens: np.ndarray, sizes: np.ndarray, group: np.ndarray, part: np
         for a in np.array_split(active, -(-len(active) // 20_000)):
             b = a + shift
             small, big = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-            near = (part[a] != part[b]) & (small >= ratio * big)
+            near = small >= ratio * big
             a, b = a[near], b[near]
             same = (tokens[a] == tokens[b]).sum(axis=1)
             chosen = same >= least
@@ -225,11 +233,11 @@ def _chosen(left: np.ndarray, right: np.ndarray, most: int) -> np.ndarray:
     return keep
 
 
-def candidates(members: DataFrame, rows: int, each: int, least: int, ratio: float) -> DataFrame:
+def candidates(members: DataFrame, rows: int, least: int, ratio: float) -> DataFrame:
     """Rows (u, v, node): pairs to confirm, u < v; a row with null u marks a node that has more of them.
 
-    ``members`` has (node, key, n, tokens, part). A node gives all its pairs or, if these are more than ``each``
-    for a set, so many and a spanning forest. Many nodes are handled in one call.
+    ``members`` has (node, key, n, tokens). A node gives all its pairs or, if these are more than
+    ``FIRST_PAIRS`` for a set, so many and a spanning forest. Many nodes are handled in one call.
     """
 
     def compare(table: pa.Table) -> pa.Table:
@@ -238,18 +246,17 @@ def candidates(members: DataFrame, rows: int, each: int, least: int, ratio: floa
         node = node[order]
         tokens = np.frombuffer(b"".join(table["tokens"].to_pylist()), np.uint16).reshape(-1, TOKENS)[order]
         key = np.array(table["key"].to_pylist(), object)[order]
-        part = np.unique(np.array([x.hex() for x in table["part"].to_pylist()]), return_inverse=True)[1][order]
-        left, right, equal = _agreeing(tokens, table["n"].to_numpy()[order], node, part, least, ratio)
+        left, right, equal = _agreeing(tokens, table["n"].to_numpy()[order], node, least, ratio)
         members_of = dict(zip(*np.unique(node, return_counts=True), strict=True))
         out_u, out_v, out_node = [], [], []
         by_node = np.lexsort([right, left, -equal, node[left]])
         left, right = left[by_node], right[by_node]
-        first = np.flatnonzero(np.diff(node[left], prepend=np.int64(0)) != 0) if len(left) else np.zeros(0, np.int64)
-        if len(left) and (not len(first) or first[0] != 0):
-            first = np.concatenate([[0], first])
-        for a, b in zip(first, np.append(first[1:], len(left)), strict=False):
-            l, r, name = left[a:b], right[a:b], int(node[left[a]])
-            most = each * members_of[name]
+        cuts = np.flatnonzero(node[left][1:] != node[left][:-1]) + 1
+        for l, r in zip(np.split(left, cuts), np.split(right, cuts), strict=True):
+            if not len(l):
+                continue
+            name = int(node[l[0]])
+            most = FIRST_PAIRS * members_of[name]
             if len(l) > most:
                 keep = _chosen(l, r, most)
                 l, r = l[keep], r[keep]
@@ -264,23 +271,24 @@ def candidates(members: DataFrame, rows: int, each: int, least: int, ratio: floa
             {"u": pa.array(out_u, pa.binary()), "v": pa.array(out_v, pa.binary()), "node": pa.array(out_node, pa.int64())}
         )
 
-    calls = common.row_groups(rows, 10_000)
-    called = members.withColumn("_call", F.pmod(F.xxhash64("node"), F.lit(calls)))
+    called = members.withColumn("_call", F.pmod(F.xxhash64("node"), F.lit(common.row_groups(rows, 5_000))))
     return called.groupBy("_call").applyInArrow(compare, "u binary, v binary, node long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, ids: str, width: int, percent: int) -> DataFrame:
-    """Of the pairs (u, v) those whose full sets have 100 * intersection >= percent * union.
+def full_sets(keys: DataFrame, count: int, sets: DataFrame, docs: DataFrame, text: str, ids: str, width: int) -> DataFrame:
+    """Rows (key, shingles) for ``count`` distinct keys, built anew from one document of each.
 
-    The sets are built anew, from one document of each; only those come near a shuffle.
+    Only those come near a shuffle.
     """
-    ends = pairs.select(F.col("u").alias("key")).union(pairs.select(F.col("v").alias("key"))).distinct()
-    wanted = common.written(sets.select("key", "id").join(ends, "key").select("id").distinct(), "wanted")
-    n = wanted.count()
-    wanted = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
+    wanted = common.written(sets.select("key", "id").join(keys, "key").select("id").distinct(), "wanted", count)
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     own = docs.select(F.col(ids).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
     full = document_sets(own, "text", "id", width, with_shingles=True).where("n > 0").select("key", "shingles")
-    full = common.written(full.join(ends, "key", "left_semi").dropDuplicates(["key"]), "full")
+    return common.written(full.join(keys, "key", "left_semi").dropDuplicates(["key"]), "full")
+
+
+def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (u, v) those whose full sets have 100 * intersection >= percent * union."""
     a, b = (full.select(F.col("key").alias(k), F.col("shingles").alias(f"s{k}")) for k in "uv")
     both = pairs.join(a, "u").join(b, "v")
     shared = F.size(F.array_intersect("su", "sv"))
@@ -288,28 +296,75 @@ def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: str, ids
     return linked.where(F.col("i") * 100 >= (F.col("t") - F.col("i")) * percent).select("u", "v")
 
 
-def blocks(members: DataFrame, block_sets: int) -> DataFrame:
-    """Members (node, key, part) of large nodes again as pairs of blocks, each a node of its own.
+def blocks(members: DataFrame) -> DataFrame:
+    """Members (node, tree, key, n, part) of nodes again as pairs of blocks: (node, tree, key, part, block).
 
-    A part with many sets has blocks of its own, which are not compared with each other; small parts share
+    A part with many shingles has blocks of its own, which are not compared with each other; small parts share
     blocks. Only pairs of blocks that hold different parts are made.
     """
-    sizes = members.groupBy("node", "part").agg(F.count("*").alias("_n"))
-    big = F.col("_n") >= block_sets // 4
+    sizes = members.groupBy("node", "part").agg(F.sum("n").alias("_n"))
+    big = F.col("_n") >= BLOCK_SHINGLES // 4
     total = sizes.groupBy("node").agg(F.sum(F.when(~big, F.col("_n")).otherwise(0)).alias("_small"))
     sized = members.join(sizes, ["node", "part"]).join(total, "node")
-    own = F.pmod(F.xxhash64("key"), F.ceil(F.col("_n") / block_sets))
-    shared = F.pmod(F.xxhash64("part"), F.greatest(F.lit(1), F.ceil(F.col("_small") / block_sets)))
+    own = F.pmod(F.xxhash64("key"), F.ceil(F.col("_n") / BLOCK_SHINGLES))
+    shared = F.pmod(F.xxhash64("part"), F.greatest(F.lit(1), F.ceil(F.col("_small") / BLOCK_SHINGLES)))
     block = F.when(big, F.xxhash64("part", own)).otherwise(F.xxhash64(F.lit("shared"), shared))
-    placed = common.written(
-        sized.select("node", "key", block.alias("block"), F.when(big, F.col("part")).alias("alone")), "blocks"
-    )
-    each = placed.select("node", "block", "alone").distinct()
-    a = each.select("node", F.col("block").alias("a"), F.col("alone").alias("pa"))
+    placed = sized.select("node", "tree", "key", "part", block.alias("block"), F.when(big, F.col("part")).alias("alone"))
+    placed = common.written(placed, "blocks")
+    each = placed.groupBy("node", "block", "alone").agg((F.min("part") != F.max("part")).alias("mixed"))
+    a = each.select("node", F.col("block").alias("a"), F.col("alone").alias("pa"), "mixed")
     b = each.select("node", F.col("block").alias("b"), F.col("alone").alias("pb"))
-    pairs = a.join(b, "node").where("a < b AND NOT (pa <=> pb AND pa IS NOT NULL) OR a = b AND pa IS NULL")
-    named = pairs.select("node", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"), F.xxhash64("node", "a", "b").alias("pair"))
-    return named.join(placed, ["node", "block"]).select(F.col("pair").alias("node"), "key")
+    pairs = a.join(b, "node").where("a < b AND NOT (pa <=> pb AND pa IS NOT NULL) OR a = b AND mixed")
+    named = pairs.select("node", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"), F.xxhash64("node", "a", "b").alias("_pair"))
+    joined = named.join(placed, ["node", "block"])
+    return joined.select(F.col("_pair").alias("node"), "tree", "key", "part", "block")
+
+
+def links_within(members: DataFrame, least: int, percent: int) -> DataFrame:
+    """Links (u, v) between sets of one node but different parts, found on the full sets.
+
+    ``members`` has (node, tree, key, part, block, n, tokens, shingles). In a node of two blocks only pairs across
+    are compared. A pair that meets in the first level of an earlier tree is left to that.
+    """
+
+    def compare(table: pa.Table) -> pa.Table:
+        order = np.argsort(table["key"].to_numpy(zero_copy_only=False), kind="stable")
+        table = table.take(pa.array(order))
+        tokens = np.frombuffer(b"".join(table["tokens"].to_pylist()), np.uint16).reshape(-1, TOKENS)
+        key, sizes, tree = table["key"].to_pylist(), table["n"].to_numpy(), table["tree"][0].as_py()
+        part = np.unique(np.array([x.hex() for x in table["part"].to_pylist()]), return_inverse=True)[1]
+        block = table["block"].to_numpy()
+        two = block.min() != block.max()
+        shingles = table["shingles"].combine_chunks()
+        codes = np.unique(shingles.flatten().to_numpy(), return_inverse=True)[1]
+        ends = np.cumsum(sizes)
+        out_u, out_v = [], []
+        there = np.zeros(int(codes.max(initial=0)) + 1, bool)
+        for a in range(len(key) - 1):
+            b = np.arange(a + 1, len(key))
+            b = b[part[b] != part[a]]
+            b = b[block[b] != block[a]] if two else b
+            small, big = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+            b = b[100 * small >= percent * big]
+            b = b[(tokens[b] == tokens[a]).sum(axis=1) >= least]
+            for t in range(tree):
+                at = _ORDERS[t % len(_ORDERS)][: DEPTHS[0]]
+                b = b[(tokens[b][:, at] != tokens[a, at]).any(axis=1)]
+            if not len(b):
+                continue
+            own = codes[ends[a] - sizes[a] : ends[a]]
+            there[own] = True
+            for part_of_b in np.array_split(b, -(-int(sizes[b].sum()) // 4_000_000)):
+                at = np.concatenate([np.arange(ends[i] - sizes[i], ends[i]) for i in part_of_b])
+                starts = np.cumsum(sizes[part_of_b]) - sizes[part_of_b]
+                shared = np.add.reduceat(there[codes[at]].astype(np.int64), starts)
+                for i in part_of_b[100 * shared >= percent * (sizes[a] + sizes[part_of_b] - shared)]:
+                    out_u.append(key[a])
+                    out_v.append(key[i])
+            there[own] = False
+        return pa.table({"u": pa.array(out_u, pa.binary()), "v": pa.array(out_v, pa.binary())})
+
+    return members.groupBy("node").applyInArrow(compare, "u binary, v binary").distinct()
 
 
 def near_duplicates(
@@ -333,43 +388,32 @@ def near_duplicates(
     named = own.where("n > 0 AND id IS NOT NULL")
     sets = named.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     sets = common.written(sets, "distinct")
-    small, large = branch(sets, trees, node_sets)
-    seen, links, parts, each = None, None, None, 4
-    todo = small
-    while True:
-        part = F.col("key") if parts is None else F.coalesce("component", "key")
-        if parts is not None:
-            todo = todo.join(parts, F.col("key") == F.col("vertex"), "left")
-        todo = todo.select("node", "key", part.alias("part"))
-        if parts is not None and large is not None:
-            wide = large.join(parts, F.col("key") == F.col("vertex"), "left").select("node", "key", part.alias("part"))
-            cut = blocks(wide, node_sets // 2).join(parts, F.col("key") == F.col("vertex"), "left")
-            todo = todo.union(cut.select("node", "key", part.alias("part")))
-            large = None
-        if parts is not None:
-            several = todo.groupBy("node").agg(F.min("part").alias("_a"), F.max("part").alias("_b")).where("_a != _b")
-            todo = todo.join(several.select("node"), "node", "left_semi")
-        members = common.written(todo.join(sets.select("key", "n", "tokens"), "key"), "nodes")
-        rows = members.count()
-        found = common.written(candidates(members, rows, each, least, percent / 100), "candidates")
-        pairs = found.where("u IS NOT NULL").select("u", "v").distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["u", "v"], "left_anti")
-        pairs = common.written(pairs, "pairs")
-        more = common.written(found.where("u IS NULL").select("node").distinct(), "more")
-        todo = members.join(more, "node", "left_semi").select("node", "key")
-        again = bool(more.limit(1).count()) or large is not None
-        if pairs.limit(1).count():
-            new = common.written(confirmed(pairs, sets, docs, text, ids, width, percent), "links")
-            links = new if links is None else links.union(new)
-            seen = pairs if seen is None else seen.union(pairs)
-            parts = common.written(components(links), "parts")
-        elif parts is None:
-            parts = common.written(components(pairs), "parts")
-        common.drop_written(found)
-        if not again:
-            break
-        each *= 8
+    small, first, wide = branch(sets, trees, node_sets)
+    signed = sets.select("key", "n", "tokens")
+    members = common.written(small.join(signed, "key").select("node", "key", "n", "tokens"), "nodes")
+    rows = members.count()
+    found = candidates(members, rows, least, percent / 100).coalesce(common.row_groups(rows, 5_000))
+    found = common.written(found, "candidates")
+    pairs = common.written(found.where("u IS NOT NULL").select("u", "v").distinct(), "pairs", rows)
+    count = pairs.count()
+    ends = pairs.select(F.col("u").alias("key")).union(pairs.select(F.col("v").alias("key"))).distinct()
+    full = full_sets(ends, 2 * count, sets, docs, text, ids, width)
+    links = common.written(confirmed(pairs, full, percent), "links", count)
+    parts = common.written(components(links, count), "parts", count)
+
+    dense = common.written(found.where("u IS NULL").select("node").distinct(), "dense", 1)
+    if wide or dense.limit(1).count():
+        rest = first.join(dense.withColumn("_dense", F.lit(True)), "node", "left")
+        rest = rest.where((F.col("members") > node_sets) | F.col("_dense")).select("node", "tree", "key")
+        rest = rest.join(parts, F.col("key") == F.col("vertex"), "left").select(
+            "node", "tree", "key", F.coalesce("component", "key").alias("part")
+        )
+        cut = common.written(blocks(rest.join(sets.select("key", "n"), "key")), "cut")
+        keys = common.written(cut.select("key").distinct(), "keys")
+        full = full_sets(keys, keys.count(), sets, docs, text, ids, width)
+        more = links_within(cut.join(signed, "key").join(full, "key"), least, percent)
+        links = common.written(links.union(more), "links", count)
+        parts = common.written(components(links, count), "parts", count)
 
     of_set = sets.join(parts, F.col("key") == F.col("vertex"), "left").select(
         "key", "id", F.coalesce("component", "key").alias("component")

@@ -41,9 +41,14 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/cadenza-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` from a table in the shared folder: computed once, safe from lost executors."""
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """The rows of ``df`` from a table in the shared folder: computed once, safe from lost executors.
+
+    ``rows``, if known to be about so many, keeps a small table from being written by many tasks.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(row_groups(rows, 100_000))
     path = work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
