@@ -432,6 +432,13 @@ def near_duplicates(
     )
 
 
+def first_of_each(docs: DataFrame, ids: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that near_duplicates keeps, one for each id; all rows with a null id."""
+    found = near_duplicates(docs, text=text, ids=ids, **options).where(F.col("kept") & F.col(ids).isNotNull())
+    kept = docs.join(found.select(F.col(ids)).distinct(), ids, "left_semi").dropDuplicates([ids])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(F.col(ids).isNull()))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a similarity of 0.85 or more."""
     return near_duplicates(common.table(spark, sf_dir, "documents"), width=3, percent=85)

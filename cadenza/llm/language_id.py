@@ -176,6 +176,13 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tup
     return chosen.mapInArrow(score, schema)
 
 
+def with_language(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows whose text is given a language, with the columns of ``docs``; those that get ``und`` go."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    found = identify(docs.select(row, F.col(text).alias("text")), model, keep=("_row",))
+    return found.where("lang_pred != 'und'").select("_row.*")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from those whose crc32(doc_id) mod 3 is not 1."""
     docs = common.table(spark, sf_dir, "documents")
