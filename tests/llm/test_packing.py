@@ -86,6 +86,7 @@ TEXTS = [
     "é ́x café Å",
     "word " * 5000,
     "x" * 30000,
+    "ªº µ ÿþ ßð ÀÉ café naïve Øre ÇA it's dON'T 3rd co2 no°1 a-b",
     "日本語 テキスト 한국어 😀😀 \U0001f468‍\U0001f469",
 ]
 
