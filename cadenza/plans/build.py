@@ -66,9 +66,9 @@ def marts(
 def write_mart(df: DataFrame, path: str) -> None:
     """Store a mart, rebuilt in full.
 
-    The windows leave it clustered and sorted by athlete, so the files' own statistics
-    find one athlete's rows; folders per athlete or year would only cut it into many
-    small files.
+    The windows leave the rows of an athlete together in one file. Which file is a hash, so
+    file statistics do not lead there; folders per athlete or year would only cut the mart
+    into many small files.
     """
     df.write.mode("overwrite").parquet(path)
 
