@@ -31,9 +31,10 @@ LEAVES = 128
 #: Rows in the leaves that a query takes, as a share of all rows; a row counts once in each tree. Vectors
 #: without structure need this much for a recall of 0.9; less will do for others.
 VISITS = 1.3
-SHARD_ROWS = 4000
-#: Queries that meet a shard at once.
+SHARD_ROWS = 20_000
+#: Queries that meet a shard at once, and those whose scores are held at once.
 QUERY_ROWS = 20_000
+QUERY_BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -137,13 +138,13 @@ def shards_of(sizes: list[np.ndarray], shard_rows: int) -> dict[tuple[int, int],
     return out
 
 
-def exact_top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k largest inner products of one query, ties to smaller ids, without the query's own id.
+def exact_top(
+    rough: np.ndarray, query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The k largest inner products of one query, ties to smaller ids, of the rows whose rough score is finite.
 
     A row may be there several times, once for each tree; an id counts once, with its best score.
     """
-    rough = vectors @ query
-    rough[ids == own] = -np.inf
     finite = int(np.isfinite(rough).sum())
     n = min(4 * k, finite)
     while n:
@@ -296,13 +297,23 @@ def nearest(
             leaf, number = leaf[order], there["id"].to_numpy()[order]
             points = there["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)[order]
             q = asked["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            for i, (name, wanted) in enumerate(zip(asked["query_id"].to_pylist(), asked["leaves"].to_pylist(), strict=True)):
-                a, b = np.searchsorted(leaf, wanted, "left"), np.searchsorted(leaf, wanted, "right")
-                at = np.concatenate([np.arange(x, y) for x, y in zip(a, b, strict=True)])
-                found, score = exact_top(q[i], points[at], number[at], k, name)
-                out_q.append(np.full(len(found), name))
-                out_v.append(found)
-                out_s.append(score)
+            leaf_ids, column = np.unique(leaf, return_inverse=True)
+            names, wanted = asked["query_id"].to_pylist(), asked["leaves"].to_pylist()
+            for first in range(0, len(names), QUERY_BLOCK):
+                block = slice(first, first + QUERY_BLOCK)
+                looked = np.zeros((len(names[block]), len(leaf_ids)), bool)
+                for i, own in enumerate(wanted[block]):
+                    at = np.searchsorted(leaf_ids, own)
+                    there_too = (at < len(leaf_ids)) & (leaf_ids[np.minimum(at, len(leaf_ids) - 1)] == own)
+                    looked[i, at[there_too]] = True
+                rough = q[block] @ points.T
+                rough[~looked[:, column]] = -np.inf
+                for i, name in enumerate(names[block]):
+                    rough[i, number == name] = -np.inf
+                    found, score = exact_top(rough[i], q[first + i], points, number, k)
+                    out_q.append(np.full(len(found), name))
+                    out_v.append(found)
+                    out_s.append(score)
         empty = [np.zeros(0, np.int64)]
         return pa.table(
             {
