@@ -173,7 +173,8 @@ def mix(
     )
     begin = F.col("block") * block_words
     taken = (
-        overlaps.join(slots(targets, block_words, shard_slots, seed), ["source_no", "block"])
+        # the slots come of a few rows, from which their number cannot be told: they are not for broadcast
+        overlaps.join(slots(targets, block_words, shard_slots, seed).hint("merge"), ["source_no", "block"])
         .withColumn("lo", F.greatest(F.lit(0), begin - F.col("start")))
         .withColumn("hi", F.least(F.col("size"), begin + F.col("take") - F.col("start")))
         .where("hi > lo")
