@@ -28,7 +28,9 @@ from cadenza.llm import common
 
 #: The mark that stands for the blank before a word, in the vocabulary.
 MARK = "▁"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
+#: Distinct words that are counted before they are segmented.
+COUNT_WORDS = 400_000
 CHUNK_BYTES = 8_000_000
 BIN_BYTES = 64_000_000
 _LOWER = bytes(common.LOWER_ASCII.get(i, i) for i in range(256))
@@ -133,7 +135,7 @@ def piece_scores(training: DataFrame, path: str, text: str = "text") -> np.ndarr
             for t in batch.column(0).to_pylist():
                 held.update(words_of(t))
                 sums[model.eos_id()] += 1
-                if len(held) > CACHE_WORDS:
+                if len(held) > COUNT_WORDS:
                     flush()
         flush()
         at = np.flatnonzero(sums)
@@ -199,13 +201,15 @@ def deal_words(docs: DataFrame, path: str, log_probability: np.ndarray, bins: in
             numbers = _Numbers()
             number_of = numbers.__getitem__
             number_of(END)
-            tokens, sizes, score = [], [], []
+            tokens, sizes = [], []
             for t in texts:
                 own = words_of(t)
                 sizes.append(len(own) + 1)
-                score.append(math.fsum(map(lattice.__getitem__, own)) + end_score)
                 tokens.append(np.fromiter(map(number_of, own), np.int64, len(own)))
                 tokens.append(np.zeros(1, np.int64))
+            tokens = np.concatenate(tokens)
+            value = np.fromiter((end_score if w == END else lattice[w] for w in numbers), np.float64, len(numbers))
+            score = np.add.reduceat(value[tokens], np.cumsum(sizes) - sizes)
             rows = pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(score, pa.float64())],
                 names=["_id", "held_out", "n_tokens", "score"],
@@ -216,7 +220,7 @@ def deal_words(docs: DataFrame, path: str, log_probability: np.ndarray, bins: in
             out = [(-chunk, chunk, sink.getvalue().to_pybytes())]
 
             pairs, times = np.unique(
-                np.concatenate(tokens) * len(texts) + np.repeat(np.arange(len(texts)), sizes), return_counts=True
+                tokens * len(texts) + np.repeat(np.arange(len(texts)), sizes), return_counts=True
             )
             word, doc = pairs // len(texts), pairs % len(texts)
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
