@@ -17,6 +17,7 @@ _BMP = 0x10000
 _letter_table: np.ndarray | None = None
 #: Characters handled at a time, which bounds the memory of a task whatever the texts.
 SEGMENT = 1_000_000
+BATCH_BYTES = 16_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -93,7 +94,7 @@ def train(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
-        for batch in batches:
+        for batch in common.slices(batches, "text", BATCH_BYTES):
             for t, name in zip(common.column_of(batch, "text"), common.column_of(batch, "lang"), strict=True):
                 for hashed in ngrams(t, orders, buckets):
                     if name not in sums:
@@ -164,7 +165,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tup
     held = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches, "_text", BATCH_BYTES):
             found = [predict(held.value, t) if held.value else ("und", 0.0) for t in common.column_of(batch, "_text")]
             own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "_text"]
             names = [n for n in batch.schema.names if n != "_text"]
