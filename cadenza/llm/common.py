@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadenza.session import work_dir
+
 #: A word is a run of anything but these blanks, in Java and in Python expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -19,26 +20,17 @@ BLANKS = r"[\x20\x09-\x0D]+"
 _ODD_BLANKS = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _WORDS = re.compile(WORD)
 
-_own_folders: dict[str, str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that all executors share.
+    """A fresh path in the folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    The folder is ``spark.checkpoint.dir`` of the session; only where that is unset, as in
-    tests, is a temporary folder made, once for an application.
+    Only a local session without that setting, as in tests, has a temporary folder instead.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        app = spark.sparkContext.applicationId
-        if app not in _own_folders:
-            _own_folders[app] = tempfile.mkdtemp(prefix="cadenza-llm-")
-        shared = _own_folders[app]
-    return f"{shared.rstrip('/')}/cadenza-llm/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{work_dir(spark).rstrip('/')}/cadenza-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
