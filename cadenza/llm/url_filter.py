@@ -120,11 +120,11 @@ def judge(
     # equal texts are scored once, with their number of pages
     texts = parsed.groupBy("host", "path", "label").agg(F.count("*").cast("long").alias("pages"))
     texts = common.written(texts.withColumn("held", held).withColumn("text", F.xxhash64("host", "path")), "texts")
-    own = texts.select(
+    own = texts.withColumn("_own", text).select(
         "text",
         F.when(trains & (F.col("label") == "allow"), F.col("pages")).otherwise(0).alias("accepted"),
         F.when(trains & (F.col("label") == "block"), F.col("pages")).otherwise(0).alias("rejected"),
-        F.explode(_grams(text, order)).alias("gram"),
+        F.explode(_grams(F.col("_own"), order)).alias("gram"),
     )
     top = own.groupBy("gram").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
     ratios = common.written(log_ratios(common.written(top, "top"), order), "ratios")
