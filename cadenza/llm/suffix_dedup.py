@@ -34,7 +34,7 @@ from cadenza.llm import common
 #: Bytes of text in a chunk; a longer document is a chunk of its own.
 CHUNK_BYTES = 8_000_000
 #: Bytes of text for which there is one bin.
-BIN_BYTES = 16_000_000
+BIN_BYTES = 8_000_000
 #: Bytes hashed at a time.
 SEGMENT = 1 << 21
 TRIGGER = 16
@@ -98,12 +98,13 @@ class Chunk:
         valid = np.array(self.ids.is_valid())
         self.known = valid
         self.id = np.array(self.ids.fill_null(0).cast(pa.int64()))
+        row_of = np.repeat(np.arange(len(texts), dtype=np.int32), self.sizes)
         starts, windows, docs, keys = [], [], [], []
         for at in range(0, max(0, len(self.data) - length + 1), SEGMENT):
             part = self.data[at : at + SEGMENT + length - 1]
             least = window_minimum(rolling(part, TRIGGER), length - TRIGGER + 1)
-            row = np.searchsorted(self.ends, np.arange(at, at + len(least)), "right")
-            inside = (np.arange(at, at + len(least)) + length <= self.ends[row]) & valid[row]
+            row = row_of[at : at + len(least)]
+            inside = (np.arange(at + length, at + length + len(least)) <= self.ends[row]) & valid[row]
             new = np.ones(len(least), bool)
             new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
             first = np.flatnonzero(new)
@@ -153,7 +154,7 @@ def unpack(blob: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(blob).read_next_batch()
 
 
-def chunks(docs: DataFrame, text: str, ids: str, chunk_bytes: int) -> DataFrame:
+def chunks(docs: DataFrame, text: str, ids: str, chunk_bytes: int, carry: tuple[str, ...] = ()) -> DataFrame:
     """Rows (chunk, n_bytes, data): whole documents of a task, as UTF-8, ``chunk_bytes`` together."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +182,8 @@ def chunks(docs: DataFrame, text: str, ids: str, chunk_bytes: int) -> DataFrame:
         if held:
             yield out()
 
-    chosen = docs.select(F.col(ids).alias("_id"), F.col(text).cast("string").cast("binary").alias("_text"))
+    others = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)]
+    chosen = docs.select(F.col(ids).alias("_id"), F.col(text).cast("string").cast("binary").alias("_text"), *others)
     return chosen.mapInArrow(cut, "chunk long, n_bytes long, data binary")
 
 
@@ -284,13 +286,14 @@ class Entries:
         numbered = np.empty(len(start), np.int64)
         for i, (p, a, b) in enumerate(zip(place.tolist(), start.tolist(), stop.tolist(), strict=True)):
             numbered[i] = seen.setdefault((p, raw[a:b]), len(seen))
-        phrases = [*seen]
-        order = sorted(range(len(phrases)), key=phrases.__getitem__)
+        own_place = np.fromiter((p for p, _ in seen), np.uint64, len(seen))
+        phrases = [x for _, x in seen]
+        order = np.argsort(own_place >> np.uint64(32), kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.number = rank[numbered]
-        self.phrase = [phrases[i][1] for i in order]
-        self.place = np.array([phrases[i][0] for i in order], np.uint64)
+        self.phrase = [phrases[i] for i in order.tolist()]
+        self.place = own_place[order]
         self.least = np.full(len(order), np.iinfo(np.int64).max)
         np.minimum.at(self.least, self.number, chunk.id[doc])
         self.start, self.windows, self.doc = start, windows, doc
@@ -329,49 +332,68 @@ def phrases(parsed: DataFrame, replies: DataFrame, bins: int, length: int) -> Da
 
 
 def corpus_order(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by their first ``length`` bytes; which of them, in order, differ from the one before."""
-    words = -(-length // 8)
-    block = np.zeros((len(begin), words * 8), np.uint8)
-    block[:, :length] = data[begin[:, None] + np.arange(length)]
-    columns = block.view(">u8").astype(np.uint64)
-    order = np.lexsort([columns[:, j] for j in reversed(range(words))])
-    ranked = columns[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    """Suffixes sorted by their first ``length`` bytes; which of them, in order, differ from the one before.
+
+    Eight bytes of each suffix are one column, so little more than the columns is held.
+    """
+    columns = []
+    for j in range(0, length, 8):
+        part = np.zeros(len(begin), np.uint64)
+        for k in range(j, min(j + 8, length)):
+            part |= data[begin + k].astype(np.uint64) << np.uint64(8 * (7 - k + j))
+        columns.append(part)
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for part in columns:
+        ranked = part[order]
+        new[1:] |= ranked[1:] != ranked[:-1]
     return order, new
 
 
-def first_documents(phrase: list[bytes], group: np.ndarray, least: np.ndarray, length: int) -> list[int]:
+def first_documents(phrase: list[bytes], group: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
     """For each phrase the bits of its strings that a smaller document than ``least`` has, lowest bit first."""
     seen: dict[tuple[int, bytes], int] = {}
-    number = np.array([seen.setdefault(x, len(seen)) for x in zip(group.tolist(), phrase, strict=True)], np.int64)
+    number = np.fromiter(
+        (seen.setdefault(x, len(seen)) for x in zip(group.tolist(), phrase, strict=True)), np.int64, len(phrase)
+    )
     first = np.full(len(seen), np.iinfo(np.int64).max)
     np.minimum.at(first, number, least)
-    distinct = [p for _, p in seen]
-    owner = np.array([g for g, _ in seen], np.int64)
+    owner = np.fromiter((g for g, _ in seen), np.int64, len(seen))
+    each = np.fromiter((len(p) for _, p in seen), np.int64, len(seen)) - length + 1
     _, of_group, members = np.unique(owner, return_inverse=True, return_counts=True)
-    several = np.flatnonzero(members[of_group] > 1)  # alone in its group, a phrase is found as a whole or not at all
-    each = np.array([len(distinct[i]) - length + 1 for i in several], np.int64)
-    data = np.frombuffer(b"".join(distinct[i] for i in several), np.uint8)
-    total = int(each.sum())
-    from_doc = np.zeros(total, np.int64)
-    if total:
-        nth = np.arange(total) - np.repeat(np.cumsum(each) - each, each)
-        begin = np.repeat(np.cumsum(each + length - 1) - each - length + 1, each) + nth
-        own = np.repeat(first[several], each)
-        order, new = corpus_order(data, begin, length)
-        lowest = np.minimum.reduceat(own[order], np.flatnonzero(new))
-        from_doc[order] = lowest[np.cumsum(new) - 1]
-    at = dict(zip(several.tolist(), (np.cumsum(each) - each).tolist(), strict=True))
-    out = []
-    for n, low, text in zip(number.tolist(), least.tolist(), phrase, strict=True):
-        windows = len(text) - length + 1
-        if n in at:
-            found = from_doc[at[n] : at[n] + windows] < low
-            out.append(int(found @ (1 << np.arange(windows))))
-        else:
-            out.append((1 << windows) - 1 if first[n] < low else 0)
-    return out
+    several = members[of_group] > 1  # alone in its group, a phrase is found as a whole or not at all
+    data = np.frombuffer(b"".join(p for (_, p), s in zip(seen, several.tolist(), strict=True) if s), np.uint8)
+    del seen
+
+    strings = np.where(several, each, 0)
+    at = np.cumsum(strings) - strings
+    own = np.flatnonzero(several)
+    nth = np.arange(strings.sum()) - np.repeat(at[own], each[own])
+    before = np.cumsum(each[own] + length - 1) - (each[own] + length - 1)
+    begin, from_doc = np.repeat(before, each[own]) + nth, np.repeat(first[own], each[own])
+    if len(begin):
+        # most suffixes differ from all others already in a hash of their strings, and need no place in the order
+        hashes = rolling(data, length)[begin]
+        by_hash = np.argsort(hashes)
+        same = hashes[by_hash][1:] == hashes[by_hash][:-1]
+        met = np.zeros(len(begin), bool)
+        met[by_hash[1:][same]] = met[by_hash[:-1][same]] = True
+        chosen = np.flatnonzero(met)
+        order, new = corpus_order(data, begin[chosen], length)
+        if len(order):
+            holder = from_doc[chosen][order]
+            from_doc[chosen[order]] = np.minimum.reduceat(holder, np.flatnonzero(new))[np.cumsum(new) - 1]
+
+    bits = np.where(first[number] < least, (np.int64(1) << each[number]) - 1, 0)
+    mixed = np.flatnonzero(several[number])
+    if len(mixed):
+        count = each[number[mixed]]
+        start = np.cumsum(count) - count
+        nth = np.arange(count.sum()) - np.repeat(start, count)
+        found = from_doc[np.repeat(at[number[mixed]], count) + nth] < np.repeat(least[mixed], count)
+        bits[mixed] = np.bitwise_or.reduceat(found.astype(np.int64) << nth, start)
+    return bits.astype(np.uint32)
 
 
 def covered(dealt: DataFrame, length: int) -> DataFrame:
@@ -388,7 +410,7 @@ def covered(dealt: DataFrame, length: int) -> DataFrame:
             cuts.append(len(phrase))
         group = np.concatenate([np.frombuffer(x, np.uint32) for x in table["groups"].to_pylist()])
         least = np.concatenate([np.frombuffer(x, np.int64) for x in table["least"].to_pylist()])
-        bits = np.array(first_documents(phrase, group, least, length), np.uint32)
+        bits = first_documents(phrase, group, least, length)
         return pa.table(
             {
                 "chunk": table["chunk"],
@@ -418,6 +440,14 @@ def removed_bytes(chunk: Chunk, answers: dict[int, bytes], bits: dict[int, bytes
     return np.cumsum(change[: len(chunk.data)]) > 0
 
 
+def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` with all bytes of a character added of which one is gone, in UTF-8."""
+    first = (data & 0xC0) != 0x80
+    character = np.cumsum(first)
+    cut = np.bincount(character[gone], minlength=int(character[-1]) + 1 if len(character) else 1) > 0
+    return cut[character]
+
+
 def _digests(chunk: Chunk, gone: np.ndarray, with_text: bool) -> list[tuple]:
     out = []
     for a, b in zip(chunk.begins.tolist(), chunk.ends.tolist(), strict=True):
@@ -425,6 +455,8 @@ def _digests(chunk: Chunk, gone: np.ndarray, with_text: bool) -> list[tuple]:
         kept = chunk.data[a:b][~own].tobytes()
         spans = int((own[1:] & ~own[:-1]).sum() + (own[:1].sum() if len(own) else 0))
         row = (b - a, int(own.sum()), spans, hashlib.sha256(kept).hexdigest())
+        if with_text:
+            kept = chunk.data[a:b][~whole_characters(chunk.data[a:b], own)].tobytes().decode("utf-8", "replace")
         out.append((*row, kept) if with_text else row)
     return out
 
@@ -438,44 +470,60 @@ def remove_repeats(
     chunk_bytes: int = CHUNK_BYTES,
     bin_bytes: int = BIN_BYTES,
     hot_chunks: int = HOT_CHUNKS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per document: ``ids``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, if asked ``kept``.
 
+    Columns in ``carry`` follow, as ``_0``, ``_1`` and so on.
+
     A byte goes if a string of ``length`` bytes over it also starts in a document with a smaller id. Strings
     are judged on the texts as given and never cross documents. A null text is empty. Rows of one id take
-    nothing from each other; a row with a null id keeps all its bytes and takes none. ``kept`` is binary: a
-    removed span may end within a character. Ids are whole numbers.
+    nothing from each other; a row with a null id keeps all its bytes and takes none. ``kept`` is the text
+    without the characters of which a byte goes. Ids are whole numbers.
     """
     if not TRIGGER <= length < 1 << 15:
         raise ValueError("length is outside what phrases can hold")
-    parsed = common.written(chunks(docs, text, ids, chunk_bytes), "chunks")
+    parsed = common.written(chunks(docs, text, ids, chunk_bytes, carry), "chunks")
     total = parsed.agg(F.sum("n_bytes")).first()[0] or 0
     bins = max(1, -(-total // bin_bytes))
     replies = common.written(shared_triggers(fingerprints(parsed, bins, length), hot_chunks), "triggers")
     found = common.written(covered(phrases(parsed, replies, bins, length), length), "covered")
 
     key = docs.schema[ids].dataType.simpleString()
-    schema = f"`{ids}` {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: 4 + with_text]
+    schema = f"`{ids}` {key}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text
+    schema += "".join(f", _{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()][: 4 + with_text]
     names = [ids, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_text]
 
     def apply(texts: pa.Table, reply: pa.Table) -> pa.Table:
         out = []
         for blob in texts["data"].to_pylist():
-            chunk = Chunk(unpack(blob), length)
+            batch = unpack(blob)
+            chunk = Chunk(batch, length)
             gone = removed_bytes(chunk, _answers(reply, 0), _answers(reply, 1), bins)
             rows = [*zip(*_digests(chunk, gone, with_text), strict=True)]
-            out.append(
-                pa.Table.from_arrays(
-                    [chunk.ids, *(pa.array(c, k) for c, k in zip(rows, kinds, strict=True))], names=names
-                )
-            )
+            found = [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]
+            others = {f"_{i}": batch.column(2 + i) for i in range(batch.num_columns - 2)}
+            out.append(pa.Table.from_arrays([chunk.ids, *found, *others.values()], names=[*names, *others]))
         return pa.concat_tables(out)
 
     both = replies.unionByName(found)
     return parsed.select("chunk", "data").groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(apply, schema)
 
 
+def without_repeats(docs: DataFrame, text: str = "text", ids: str = "doc_id", length: int = 50, **options) -> DataFrame:
+    """The rows of ``docs`` with what remove_repeats keeps as their text; rows without a word left go.
+
+    ``n_chars``, if there, is the new length. The other columns travel with the texts.
+    """
+    others = tuple(c for c in docs.columns if c != text)
+    found = remove_repeats(docs, text, ids, length, with_text=True, carry=others, **options)
+    new = {c: F.col(f"_{i}") for i, c in enumerate(others)} | {text: F.col("kept")}
+    if "n_chars" in others:
+        new["n_chars"] = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+    return found.where(F.col("kept").rlike(common.WORD)).select(*[new[c].alias(c) for c in docs.columns])
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat a 50-byte string of a document with a smaller doc_id."""
     return remove_repeats(common.table(spark, sf_dir, "documents"))
