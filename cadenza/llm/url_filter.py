@@ -103,23 +103,37 @@ def log_ratios(grams: DataFrame, order: int) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, order: int = 4, url: str = "url", ids: str = "page_id"
+    pages: DataFrame,
+    rules: tuple[tuple[str, str], ...] = RULES,
+    order: int = 4,
+    url: str = "url",
+    ids: str = "page_id",
+    whole: bool = False,
 ) -> DataFrame:
     """One row per page: ``ids``, ``host``, ``path``, ``rule``, ``verdict``, ``score``, ``threshold``.
 
     A rule's verdict stands; of the others those with a score of at least the threshold are allowed. Models
     and threshold are learnt from the pages that a rule decides. Null or odd URLs have an empty host
     and path and are judged like any other text. Rows of one id are separate pages.
+
+    ``whole``: the models learn and score the URL as it is, a null one as the empty text, and host and path are
+    for the rules only. Otherwise they see host and path alone, so URLs that differ elsewhere score the same.
     """
-    parsed = pages.select(F.col(ids).alias("id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    judged = ["url"] if whole else ["host", "path"]
+    parsed = pages.select(
+        F.col(ids).alias("id"),
+        F.coalesce(F.col(url), F.lit("")).alias("url"),
+        host_of(F.col(url)).alias("host"),
+        path_of(F.col(url)).alias("path"),
+    )
     parsed = parsed.withColumn("_match", matched(F.col("host"), F.col("path"), rules))
-    parsed = parsed.select("id", "host", "path", "_match.rule", F.col("_match.verdict").alias("label"))
-    text = F.concat(F.lit(BEGIN), "host", "path", F.lit(END))
-    held = F.pmod(F.xxhash64("host", "path"), F.lit(HELD)) == 0
+    parsed = parsed.select("id", "url", "host", "path", "_match.rule", F.col("_match.verdict").alias("label"))
+    text = F.concat(F.lit(BEGIN), *judged, F.lit(END))
+    held = F.pmod(F.xxhash64(*judged), F.lit(HELD)) == 0
     trains = F.col("label").isNotNull() & ~held
     # equal texts are scored once, with their number of pages
-    texts = parsed.groupBy("host", "path", "label").agg(F.count("*").cast("long").alias("pages"))
-    texts = common.written(texts.withColumn("held", held).withColumn("text", F.xxhash64("host", "path")), "texts")
+    texts = parsed.groupBy(*judged, "label").agg(F.count("*").cast("long").alias("pages"))
+    texts = common.written(texts.withColumn("held", held).withColumn("text", F.xxhash64(*judged)), "texts")
     own = texts.withColumn("_own", text).select(
         "text",
         F.when(trains & (F.col("label") == "allow"), F.col("pages")).otherwise(0).alias("accepted"),
@@ -136,17 +150,15 @@ def judge(
     )
     scored = common.written(texts.join(scored, "text"), "scored")
     threshold = calibrated(scored.where("held AND label IS NOT NULL"))
-    result = parsed.alias("p").join(
-        scored.select("host", "path", "score").alias("s"),
-        (F.col("p.host") == F.col("s.host")) & (F.col("p.path") == F.col("s.path")),
-    )
-    judged = F.when(F.col("score") >= threshold, "allow").otherwise("block")
+    same = [F.col(f"p.{c}") == F.col(f"s.{c}") for c in judged]
+    result = parsed.alias("p").join(scored.select(*judged, "score").alias("s"), same)
+    model = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return result.select(
         F.col("p.id").alias(ids),
         F.col("p.host").alias("host"),
         F.col("p.path").alias("path"),
         F.col("p.rule").alias("rule"),
-        F.coalesce("p.label", judged).alias("verdict"),
+        F.coalesce("p.label", model).alias("verdict"),
         "score",
         F.lit(threshold).alias("threshold"),
     )
@@ -174,5 +186,5 @@ def calibrated(scored: DataFrame, step: float = 0.01, most: float = 6.0) -> floa
 
 
 def op6_url_language_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's URL, judged by the rules or else by the models."""
-    return judge(common.table(spark, sf_dir, "pages"))
+    """Every page's whole URL, judged by the rules or else by the models."""
+    return judge(common.table(spark, sf_dir, "pages"), whole=True)

@@ -104,6 +104,45 @@ def test_against_brute_force(spark):
         assert r.verdict == (rule[1] if rule else "allow" if r.score >= r.threshold else "block")
 
 
+def test_whole_url_against_brute_force(spark):
+    rows = [(i, u, "h", "p") for i, u in enumerate([*URLS, "mail:a", "http://x.net/a?q=1", "http://x.net/a#q=1"])]
+    for i in range(120):
+        host, query = [("a.example.org/es/", "spam=1"), ("b.com/fr/", "page=2#top")][i % 2]
+        rows.append((100 + i, f"http://{host}{i % 7}?{query}{i}", "", ""))
+    rows += [(300, "http://z.net/x?spam=1", "", ""), (301, "http://z.net/x?page=2#top", "", ""), (301, "http://z.net/x?page=2#top", "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string, text string")
+    got = uf.judge(df, order=3, whole=True).collect()
+    assert sorted(r.page_id for r in got) == sorted(r[0] for r in rows)
+    urls = {i: u or "" for i, u, *_ in rows}
+    cut = df.select(uf.F.coalesce("url", uf.F.lit("")).alias("u")).distinct()
+    held = {r.u for r in cut.where(uf.F.pmod(uf.F.xxhash64("u"), uf.F.lit(uf.HELD)) == 0).collect()}
+    train = {"allow": [], "block": []}
+    for _, u, *_ in rows:
+        rule = rule_of(*parts(u))
+        if rule and u not in held:
+            train[rule[1]].append(u)
+    want = plain_scores(set(urls.values()), 3, train)
+    for r in got:
+        rule = rule_of(*parts(urls[r.page_id]))
+        assert (r.host, r.path) == parts(urls[r.page_id])
+        assert r.rule == (rule and rule[0])
+        assert r.score == pytest.approx(want[urls[r.page_id]], abs=1e-5)
+        assert r.verdict == (rule[1] if rule else "allow" if r.score >= r.threshold else "block")
+    scores = {r.page_id: r.score for r in got}
+    assert scores[300] < scores[301]
+
+
+def test_query_judges_more_than_host_and_path(spark, tmp_path):
+    """The query itself, not only the function, tells URLs apart that differ in the query, fragment or scheme."""
+    urls = ["http://z.net/x?a=1", "http://z.net/x#b", "https://z.net/x", "no scheme", "mail:a"]
+    urls += [f"http://a.example.org/es/{i}?spam={i}" for i in range(40)]
+    urls += [f"https://b.com/fr/{i}#top" for i in range(40)]
+    rows = [(i, u, "") for i, u in enumerate(urls)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    scores = {r.page_id: r.score for r in uf.op6_url_language_ratio(spark, str(tmp_path)).collect()}
+    assert len({scores[i] for i in range(5)}) == 5
+
+
 def test_longest_rule_wins():
     assert rule_of("a.example.org", "/es/x") == ("example.org/es/", "block")
     assert rule_of("example.org", "") is None
