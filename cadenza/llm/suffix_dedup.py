@@ -7,10 +7,10 @@ triggers, wherever they stand. The corpus is thereby a dictionary of distinct ph
 order of the phrases in each document.
 
 The dictionary is dealt to bins by trigger. Phrases whose trigger occurs in one document only share nothing
-and are dropped, by a first exchange of 32-bit fingerprints. Of the others each bin sorts the suffixes of at
-least 50 bytes (the suffix array of its part of the dictionary), up to that depth. Neighbours that agree are
-the same string, and the smallest document among their phrases is its first one. The answer for each phrase
-goes back along the parse, and the documents drop the bytes that are covered.
+and are dropped, by a first exchange of 32-bit fingerprints. Of the others each bin hashes all strings of 50
+bytes and sorts those whose hash meets another, up to that depth. Neighbours that agree are the same string,
+and the smallest document among their phrases is its first one. The answer for each phrase goes back along
+the parse, and the documents drop the bytes that are covered. No suffix array of the parse is built.
 
 Texts travel in compressed chunks of a few MB. Within a chunk phrases are made distinct before anything is
 sent, so thousands of copies weigh little more than one. A trigger found in very many chunks would fill
