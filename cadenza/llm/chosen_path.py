@@ -14,6 +14,7 @@ pair is given up for a node's size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,10 @@ NODE_SETS = 1500
 BLOCK_SHINGLES = 2_000_000
 #: Pairs of a dense node that are confirmed at first, for each of its sets.
 FIRST_PAIRS = 4
-#: A pair is a candidate if its estimate is at most this far below the threshold: 3.8 standard deviations.
+#: A pair is a candidate if its estimate is at most this far below the threshold, or further, as ``MISS`` asks.
 MARGIN = 0.12
+#: Probability, at most, that the estimate of a pair at the threshold is too low for a candidate.
+MISS = 1e-6
 CHUNK_BYTES = 8_000_000
 #: Ids that are broadcast to find the texts of candidates; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -90,6 +93,16 @@ def signatures(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def least_agreeing(percent: int) -> int:
+    """Equal tokens that make a pair a candidate: a pair of similarity ``percent`` has fewer with ``MISS`` at most."""
+    p, below = percent / 100, 0.0
+    for k in range(TOKENS + 1):
+        below += math.comb(TOKENS, k) * p**k * (1 - p) ** (TOKENS - k)
+        if below > MISS:
+            break
+    return max(0, min(k, math.floor(TOKENS * (p - MARGIN))))
+
+
 def document_sets(docs: DataFrame, text: str, ids: str, width: int, with_shingles: bool = False) -> DataFrame:
     """Rows (id, n, key, tokens) or, with the shingles, (id, n, key, shingles).
 
@@ -320,11 +333,13 @@ def blocks(members: DataFrame) -> DataFrame:
     return joined.select(F.col("_pair").alias("node"), "tree", "key", "part", "block")
 
 
-def links_within(members: DataFrame, least: int, percent: int) -> DataFrame:
+def links_within(members: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between sets of one node but different parts, found on the full sets.
 
     ``members`` has (node, tree, key, part, block, n, tokens, shingles). In a node of two blocks only pairs across
-    are compared. A pair that meets in the first level of an earlier tree is left to that.
+    are compared, whatever their tokens. A pair that meets in the first level of an earlier tree is left to that.
+    Linked sets share one of their rarest shingles, of so many as one may have beside the other, so only those that
+    do are counted out.
     """
 
     def compare(table: pa.Table) -> pa.Table:
@@ -336,8 +351,14 @@ def links_within(members: DataFrame, least: int, percent: int) -> DataFrame:
         block = table["block"].to_numpy()
         two = block.min() != block.max()
         shingles = table["shingles"].combine_chunks()
-        codes = np.unique(shingles.flatten().to_numpy(), return_inverse=True)[1]
-        ends = np.cumsum(sizes)
+        codes, often = np.unique(shingles.flatten().to_numpy(), return_inverse=True, return_counts=True)[1:]
+        codes = np.argsort(np.argsort(often, kind="stable"))[codes]  # rare ones first
+        ends, owner = np.cumsum(sizes), np.repeat(np.arange(len(key)), sizes)
+        codes = codes[np.lexsort([codes, owner])]
+        rarest = sizes + (-percent * sizes) // 100 + 1
+        head = np.arange(len(codes)) - np.repeat(ends - sizes, sizes) < np.repeat(rarest, sizes)
+        by_code = np.argsort(codes[head], kind="stable")
+        holders, held = owner[head][by_code], codes[head][by_code]
         out_u, out_v = [], []
         there = np.zeros(int(codes.max(initial=0)) + 1, bool)
         for a in range(len(key) - 1):
@@ -346,7 +367,11 @@ def links_within(members: DataFrame, least: int, percent: int) -> DataFrame:
             b = b[block[b] != block[a]] if two else b
             small, big = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
             b = b[100 * small >= percent * big]
-            b = b[(tokens[b] == tokens[a]).sum(axis=1) >= least]
+            rare = codes[ends[a] - sizes[a] : ends[a] - sizes[a] + rarest[a]]
+            low, high = np.searchsorted(held, rare), np.searchsorted(held, rare, "right")
+            meets = np.zeros(len(key), bool)
+            meets[holders[np.repeat(high - np.cumsum(high - low), high - low) + np.arange((high - low).sum())]] = True
+            b = b[meets[b]]
             for t in range(tree):
                 at = _ORDERS[t % len(_ORDERS)][: DEPTHS[0]]
                 b = b[(tokens[b][:, at] != tokens[a, at]).any(axis=1)]
@@ -383,7 +408,7 @@ def near_duplicates(
     null and which is kept. Rows of one id are in the component by their texts; all rows with the component's
     id are kept.
     """
-    least = int(np.floor(TOKENS * (percent / 100 - MARGIN)))
+    least = least_agreeing(percent)
     own = common.written(document_sets(docs, text, ids, width), "sets")
     named = own.where("n > 0 AND id IS NOT NULL")
     sets = named.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
@@ -411,7 +436,7 @@ def near_duplicates(
         cut = common.written(blocks(rest.join(sets.select("key", "n"), "key")), "cut")
         keys = common.written(cut.select("key").distinct(), "keys")
         full = full_sets(keys, keys.count(), sets, docs, text, ids, width)
-        more = links_within(cut.join(signed, "key").join(full, "key"), least, percent)
+        more = links_within(cut.join(signed, "key").join(full, "key"), percent)
         links = common.written(links.union(more), "links", count)
         parts = common.written(components(links, count), "parts", count)
 

@@ -1,6 +1,8 @@
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 
 from cadenza.llm import chosen_path as cp
@@ -108,6 +110,25 @@ def test_dense_nodes_are_finished_in_rounds(spark, frame, monkeypatch):
     assert got(docs, width=3, percent=85) == plain(rows, 3, 85)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_estimate_loses_one_link_in_a_million(percent):
+    p, n = percent / 100, cp.TOKENS
+    below = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(cp.least_agreeing(percent)))
+    assert below <= 1e-6
+
+
+def test_full_sets_decide_within_a_node(spark):
+    """Sets that are alike are linked though none of their tokens agree; others are not."""
+    sets = [list(range(20)), list(range(1, 21)), list(range(30, 50))]
+    rows = []
+    for i, own in enumerate(sets):
+        tokens = np.full(cp.TOKENS, i, np.uint16).tobytes()
+        rows.append((1, 0, bytes([i]), bytes([i]), 0, len(own), tokens, own))
+    schema = "node long, tree int, key binary, part binary, block long, n long, tokens binary, shingles array<long>"
+    found = cp.links_within(spark.createDataFrame(rows, schema), percent=85).collect()
+    assert [(bytes(r.u), bytes(r.v)) for r in found] == [(b"\0", b"\1")]
+
+
 def test_empty(spark, frame):
     assert got(frame([])) == []
     assert got(frame([(4, None, None, None), (2, "", None, None), (1, "x", None, None)])) == [
