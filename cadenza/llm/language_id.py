@@ -178,7 +178,11 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tup
 
 
 def with_language(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The rows whose text is given a language, with the columns of ``docs``; those that get ``und`` go."""
+    """The rows whose text is given a language, with the columns of ``docs``; those that get ``und`` go.
+
+    Without a model only texts that are null or have no letter go.
+    """
+    model = model or Model(["unnamed"], np.zeros(1), np.zeros((1, 1), np.float32), (1,))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     found = identify(docs.select(row, F.col(text).alias("text")), model, keep=("_row",))
     return found.where("lang_pred != 'und'").select("_row.*")

@@ -88,6 +88,13 @@ def test_without_a_model(spark, frame):
     assert [tuple(r) for r in li.identify(frame([(1, "x", None, None)]), None).collect()] == [(1, "und", 0.0)]
 
 
+def test_texts_with_letters_stay_without_a_model(spark, frame):
+    docs = frame([(1, "a clean text", None, "a"), (2, "12 !", None, "a"), (3, None, None, "a"), (4, "", None, "a"), (None, "é", None, None)])
+    got = li.with_language(docs, li.train(docs))
+    assert got.columns == docs.columns
+    assert sorted(r.text for r in got.collect()) == ["a clean text", "é"]
+
+
 def test_query_on_held_out_documents(spark, sf_dir):
     lang = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = li.op7_language_id(spark, sf_dir).collect()
