@@ -458,10 +458,20 @@ def near_duplicates(
 
 
 def first_of_each(docs: DataFrame, ids: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that near_duplicates keeps, one for each id; all rows with a null id."""
-    found = near_duplicates(docs, text=text, ids=ids, **options).where(F.col("kept") & F.col(ids).isNotNull())
-    kept = docs.join(found.select(F.col(ids)).distinct(), ids, "left_semi").dropDuplicates([ids])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns]).union(docs.where(F.col(ids).isNull()))
+    """Of each component the row of ``docs`` with the smallest id; all rows with a null id.
+
+    Rows of one id with different texts are documents of their own, and among them the smallest hash of a text
+    comes first. Of rows with equal id and text one stays, chosen by a hash of all columns.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    digest = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+    own = docs.where(F.col(ids).isNotNull()).select(
+        F.struct(F.col(ids).alias("id"), digest.alias("digest")).alias("_doc"), F.col(text).alias("_text"), row.alias("_row")
+    )
+    found = near_duplicates(own, text="_text", ids="_doc", **options).where("kept").select("_doc").distinct()
+    kept = own.join(found, "_doc", "left_semi").withColumn("_order", F.xxhash64(F.to_json("_row")))
+    kept = kept.groupBy("_doc").agg(F.min_by("_row", "_order").alias("_row"))
+    return kept.select("_row.*").union(docs.where(F.col(ids).isNull()))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

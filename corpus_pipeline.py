@@ -9,7 +9,8 @@
 4. Mixing: sources are brought to their target weights; a document is what the mix takes of it.
 5. Packing: all documents as token pieces in sequences of at most 2048 tokens.
 
-A null text has no language, so none gets past the first stage. Of rows with one id the second stage keeps one;
+A null text has no language, so none gets past the first stage. Rows of one id with
+different texts are judged one by one in the second stage, of those with equal texts it keeps one;
 rows with a null id take no part in the second and third stage and pass unchanged.
 """
 

@@ -129,6 +129,22 @@ def test_full_sets_decide_within_a_node(spark):
     assert [(bytes(r.u), bytes(r.v)) for r in found] == [(b"\0", b"\1")]
 
 
+def test_rows_of_one_id_with_different_texts(spark, frame):
+    """Each text is judged on its own: a copy goes, what is no copy stays, in whatever order the rows come."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a, "en", "s"), (2, a, "en", "t"), (2, b, "en", "s"), (2, b, "en", "u"), (3, c, "en", "s"), (3, b + " x", "en", "s"), (3, a + " y", None, None)]
+    rows += [(4, "", "en", "s"), (4, "d", "en", "s"), (None, a, "en", "s"), (None, a, "en", "s")]
+    found = []
+    for own in (rows, rows[::-1]):
+        docs = frame(own)
+        got = cp.first_of_each(docs, width=5, percent=80)
+        assert got.columns == docs.columns
+        found.append(sorted((tuple(r) for r in got.collect()), key=str))
+    assert found[0] == found[1]
+    want = [(1, a), (2, b), (3, c), (4, ""), (4, "d"), (None, a), (None, a)]
+    assert sorted([r[:2] for r in found[0]], key=str) == sorted(want, key=str)
+
+
 def test_empty(spark, frame):
     assert got(frame([])) == []
     assert got(frame([(4, None, None, None), (2, "", None, None), (1, "x", None, None)])) == [
