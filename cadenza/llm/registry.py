@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cadenza.llm import divergence
 from cadenza.llm.ann import op1_forest_ann
 from cadenza.llm.chosen_path import op5_minhash_near_dedup
+from cadenza.llm.divergence import op12_source_divergence
 from cadenza.llm.language_id import op7_language_id
 from cadenza.llm.lm_scoring import op9_lm_scoring
 from cadenza.llm.mixing import op3_source_mixing
@@ -28,6 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_counts": op10_token_counts,
+    "op12_source_divergence": op12_source_divergence,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_source_divergence": divergence.ORACLE,
+}
