@@ -18,6 +18,7 @@ from cadenza.llm.simhash import op4_simhash_fingerprints
 from cadenza.llm.suffix_dedup import op2_suffix_dedup
 from cadenza.llm.token_counts import op10_token_counts
 from cadenza.llm.url_filter import op6_url_language_ratio
+from cadenza.llm.whitening import op11_embedding_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_forest_ann": op1_forest_ann,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_counts": op10_token_counts,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_source_divergence": op12_source_divergence,
 }
 
