@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import divergence
+from cadenza.llm import chat_format, divergence
 from cadenza.llm.ann import op1_forest_ann
+from cadenza.llm.chat_format import op13_chat_formatting
 from cadenza.llm.chosen_path import op5_minhash_near_dedup
 from cadenza.llm.divergence import op12_source_divergence
 from cadenza.llm.language_id import op7_language_id
@@ -33,8 +34,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_source_divergence": op12_source_divergence,
+    "op13_chat_formatting": op13_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {
     "op12_source_divergence": divergence.ORACLE,
+    "op13_chat_formatting": chat_format.ORACLE,
 }
