@@ -1,22 +1,25 @@
 """Keyed loads: what a batch does to a table, and a Parquet table that takes batches.
 
 The first half are DataFrame functions. :class:`MonthTable` applies them to Parquet
-partitioned by month: inserts are appended, and changes rewrite only the months they
-touch. Neither reads more than the key columns of the other months.
+in folders by month and bucket of the key, as loads that are seen whole or not at all.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.constants import WEATHER_FIELDS
 from cadenza.operators.shaping import conform
+from cadenza.operators.versions import Version, VersionLog
 from cadenza.session import new_path
 
 c = F.col
@@ -74,6 +77,10 @@ def backfill_weather(
     A batch with a repeated key is refused: each of its rows would make one of the stored row.
     """
     require_unique(batch, keys)
+    return _filled(existing, batch, keys, loaded_at)
+
+
+def _filled(existing: DataFrame, batch: DataFrame, keys: list[str], loaded_at: dt.datetime) -> DataFrame:
     incoming = batch.filter(any_weather()).select(
         *keys,
         *[c(f).alias(f"_new_{f}") for f in WEATHER_FIELDS],
@@ -103,99 +110,171 @@ def delete_by_key(existing: DataFrame, ids: DataFrame, keys: list[str]) -> DataF
 
 
 class MonthTable:
-    """A Parquet table under ``path``, partitioned by the month of a date column."""
+    """A Parquet table under ``path``, in folders by load, month of a date column and bucket of the key.
+
+    A load writes a folder of its own and then makes a version that names it (``operators.versions``); nothing
+    stored is changed, so a load that is cut short leaves the table as it was and can be run again. Inserts add a
+    folder to the months of the batch; changes store the months they touch anew. The newest ``keep`` versions
+    stay readable. One load at a time: of two, the later to finish is refused.
+
+    ``stays`` says that a key keeps its date, because the date is part of the key or never changes at the source.
+    Then a batch is held against the months it has rows in; else against all months. In either case only against the
+    buckets of its keys and their key columns, and row groups whose Bloom filter (on the last key, if a text) lacks
+    the keys of a small batch are skipped. The batch's keys are made distinct and joined to the table, so that Spark may broadcast
+    them if they are small; the table's rows are not sorted or grouped for a load.
+    """
 
-    PARTITION = "part_month"
+    LOAD, PARTITION, BUCKET = "load", "part_month", "part_bucket"
+    #: Keys of a batch up to which their values are looked for in the files' Bloom filters.
+    FEW_KEYS = 200
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], date: str
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: list[str],
+        date: str,
+        buckets: int = 2,
+        stays: bool = False,
+        keep: int = 10,
     ):
         self.spark, self.path, self.schema, self.keys, self.date = spark, path, schema, keys, date
-
-    def read(self) -> DataFrame:
-        return self._read().drop(self.PARTITION)
-
-    def _read(self, path: str | None = None) -> DataFrame:
-        stored = T.StructType([*self.schema.fields, T.StructField(self.PARTITION, T.StringType())])
-        return self.spark.read.schema(stored).parquet(path or self.path)
-
-    def _with_month(self, df: DataFrame) -> DataFrame:
+        self.buckets, self.stays, self.keep = buckets, stays, keep
+        self.log = VersionLog(spark, path)
+        self._open: Version | None = None
+
+    # -- reading --------------------------------------------------------------------
+
+    def version(self) -> Version:
+        """The newest version, or within a load what that has made so far."""
+        return self._open or self.log.current()
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The rows of the newest version, or of an older one that is still kept."""
+        return self._read(at=None if version is None else self.log.at(version)).select(*self.schema.names)
+
+    def _read(self, months: list[str] | None = None, at: Version | None = None) -> DataFrame:
+        """Stored rows of the months, all if not given, with the columns of their folders."""
+        held = (at or self.version()).months
+        folders = [
+            f"{self.log.data}/{self.LOAD}={load}/{self.PARTITION}={month}"
+            for month in (held if months is None else months)
+            for load in held.get(month, [])
+        ]
+        parts = [T.StructField(n, T.StringType()) for n in (self.LOAD, self.PARTITION)]
+        parts.append(T.StructField(self.BUCKET, T.IntegerType()))
+        stored = T.StructType([*self.schema.fields, *parts])
+        if not folders:
+            return self.spark.createDataFrame([], stored)
+        return self.spark.read.schema(stored).option("basePath", self.log.data).parquet(*folders)
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        """The rows in the table's columns, with month and bucket."""
         month = F.coalesce(F.date_format(self.date, "yyyy-MM"), F.lit("none"))
-        return conform(df, self.schema).withColumn(self.PARTITION, month)
-
-    def _write(self, df: DataFrame, path: str, mode: str) -> None:
-        # Few files per month, but a month too large for one task is split by size.
-        (
-            df.hint("rebalance", self.PARTITION)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
-            .partitionBy(self.PARTITION)
-            .parquet(path)
-        )
-
-    def create_if_missing(self) -> None:
-        try:
-            self._read()
-        except AnalysisException:
-            self._write(self._with_month(self.spark.createDataFrame([], self.schema)), self.path, "append")
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return conform(df, self.schema).withColumns({self.PARTITION: month, self.BUCKET: bucket})
+
+    def beside(self, batch: DataFrame) -> DataFrame:
+        """Stored rows that may have a key of the batch."""
+        placed = self._placed(batch)
+        # at most one row per calendar month and bucket, so safe to collect
+        cells = placed.select(self.PARTITION, self.BUCKET).distinct().collect()
+        months = sorted({r[0] for r in cells}) if self.stays else None
+        stored = self._read(months).filter(c(self.BUCKET).isin({r[1] for r in cells}))
+        last = self.keys[-1]
+        few = placed.select(last).distinct().limit(self.FEW_KEYS + 1).collect()
+        if len(few) <= self.FEW_KEYS and all(r[0] is not None for r in few):
+            stored = stored.filter(reduce(Column.__or__, [c(last) == r[0] for r in few], F.lit(False)))
+        return stored
+
+    def known_keys(self, batch: DataFrame, where: Column | None = None) -> DataFrame:
+        """Keys of the batch that the table has, with their months; of rows for which ``where`` holds."""
+        stored = self.beside(batch)
+        stored = stored if where is None else stored.filter(where)
+        return stored.select(*self.keys, self.PARTITION).join(batch.select(*self.keys).distinct(), self.keys, "left_semi")
 
     # -- loads ----------------------------------------------------------------------
 
+    @contextmanager
+    def load(self) -> Iterator[None]:
+        """Everything stored inside becomes one version, or nothing of it does."""
+        if self._open is not None:  # part of a larger load
+            yield
+            return
+        before = self._open = self.log.current()
+        try:
+            yield
+            if self._open != before:
+                self.log.commit(replace(self._open, number=before.number + 1))
+                self.log.expire(self.keep)
+        finally:
+            self._open = None
+
+    def last_batch(self, stream: str) -> tuple[int, int]:
+        """Number of the last batch of a stream that is in, -1 if none is, and its records put aside."""
+        batch, aside = self.version().batches.get(stream, (-1, 0))
+        return batch, aside
+
+    def note_batch(self, stream: str, batch: int, aside: int) -> None:
+        """Remember, in the version that the current load makes, that a batch is in."""
+        with self.load():
+            self._open = replace(self._open, batches=self._open.batches | {stream: [batch, aside]})
+
     def store(self, rows: DataFrame) -> None:
         """Store complete rows, audit columns included, in a new table."""
-        self._write(self._with_month(rows), self.path, "errorifexists")
+        with self.load():
+            if self._open.number:
+                raise ValueError(f"{self.path} is already a table")
+            self._add(rows)
 
     def replace(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Drop what is stored and store the batch."""
         require_unique(batch, self.keys)
-        rows = self._with_month(stamp(batch, loaded_at))
-        staged = self._stage(rows)
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(self.PARTITION)
-            .parquet(self.path)
-        )
+        with self.load():
+            self._open = replace(self._open, months={})
+            self._add(stamp(batch, loaded_at))
 
     def append(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Store the batch besides what is there; a repeated key is an error."""
-        known = self.read().select(*self.keys).join(batch.select(*self.keys), self.keys, "left_semi")
-        require_unique(batch.select(*self.keys).unionByName(known), self.keys)
-        self._write(self._with_month(stamp(batch, loaded_at)), self.path, "append")
+        with self.load():
+            known = self.known_keys(batch).select(*self.keys)
+            require_unique(batch.select(*self.keys).unionByName(known), self.keys)
+            self._add(stamp(batch, loaded_at))
 
     def insert_new(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Store rows of unseen keys. Nothing stored is rewritten."""
         require_unique(batch, self.keys)
-        added = self._stage(self._with_month(stamp(new_rows(self.read(), batch, self.keys), loaded_at)))
-        self._write(added, self.path, "append")
+        with self.load():
+            self._add(stamp(new_rows(self.known_keys(batch), batch, self.keys), loaded_at))
 
     def backfill_weather(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Fill weather where it is missing, in the months that have such rows."""
-        stored = self._read()
-        hit = stored.filter(c("weather_temp_c").isNull()).join(
-            batch.filter(any_weather()).select(*self.keys), self.keys, "left_semi"
-        )
-        months = self._months(hit)
-        rows = stored.filter(c(self.PARTITION).isin(months))
-        filled = backfill_weather(rows, batch, self.keys, loaded_at)
-        self._rewrite(months, filled)
+        require_unique(batch, self.keys)
+        with self.load():
+            months = self._months(self.known_keys(batch.filter(any_weather()), c("weather_temp_c").isNull()))
+            self._rewrite(months, lambda rows: _filled(rows, batch, self.keys, loaded_at))
 
     def replace_by_key(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Store the batch, over rows of the same key. A row may change its month."""
         require_unique(batch, self.keys)
-        stored = self._read()
-        incoming = self._with_month(stamp(batch, loaded_at))
-        hit = stored.join(batch.select(*self.keys), self.keys, "left_semi")
-        months = sorted({*self._months(hit), *self._months(incoming)})
-        rows = stored.filter(c(self.PARTITION).isin(months))
-        kept = rows.join(batch.select(*self.keys), self.keys, "left_anti")
-        self._rewrite(months, kept.unionByName(incoming))
+        with self.load():
+            incoming = conform(stamp(batch, loaded_at), self.schema)
+            months = self._months(self.known_keys(batch))
+            if not months:
+                return self._add(incoming)
+            self._rewrite(months, lambda rows: delete_by_key(rows, batch, self.keys).unionByName(incoming))
 
     def delete(self, ids: DataFrame) -> None:
-        stored = self._read()
-        months = self._months(stored.join(ids.select(*self.keys), self.keys, "left_semi"))
-        rows = stored.filter(c(self.PARTITION).isin(months))
-        self._rewrite(months, delete_by_key(rows, ids, self.keys))
+        with self.load():
+            known = self.known_keys(ids)
+            self._rewrite(self._months(known), lambda rows: delete_by_key(rows, ids, self.keys))
+
+    def compact(self, loads: int = 8) -> None:
+        """Store months that more than so many loads hold in one folder each."""
+        with self.load():
+            many = [m for m, held in self._open.months.items() if len(held) > loads]
+            self._rewrite(many, lambda rows: rows)
 
     # -- helpers --------------------------------------------------------------------
 
@@ -207,21 +286,38 @@ class MonthTable:
 
     def _months(self, rows: DataFrame) -> list[str]:
         """Months of rows: at most one value per calendar month, so safe to collect."""
-        return [r[0] for r in rows.select(self.PARTITION).distinct().collect()]
-
-    def _stage(self, rows: DataFrame) -> DataFrame:
-        """Write rows to a table of their own first: a table cannot be overwritten while
-        it is read, and a load cut short can be run again from it."""
-        path = new_path(self.spark, "staged")
-        self._write(rows, path, "append")
-        return self._read(path)
-
-    def _rewrite(self, months: list[str], rows: DataFrame) -> None:
+        return sorted(r[0] for r in rows.select(self.PARTITION).distinct().collect())
+
+    def _add(self, rows: DataFrame) -> None:
+        """Write rows to a folder of their own and add it to the months it has."""
+        load = f"{self._open.number + 1:010d}-{uuid.uuid4().hex[:12]}"
+        path = f"{self.log.data}/{self.LOAD}={load}"
+        writer = (
+            self._placed(rows)
+            # few files per month and bucket, but one too large for one task is split by size
+            .hint("rebalance", self.PARTITION, self.BUCKET)
+            .sortWithinPartitions(self.PARTITION, self.BUCKET, *self.keys)
+            .write.partitionBy(self.PARTITION, self.BUCKET)
+        )
+        last = self.keys[-1]
+        if isinstance(self.schema[last].dataType, T.StringType):  # almost all values differ: no dictionary
+            writer = writer.option(f"parquet.enable.dictionary#{last}", "false").option(
+                f"parquet.bloom.filter.enabled#{last}", "true"
+            )
+        writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
+        months = dict(self._open.months)
+        for month in self._written_months(path):
+            months[month] = [*months.get(month, []), load]
+        self._open = replace(self._open, months=months)
+
+    def _written_months(self, path: str) -> list[str]:
+        prefix = f"{self.PARTITION}="
+        return sorted(n.removeprefix(prefix) for n in self.log.folders(path) if n.startswith(prefix))
+
+    def _rewrite(self, months: list[str], changed: Callable[[DataFrame], DataFrame]) -> None:
+        """Store what ``changed`` makes of the rows of the months in their place."""
         if not months:
             return
-        staged = self._stage(rows)
-        self._write(staged, self.path, "overwrite")
-        for emptied in sorted({*months} - {*self._months(staged)}):
-            staged.limit(0).drop(self.PARTITION).write.mode("overwrite").parquet(
-                f"{self.path}/{self.PARTITION}={emptied}"
-            )
+        rows = changed(self._read(months).select(*self.schema.names))
+        self._open = replace(self._open, months={m: v for m, v in self._open.months.items() if m not in months})
+        self._add(rows)

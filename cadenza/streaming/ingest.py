@@ -37,10 +37,15 @@ RECORD_KEYS = {
     "calendar_events": ("athlete_id", "month"),
 }
 _DATES = {"activities": "activity_date", "daily_health": "date", "calendar_events": "event_date"}
+#: A health day's date is in its key, and an activity's id stands for one recorded start; race events are moved.
+_STAYS = {"activities", "daily_health"}
 
 
-def raw_table(spark: SparkSession, path: str, name: str) -> MonthTable:
-    return MonthTable(spark, path, schemas.TABLES[name], schemas.KEYS[name], _DATES[name])
+def raw_table(spark: SparkSession, path: str, name: str, buckets: int = 2) -> MonthTable:
+    """A raw table; give it as many buckets as make a month's bucket a few hundred megabytes."""
+    return MonthTable(
+        spark, path, schemas.TABLES[name], schemas.KEYS[name], _DATES[name], buckets, stays=name in _STAYS
+    )
 
 
 def load_activities(table: MonthTable, records: DataFrame, loaded_at: dt.datetime) -> None:
@@ -48,8 +53,9 @@ def load_activities(table: MonthTable, records: DataFrame, loaded_at: dt.datetim
     last = latest_per_key(records, ["athlete_id", "activityId"], "fetch")
     base = landed.normalise_activities(last, keep=("weather_json",))
     batch = table.stage(landed.normalise_weather(base, keep=tuple(base.columns[2:-1])))
-    table.insert_new(batch, loaded_at)
-    table.backfill_weather(batch, loaded_at)
+    with table.load():
+        table.insert_new(batch, loaded_at)
+        table.backfill_weather(batch, loaded_at)
 
 
 def load_health(table: MonthTable, records: DataFrame, loaded_at: dt.datetime) -> None:
@@ -76,6 +82,32 @@ LOADERS: dict[str, tuple[str, Callable[[MonthTable, DataFrame, dt.datetime], Non
 }
 
 
+def take_batch(
+    table: MonthTable, name: str, batch: DataFrame, stream: str, number: int, loaded_at: dt.datetime, aside: str
+) -> int:
+    """Load one micro-batch, once: what it stores and that it is in become one version of the table.
+
+    A batch that a stream hands over again, after a failure between the load and the stream's own note of it, is
+    not loaded again. Records put aside go to a folder of the batch, which a repeat writes anew. Returns their number.
+    """
+    last, put_aside = table.last_batch(stream)
+    if number <= last:
+        return put_aside if number == last else 0
+    staged = table.stage(batch)
+    known = reduce(Column.__and__, [F.col(k).isNotNull() for k in RECORD_KEYS[name]])
+    usable = F.col(BROKEN).isNull() & known
+    bad = staged.filter(~usable)
+    if n := bad.count():
+        line = F.coalesce(BROKEN, F.to_json(F.struct(*[c for c in staged.columns if c != BROKEN])))
+        late = F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz")
+        folder = f"{aside}/stream={stream}/batch={number}"
+        bad.select(line.alias("record"), late.alias("loaded_at")).write.mode("overwrite").parquet(folder)
+    with table.load():
+        LOADERS[name][1](table, staged.filter(usable).drop(BROKEN), loaded_at)
+        table.note_batch(stream, number, n)
+    return n
+
+
 def ingest_incremental(
     spark: SparkSession,
     name: str,
@@ -88,28 +120,18 @@ def ingest_incremental(
     """Load the files that landed since the last run; ``progress`` remembers them.
 
     Lines that are no JSON, and records without a key, are put aside under ``quarantine`` (beside the
-    table, if not given) with the time of the load. Returns how many were.
+    table, if not given) with the time of the load. Returns how many were. Each batch is loaded exactly once.
     """
-    record, load = LOADERS[name]
     table = raw_table(spark, table_path, name)
-    table.create_if_missing()
     aside = quarantine or f"{table_path.rstrip('/')}-quarantine"
     put_aside = []
 
-    def take(batch: DataFrame, _: int) -> None:
-        staged = table.stage(batch)
-        known = reduce(Column.__and__, [F.col(k).isNotNull() for k in RECORD_KEYS[name]])
-        usable = F.col(BROKEN).isNull() & known
-        bad = staged.filter(~usable)
-        if n := bad.count():
-            put_aside.append(n)
-            line = F.coalesce(BROKEN, F.to_json(F.struct(*[c for c in staged.columns if c != BROKEN])))
-            late = F.lit(loaded_at.isoformat(sep=" ")).cast("timestamp_ntz")
-            bad.select(line.alias("record"), late.alias("loaded_at")).write.mode("append").parquet(aside)
-        load(table, staged.filter(usable).drop(BROKEN), loaded_at)
+    def take(batch: DataFrame, number: int) -> None:
+        stream = spark.read.json(f"{progress}/metadata").first().id
+        put_aside.append(take_batch(table, name, batch, stream, number, loaded_at, aside))
 
     stream = (
-        spark.readStream.schema(f"{record}, {BROKEN} STRING")
+        spark.readStream.schema(f"{LOADERS[name][0]}, {BROKEN} STRING")
         .option("columnNameOfCorruptRecord", BROKEN)
         .json(landing)
         .writeStream.foreachBatch(take)
