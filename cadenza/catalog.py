@@ -294,22 +294,38 @@ def delete_by_key(t: Tables) -> DataFrame:
     return table.read()
 
 
+def _ingested(t: Tables, name: str, drops: list[DataFrame]) -> DataFrame:
+    """The table after drops of landed files, each with its number of the fetch and loaded by a run of its own."""
+    landing, path, progress = (new_path(t.spark, x) for x in ("landing", name, "progress"))
+    for fetch, drop in enumerate(drops, 1):
+        drop.withColumn("fetch", F.lit(fetch)).write.mode("append").json(landing)
+        ingest.ingest_incremental(t.spark, name, landing, path, progress, LOADED_AT)
+    return ingest.raw_table(t.spark, path, name).read()
+
+
 @query("ingest_incremental")
 def ingest_incremental(t: Tables) -> DataFrame:
-    """Two drops of landed files: first without weather, then a re-fetch with it."""
-    landing, table = new_path(t.spark, "landing"), new_path(t.spark, "activities")
-    progress = new_path(t.spark, "progress")
+    """First activities without weather, then a re-fetch with it."""
     records = B.activity_records(t)
     began = c("startTimeLocal")
     first = records.filter(began < B.STORED_UNTIL).drop("weather_json")
-    drops = [
-        first.withColumn("fetch", F.lit(1)),
-        records.filter(began >= B.REFETCH_FROM).withColumn("fetch", F.lit(2)),
-    ]
-    for drop in drops:
-        drop.write.mode("append").json(landing)
-        ingest.ingest_incremental(t.spark, "activities", landing, table, progress, LOADED_AT)
-    return ingest.raw_table(t.spark, table, "activities").read().select(*_LOADED)
+    return _ingested(t, "activities", [first, records.filter(began >= B.REFETCH_FROM)]).select(*_LOADED)
+
+
+@query("ingest_health")
+def ingest_health(t: Tables) -> DataFrame:
+    """Health days, then a re-fetch with other steps, which only new days take."""
+    records = B.health_records(t)
+    steps = c("stats").withField("totalSteps", c("stats.totalSteps") + 1000)
+    again = records.filter(c("date") >= B.REFETCH_FROM).withColumn("stats", steps)
+    return _ingested(t, "daily_health", [records.filter(c("date") < B.STORED_UNTIL), again])
+
+
+@query("ingest_calendar")
+def ingest_calendar(t: Tables) -> DataFrame:
+    """Race events, then a re-fetch that retitles and moves some."""
+    first = B.calendar_records(t, t.keyed_calendar.filter(c("event_date") < B.EVENTS_UNTIL))
+    return _ingested(t, "calendar_events", [first, B.calendar_records(t, B.moved_events(t))])
 
 
 @query("sink_marts", "total_distance_km")

@@ -6,7 +6,7 @@ re-fetch window, and change what they re-fetch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza import schemas
@@ -92,12 +92,8 @@ def weather_payload(t: StarTables) -> DataFrame:
     )
 
 
-def health_payloads(t: StarTables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Daily stats, HRV and sleep; a tenth of the days lacks one or the other."""
-    d = t.keyed_health
-    stats = d.select(
-        "athlete_id",
-        "date",
+def _stats() -> list[Column]:
+    return [
         F.col("steps").alias("totalSteps"),
         F.col("distance_m").alias("totalDistanceMeters"),
         F.col("active_calories").cast("double").alias("activeKilocalories"),
@@ -112,32 +108,57 @@ def health_payloads(t: StarTables) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.col("body_battery_low").alias("bodyBatteryLowestValue"),
         F.col("avg_waking_respiration_rate").alias("avgWakingRespirationValue"),
         F.col("avg_sleep_respiration_rate").alias("avgSleepRespirationValue"),
+    ]
+
+
+def _hrv() -> list[Column]:
+    return [F.col("hrv_avg").alias("lastNightAvg"), F.col("hrv_status").alias("status")]
+
+
+def _sleep() -> Column:
+    return F.struct(
+        F.col("sleep_seconds").alias("sleepTimeSeconds"),
+        F.col("deep_sleep_seconds").alias("deepSleepSeconds"),
+        F.col("light_sleep_seconds").alias("lightSleepSeconds"),
+        F.col("rem_sleep_seconds").alias("remSleepSeconds"),
+        F.col("awake_seconds").alias("awakeSleepSeconds"),
+    ).alias("dailySleepDTO")
+
+
+def health_payloads(t: StarTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Daily stats, HRV and sleep; a tenth of the days lacks one or the other."""
+    d = t.keyed_health
+    day = ["athlete_id", "date"]
+    return (
+        _through_json(d.select(*day, *_stats()), schemas.STATS_PAYLOAD),
+        _through_json(d.filter("h % 7 <> 0").select(*day, *_hrv()), schemas.HRV_PAYLOAD),
+        _through_json(d.filter("h % 13 <> 0").select(*day, _sleep()), schemas.SLEEP_PAYLOAD),
     )
-    hrv = d.filter("h % 7 <> 0").select(
-        "athlete_id", "date", F.col("hrv_avg").alias("lastNightAvg"), F.col("hrv_status").alias("status")
-    )
-    sleep = d.filter("h % 13 <> 0").select(
+
+
+def health_records(t: StarTables) -> DataFrame:
+    """The same days as landed records, one a day."""
+    return t.keyed_health.select(
         "athlete_id",
         "date",
-        F.struct(
-            F.col("sleep_seconds").alias("sleepTimeSeconds"),
-            F.col("deep_sleep_seconds").alias("deepSleepSeconds"),
-            F.col("light_sleep_seconds").alias("lightSleepSeconds"),
-            F.col("rem_sleep_seconds").alias("remSleepSeconds"),
-            F.col("awake_seconds").alias("awakeSleepSeconds"),
-        ).alias("dailySleepDTO"),
-    )
-    return (
-        _through_json(stats, schemas.STATS_PAYLOAD),
-        _through_json(hrv, schemas.HRV_PAYLOAD),
-        _through_json(sleep, schemas.SLEEP_PAYLOAD),
+        F.struct(*_stats()).alias("stats"),
+        F.expr("h % 7 <> 0").alias("has_hrv"),
+        F.struct(*_hrv()).alias("hrv"),
+        F.expr("h % 13 <> 0").alias("has_sleep"),
+        F.struct(_sleep()).alias("sleep"),
+    ).select(
+        "athlete_id",
+        "date",
+        "stats",
+        F.when(F.col("has_hrv"), F.col("hrv")).alias("hrv"),
+        F.when(F.col("has_sleep"), F.col("sleep")).alias("sleep"),
     )
 
 
-def calendar_payload(t: StarTables) -> DataFrame:
+def calendar_payload(t: StarTables, events: DataFrame | None = None) -> DataFrame:
     """One payload per event: the event, a workout beside it, and for every sixth event
     a later listing by the next month."""
-    e = t.keyed_calendar
+    e = t.keyed_calendar if events is None else events
     listings = e.withColumn(
         "listing", F.explode(F.expr("CASE WHEN k % 6 = 0 THEN array(0, 1) ELSE array(0) END"))
     )
@@ -175,6 +196,12 @@ def calendar_payload(t: StarTables) -> DataFrame:
     return _through_json(payload, schemas.CALENDAR_PAYLOAD)
 
 
+def calendar_records(t: StarTables, events: DataFrame) -> DataFrame:
+    """Landed records, one per athlete and month with all its listings."""
+    items = F.flatten(F.collect_list("calendarItems")).alias("calendarItems")
+    return calendar_payload(t, events).groupBy("athlete_id", "month").agg(items)
+
+
 def forecast_payload(t: StarTables) -> DataFrame:
     """Seven forecast days for the city of every customer."""
     customers = t._read("customer").select(F.col("c_custkey").alias("c"))
@@ -252,15 +279,18 @@ def stored_events(t: StarTables) -> DataFrame:
     return t.calendar_events.filter(F.col("event_date") < EVENTS_UNTIL)
 
 
-def event_batch(t: StarTables) -> DataFrame:
-    """Events fetched again: retitled, every fifth moved by 40 days."""
+def moved_events(t: StarTables) -> DataFrame:
+    """Events fetched again, with their order key: retitled, every fifth moved by 40 days."""
     e = t.keyed_calendar.filter(F.col("event_date") >= EVENTS_FROM)
-    moved = e.withColumns(
+    return e.withColumns(
         {
             "title": F.concat(F.lit("Updated "), F.col("event_uuid")),
             "event_date": F.expr("CASE WHEN k % 5 = 0 THEN event_date + 40 ELSE event_date END"),
         }
     )
-    return moved.select(
+
+
+def event_batch(t: StarTables) -> DataFrame:
+    return moved_events(t).select(
         *[c for c in t.calendar_events.columns if c not in ("inserted_at", "updated_at")]
     )

@@ -196,6 +196,15 @@ SQL["load_replace_by_key"] = f"""
 SELECT {names('calendar_events')} FROM x_calendar WHERE event_date < DATE '{B.EVENTS_FROM}'
 UNION ALL SELECT {names('calendar_events')} FROM ({_moved})
 """
+_stamped = f"{LOADED} AS inserted_at, {LOADED} AS updated_at"
+SQL["ingest_health"] = f"""
+SELECT * REPLACE (CASE WHEN date >= DATE '{B.STORED_UNTIL}' THEN steps + 1000 ELSE steps END AS steps), {_stamped}
+FROM ({SQL['norm_daily_health']})
+"""
+SQL["ingest_calendar"] = f"""
+SELECT * REPLACE ({_stamped})
+FROM ({SQL['load_replace_by_key']})
+"""
 SQL["delete_by_key"] = f"SELECT {names('analysis_log')} FROM x_log WHERE model_used <> 'model-1'"
 
 SQL["sink_marts"] = (

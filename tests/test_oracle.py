@@ -17,7 +17,7 @@ from oracles import ORACLES
 SOME = """
     src_goals_csv norm_activities norm_calendar norm_weather norm_daily_health norm_forecast
     clean_activities flatten_nested conform_schema load_append backfill_weather
-    load_replace_by_key delete_by_key ingest_incremental sink_views sink_csv table_newest
+    load_replace_by_key delete_by_key ingest_incremental ingest_health ingest_calendar sink_views sink_csv table_newest
     stg_activities stg_health stg_calendar int_unified join_week_spine join_range_30d
     join_upcoming_goals join_recent_weather join_day_workouts join_pre_race_health
     agg_training_context agg_activity_overview agg_weekday_profile agg_readiness_distribution
