@@ -32,7 +32,8 @@ class WordIds(dict):
 
     The tokenizer drops blanks before it splits, so a text's ids are those of its words in order. A word
     of Latin-1 characters has the ids of its lower case, which the tokenizer applies itself. A full stop or
-    comma after a letter or digit is a token of its own. A word of letters only is one piece, for which the
+    comma after a Latin-1 letter or digit is a token of its own (other letters may be taken apart by the tokenizer into
+    a letter and a mark, which is one token with the stop). A word of letters only is one piece, for which the
     tokenizer's model is asked at once, with its letters spelt as bytes.
     """
 
@@ -46,7 +47,7 @@ class WordIds(dict):
         self.letters = {i: spelt(chr(i))[0][0] for i in range(256) if chr(i).isalpha()}
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1] in ".," and word[-2:-1].isalnum():
+        if word[-1] in ".," and word[-2:-1].isalnum() and _latin(word[-2]):
             found = self[word[:-1]] + self[word[-1]]
         elif word.isalpha() and (word.isascii() or _latin(word)) and word.islower():
             spelt = word if word.isascii() else word.translate(self.letters)

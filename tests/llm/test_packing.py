@@ -143,3 +143,15 @@ def test_query(spark, sf_dir):
     check_sequences(rows, 2048)
     total, used = sum(r.length for r in rows), len({r.sequence_id for r in rows})
     assert used <= 1.02 * total / 2048 + 1
+
+
+def test_ids_of_every_character_before_a_stop():
+    from tokenizers import Tokenizer
+
+    words, made = packing.WordIds(PATH), Tokenizer.from_file(PATH)
+    points = [i for i in range(0x21, 0x20000) if not 0xD800 <= i < 0xE000]
+    for stop in (".", ","):
+        texts = [f"a{chr(i)}{stop}" for i in points]
+        for text, want in zip(texts, made.encode_batch(texts, add_special_tokens=False), strict=True):
+            got = np.frombuffer(packing.document_ids(text, words, 0), "<u4")
+            assert got.tolist() == [*want.ids, 0], text
