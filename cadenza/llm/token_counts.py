@@ -26,11 +26,17 @@ BATCH_BYTES = 8_000_000
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
-    """All pieces of a vocabulary file with their scores, by id."""
+    """The pieces of a vocabulary file that text can have, with their scores, by id.
+
+    Control pieces, the unknown piece and the pieces that stand for single bytes are none: ``<s>`` or ``<0x41>`` in
+    a text are characters like others.
+    """
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+    other = (model.is_control, model.is_unknown, model.is_byte, model.is_unused)
+    found = range(model.get_piece_size())
+    return [(model.id_to_piece(i), model.get_score(i)) for i in found if not any(test(i) for test in other)]
 
 
 class Counter(dict):

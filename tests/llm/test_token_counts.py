@@ -2,6 +2,7 @@ import random
 
 import public_tokenizers
 import pytest
+from sentencepiece import SentencePieceProcessor
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from cadenza.llm import token_counts
@@ -23,7 +24,19 @@ def tokenizer_of(pieces):
 
 @pytest.fixture(scope="module")
 def pieces():
-    return token_counts.vocabulary(PATH)
+    """All pieces by id: the other implementation needs those of bytes for characters without a piece."""
+    model = SentencePieceProcessor(model_file=PATH)
+    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+
+
+@pytest.mark.parametrize("text", ["x<s>y", "a<s>b", "</s>", "x<0x41>y", "<unk>", "<unk> <s>x</s> <0x0A>"])
+def test_marks_in_a_text_are_characters(text):
+    own = token_counts.vocabulary(PATH)
+    assert not {"<s>", "</s>", "<unk>", "<0x41>"} & {p for p, _ in own}
+    plain = tokenizer_of([("<unk>", min(s for _, s in own) - 10), *own])
+    counter = token_counts.Counter(own)
+    words = text.split()
+    assert sum(counter[w][0] for w in words) == len(plain.encode(text).ids)
 
 
 def test_query_is_the_tokenizers_count(spark, sf_dir, pieces):
