@@ -96,14 +96,14 @@ def train(
         rows: dict[str, int] = {}
         for batch in common.slices(batches, "text", BATCH_BYTES):
             for t, name in zip(common.column_of(batch, "text"), common.column_of(batch, "lang"), strict=True):
-                for hashed in ngrams(t, orders, buckets):
+                for part, hashed in enumerate(ngrams(t, orders, buckets)):
                     if name not in sums:
                         sums[name] = np.zeros(buckets, np.int64)
                         rows[name] = 0
+                    rows[name] += part == 0  # a document counts once, however many parts it has
                     np.add.at(sums[name], hashed, 1) if len(hashed) < 2000 else sums[name].__iadd__(
                         np.bincount(hashed, minlength=buckets)
                     )
-                    rows[name] += 1
         for name, found in sums.items():
             at = np.flatnonzero(found)
             yield pa.RecordBatch.from_pydict(
@@ -177,15 +177,18 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tup
     return chosen.mapInArrow(score, schema)
 
 
-def with_language(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def with_language(docs: DataFrame, model: Model | None, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose text is given a language, with the columns of ``docs``; those that get ``und`` go.
 
-    Without a model only texts that are null or have no letter go.
+    A null ``lang`` becomes the predicted language; a language that is there stays. Without a model only texts that are
+    null or have no letter go, and no language is filled in.
     """
+    filled = F.coalesce(F.col(f"_row.`{lang}`"), F.col("lang_pred")) if model else F.col(f"_row.`{lang}`")
     model = model or Model(["unnamed"], np.zeros(1), np.zeros((1, 1), np.float32), (1,))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     found = identify(docs.select(row, F.col(text).alias("text")), model, keep=("_row",))
-    return found.where("lang_pred != 'und'").select("_row.*")
+    kept = found.where("lang_pred != 'und'")
+    return kept.select(*[filled.alias(c) if c == lang else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,12 @@ def test_against_brute_force(spark, frame):
         assert r.score == pytest.approx(1 / sum(math.exp(v - want[best]) for v in want.values()), abs=1e-3)
 
 
+def test_priors_count_documents_whatever_their_length(spark, frame, monkeypatch):
+    monkeypatch.setattr(li, "SEGMENT", 10)
+    model = li.train(frame([(1, "long text " * 50, "en", "a"), (2, "kurz", "de", "a"), (3, "auch", "de", "a")]))
+    assert np.exp(model.log_prior) == pytest.approx([2 / 3, 1 / 3])
+
+
 def test_without_a_model(spark, frame):
     assert li.train(frame([])) is None
     assert li.train(frame([(1, "x", None, None)])) is None
@@ -95,6 +101,14 @@ def test_texts_with_letters_stay_without_a_model(spark, frame):
     assert sorted(r.text for r in got.collect()) == ["a clean text", "é"]
 
 
+def test_a_missing_language_is_filled(spark, frame):
+    rows = [(i, "the cat and the dog", "en", "a") for i in range(3)] + [(i, "le chat et le chien", "fr", "a") for i in range(3, 6)]
+    docs = frame([*rows, (7, "the dog", None, "a"), (8, "le chien", None, "b"), (9, "the dog", "fr", "b"), (10, "12", None, "b")])
+    got = li.with_language(docs, li.train(docs))
+    assert got.schema == docs.schema
+    assert {r.doc_id: r.lang for r in got.where("doc_id > 6").collect()} == {7: "en", 8: "fr", 9: "fr"}
+
+
 def test_query_on_held_out_documents(spark, sf_dir):
     lang = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = li.op7_language_id(spark, sf_dir).collect()
