@@ -1,7 +1,7 @@
 """A corpus pipeline over documents: each stage is written as Parquet and read again by the next.
 
-1. Language: documents without a letter have no language and go. The model learns from the stage's rows; what
-   language it predicts changes neither what stays nor a column.
+1. Language: documents without a letter have no language and go. The model learns from the stage's rows; a
+   document whose language is not given takes the predicted one.
 2. Near duplicates: of each component of documents whose 5-word shingle sets have a similarity of 0.8 or
    more one document stays, that with the smallest id.
 3. Repeated passages: bytes covered by a 50-byte string of a document with a smaller id go. Of a character
