@@ -74,7 +74,7 @@ class Tables(StarTables):
 
     @cached_property
     def training(self) -> DataFrame:
-        return training.mart_training(self.stg)
+        return training.mart_training(self.silver_activities)
 
     @cached_property
     def rolled_days(self) -> DataFrame:
@@ -98,28 +98,37 @@ class Tables(StarTables):
 
     @cached_property
     def race(self) -> DataFrame:
-        return race.mart_race(self.stg, self.race_goals)
+        return race.mart_race(self.silver_activities, self.race_goals)
 
     # The pages, alerts and data tests read stored marts, as they are built once a day.
 
-    def _stored(self, name: str, computed: Callable[[], DataFrame]) -> DataFrame:
-        return build.read_mart(self.spark, self._once(name, computed))
+    def _mart(self, name: str, computed: Callable[[], DataFrame]) -> DataFrame:
+        return build.read_mart(self.spark, self._once(name, computed, build.write_mart))
+
+    def _silver(self, name: str, computed: Callable[[], DataFrame]) -> DataFrame:
+        path = self._once(name, computed)
+        return self.spark.read.schema(computed().schema).parquet(path)
 
     @cached_property
     def gold_training(self) -> DataFrame:
-        return self._stored("mart-training", lambda: self.training)
+        return self._mart("mart-training", lambda: self.training)
 
     @cached_property
     def gold_health(self) -> DataFrame:
-        return self._stored("mart-health", lambda: self.health)
+        return self._mart("mart-health", lambda: self.health)
 
     @cached_property
     def gold_race(self) -> DataFrame:
-        return self._stored("mart-race", lambda: self.race)
+        return self._mart("mart-race", lambda: self.race)
 
     @cached_property
     def stored_unified(self) -> DataFrame:
-        return self._stored("int-unified", lambda: self.unified)
+        return self._silver("int-unified", lambda: self.unified)
+
+    @cached_property
+    def silver_activities(self) -> DataFrame:
+        """Staged activities, stored: marts and data tests read them several times."""
+        return self._silver("stg-activities", lambda: self.stg)
 
     @cached_property
     def weather(self) -> DataFrame:
@@ -148,7 +157,7 @@ class Tables(StarTables):
             "calendar_events": self.calendar_events,
             "daily_health": self.daily_health,
             "race_goals": self.race_goals,
-            "stg_activities": self.stg,
+            "stg_activities": self.silver_activities,
             "stg_health": self.stg_days,
             "stg_calendar": self.events,
             "int_unified": self.stored_unified,
@@ -328,11 +337,33 @@ def ingest_calendar(t: Tables) -> DataFrame:
     return _ingested(t, "calendar_events", [first, B.calendar_records(t, B.moved_events(t))])
 
 
+def _sunk(t: Tables, mart: DataFrame) -> DataFrame:
+    """A mart after it was stored and read again."""
+    path = new_path(t.spark, "mart")
+    build.write_mart(mart, path)
+    return build.read_mart(t.spark, path)
+
+
 @query("sink_marts", "total_distance_km")
 def sink_marts(t: Tables) -> DataFrame:
-    path = new_path(t.spark, "mart-training")
-    build.write_mart(t.training, path)
-    return build.read_mart(t.spark, path).select(*WEEK, "total_activities", "total_distance_km")
+    return _sunk(t, t.training).select(*WEEK, "total_activities", "total_distance_km")
+
+
+query("sink_mart_health")(lambda t: _sunk(t, t.health).select(AID, "date", "recovery_score", "training_readiness"))
+query("sink_mart_race")(lambda t: _sunk(t, t.race).select(*RACE, "race_number", "is_personal_record", "training_runs_30d"))
+
+
+@query("sink_mart_changes")
+def sink_mart_changes(t: Tables) -> DataFrame:
+    """Races after a load, rebuilt only for the athletes that the load changed."""
+    table, out = _activity_table(t), new_path(t.spark, "marts")
+    stored = {**{n: getattr(t, n) for n in schemas.TABLES}, "activities": table.read()}
+    build.build(stored, out)
+    before = table.version().number
+    table.append(B.later_activities(t), LOADED_AT)
+    build.update({**stored, "activities": table.read()}, out, activities=table.changed(before, [AID]))
+    races = build.read_mart(t.spark, f"{out}/mart_race")
+    return races.select(*RACE, "race_number", "is_personal_record", "training_runs_30d")
 
 
 @query("sink_views")

@@ -7,9 +7,7 @@ in folders by month and bucket of the key, as loads that are seen whole or not a
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
@@ -19,7 +17,7 @@ from pyspark.sql import types as T
 
 from cadenza.constants import WEATHER_FIELDS
 from cadenza.operators.shaping import conform
-from cadenza.operators.versions import Version, VersionLog
+from cadenza.operators.versions import Version, VersionedTable
 from cadenza.session import new_path
 
 c = F.col
@@ -109,13 +107,12 @@ def delete_by_key(existing: DataFrame, ids: DataFrame, keys: list[str]) -> DataF
     return existing.join(ids.select(*keys), keys, "left_anti")
 
 
-class MonthTable:
+class MonthTable(VersionedTable):
     """A Parquet table under ``path``, in folders by load, month of a date column and bucket of the key.
 
     A load writes a folder of its own and then makes a version that names it (``operators.versions``); nothing
     stored is changed, so a load that is cut short leaves the table as it was and can be run again. Inserts add a
-    folder to the months of the batch; changes store the months they touch anew. The newest ``keep`` versions
-    stay readable. One load at a time: of two, the later to finish is refused.
+    folder to the months of the batch; changes store the months they touch anew.
 
     ``stays`` says that a key keeps its date, because the date is part of the key or never changes at the source.
     Then a batch is held against the months it has rows in; else against all months. In either case only against the
@@ -124,7 +121,7 @@ class MonthTable:
     them if they are small; the table's rows are not sorted or grouped for a load.
     """
 
-    LOAD, PARTITION, BUCKET = "load", "part_month", "part_bucket"
+    PARTITION, BUCKET = "part_month", "part_bucket"
     #: Keys of a batch up to which their values are looked for in the files' Bloom filters.
     FEW_KEYS = 200
 
@@ -139,35 +136,20 @@ class MonthTable:
         stays: bool = False,
         keep: int = 10,
     ):
-        self.spark, self.path, self.schema, self.keys, self.date = spark, path, schema, keys, date
-        self.buckets, self.stays, self.keep = buckets, stays, keep
-        self.log = VersionLog(spark, path)
-        self._open: Version | None = None
+        super().__init__(spark, path, {self.PARTITION: T.StringType(), self.BUCKET: T.IntegerType()}, keep)
+        self.schema, self.keys, self.date, self.buckets, self.stays = schema, keys, date, buckets, stays
 
     # -- reading --------------------------------------------------------------------
 
-    def version(self) -> Version:
-        """The newest version, or within a load what that has made so far."""
-        return self._open or self.log.current()
-
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of the newest version, or of an older one that is still kept."""
         return self._read(at=None if version is None else self.log.at(version)).select(*self.schema.names)
 
     def _read(self, months: list[str] | None = None, at: Version | None = None) -> DataFrame:
         """Stored rows of the months, all if not given, with the columns of their folders."""
-        held = (at or self.version()).months
-        folders = [
-            f"{self.log.data}/{self.LOAD}={load}/{self.PARTITION}={month}"
-            for month in (held if months is None else months)
-            for load in held.get(month, [])
-        ]
-        parts = [T.StructField(n, T.StringType()) for n in (self.LOAD, self.PARTITION)]
-        parts.append(T.StructField(self.BUCKET, T.IntegerType()))
-        stored = T.StructType([*self.schema.fields, *parts])
-        if not folders:
-            return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).option("basePath", self.log.data).parquet(*folders)
+        held = (at or self.version()).parts
+        chosen = held if months is None else {m: held[m] for m in months if m in held}
+        return self._rows(self.schema, chosen)
 
     def _placed(self, df: DataFrame) -> DataFrame:
         """The rows in the table's columns, with month and bucket."""
@@ -196,21 +178,6 @@ class MonthTable:
 
     # -- loads ----------------------------------------------------------------------
 
-    @contextmanager
-    def load(self) -> Iterator[None]:
-        """Everything stored inside becomes one version, or nothing of it does."""
-        if self._open is not None:  # part of a larger load
-            yield
-            return
-        before = self._open = self.log.current()
-        try:
-            yield
-            if self._open != before:
-                self.log.commit(replace(self._open, number=before.number + 1))
-                self.log.expire(self.keep)
-        finally:
-            self._open = None
-
     def last_batch(self, stream: str) -> tuple[int, int]:
         """Number of the last batch of a stream that is in, -1 if none is, and its records put aside."""
         batch, aside = self.version().batches.get(stream, (-1, 0))
@@ -226,27 +193,27 @@ class MonthTable:
         with self.load():
             if self._open.number:
                 raise ValueError(f"{self.path} is already a table")
-            self._add(rows)
+            self._store(rows)
 
     def replace(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Drop what is stored and store the batch."""
         require_unique(batch, self.keys)
         with self.load():
-            self._open = replace(self._open, months={})
-            self._add(stamp(batch, loaded_at))
+            self._drop(list(self._open.parts))
+            self._store(stamp(batch, loaded_at))
 
     def append(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Store the batch besides what is there; a repeated key is an error."""
         with self.load():
             known = self.known_keys(batch).select(*self.keys)
             require_unique(batch.select(*self.keys).unionByName(known), self.keys)
-            self._add(stamp(batch, loaded_at))
+            self._store(stamp(batch, loaded_at))
 
     def insert_new(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Store rows of unseen keys. Nothing stored is rewritten."""
         require_unique(batch, self.keys)
         with self.load():
-            self._add(stamp(new_rows(self.known_keys(batch), batch, self.keys), loaded_at))
+            self._store(stamp(new_rows(self.known_keys(batch), batch, self.keys), loaded_at))
 
     def backfill_weather(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Fill weather where it is missing, in the months that have such rows."""
@@ -262,7 +229,7 @@ class MonthTable:
             incoming = conform(stamp(batch, loaded_at), self.schema)
             months = self._months(self.known_keys(batch))
             if not months:
-                return self._add(incoming)
+                return self._store(incoming)
             self._rewrite(months, lambda rows: delete_by_key(rows, batch, self.keys).unionByName(incoming))
 
     def delete(self, ids: DataFrame) -> None:
@@ -273,9 +240,27 @@ class MonthTable:
     def compact(self, loads: int = 8) -> None:
         """Store months that more than so many loads hold in one folder each."""
         with self.load():
-            many = [m for m, held in self._open.months.items() if len(held) > loads]
+            many = [m for m, held in self._open.parts.items() if len(held) > loads]
             self._rewrite(many, lambda rows: rows)
 
+    def changed(self, since: int, keys: list[str]) -> DataFrame:
+        """Distinct ``keys`` of which a row was added, removed or changed after version ``since``, which must be kept.
+
+        Only folders that one of the two versions has are read. Rows that were merely stored anew cancel out: per key their
+        hashes are summed, those that went as negative, so what is shuffled is one row a key and task.
+        """
+        old, new = self.log.at(since).parts if since else {}, self.version().parts
+
+        def only(a: dict[str, list[str]], b: dict[str, list[str]], sign: int) -> DataFrame:
+            rows = self._rows(self.schema, {p: [x for x in held if x not in b.get(p, [])] for p, held in a.items()})
+            columns = [x for x in self.schema.names if x not in ("inserted_at", "updated_at")]
+            hashed = F.xxhash64(*columns).cast("decimal(38, 0)")
+            return rows.select(*keys, F.lit(sign).alias("_n"), (hashed * sign).alias("_hash"))
+
+        moved = only(new, old, 1).unionByName(only(old, new, -1)).groupBy(*keys)
+        sums = moved.agg(F.sum("_n").alias("_n"), F.sum("_hash").alias("_hash"))
+        return sums.filter((c("_n") != 0) | (c("_hash") != 0)).select(*keys)
+
     # -- helpers --------------------------------------------------------------------
 
     def stage(self, batch: DataFrame) -> DataFrame:
@@ -288,36 +273,16 @@ class MonthTable:
         """Months of rows: at most one value per calendar month, so safe to collect."""
         return sorted(r[0] for r in rows.select(self.PARTITION).distinct().collect())
 
-    def _add(self, rows: DataFrame) -> None:
-        """Write rows to a folder of their own and add it to the months it has."""
-        load = f"{self._open.number + 1:010d}-{uuid.uuid4().hex[:12]}"
-        path = f"{self.log.data}/{self.LOAD}={load}"
-        writer = (
-            self._placed(rows)
-            # few files per month and bucket, but one too large for one task is split by size
-            .hint("rebalance", self.PARTITION, self.BUCKET)
-            .sortWithinPartitions(self.PARTITION, self.BUCKET, *self.keys)
-            .write.partitionBy(self.PARTITION, self.BUCKET)
-        )
-        last = self.keys[-1]
+    def _store(self, rows: DataFrame) -> None:
+        last, options = self.keys[-1], {"parquet.bloom.filter.adaptive.enabled": "true"}
         if isinstance(self.schema[last].dataType, T.StringType):  # almost all values differ: no dictionary
-            writer = writer.option(f"parquet.enable.dictionary#{last}", "false").option(
-                f"parquet.bloom.filter.enabled#{last}", "true"
-            )
-        writer.option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path)
-        months = dict(self._open.months)
-        for month in self._written_months(path):
-            months[month] = [*months.get(month, []), load]
-        self._open = replace(self._open, months=months)
-
-    def _written_months(self, path: str) -> list[str]:
-        prefix = f"{self.PARTITION}="
-        return sorted(n.removeprefix(prefix) for n in self.log.folders(path) if n.startswith(prefix))
+            options |= {f"parquet.enable.dictionary#{last}": "false", f"parquet.bloom.filter.enabled#{last}": "true"}
+        self._add(self._placed(rows), self.keys, options)
 
     def _rewrite(self, months: list[str], changed: Callable[[DataFrame], DataFrame]) -> None:
         """Store what ``changed`` makes of the rows of the months in their place."""
         if not months:
             return
         rows = changed(self._read(months).select(*self.schema.names))
-        self._open = replace(self._open, months={m: v for m, v in self._open.months.items() if m not in months})
-        self._add(rows)
+        self._drop(months)
+        self._store(rows)

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.operators.layout import store_bucketed
+from cadenza.operators.versions import VersionedTable
 from cadenza.plans import health, race, staging, training, unified
+from cadenza.session import new_path
 
 
 def register_views(
@@ -46,6 +54,20 @@ def store_silver(
     return stored
 
 
+def stage_once(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Staging as the marts read it: activities, which two marts read several times, from a table in the work folder.
+
+    There ``is_race`` and the distance class are columns, on which a scan can filter.
+    """
+    activities = staging.stage_activities(raw["activities"])
+    path = new_path(activities.sparkSession, "stg-activities")
+    activities.write.parquet(path)
+    return {
+        "stg_activities": activities.sparkSession.read.schema(activities.schema).parquet(path),
+        "stg_health": staging.stage_health(raw["daily_health"]),
+    }
+
+
 def marts(
     raw: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None
 ) -> dict[str, DataFrame]:
@@ -63,26 +85,117 @@ def marts(
     }
 
 
-def write_mart(df: DataFrame, path: str) -> None:
-    """Store a mart, rebuilt in full.
+class MartTable(VersionedTable):
+    """A mart in folders by bucket of the athlete, sorted by athlete: a reader of some athletes opens their buckets.
 
-    The windows leave the rows of an athlete together in one file. Which file is a hash, so
-    file statistics do not lead there; folders per athlete or year would only cut the mart
-    into many small files.
+    A rebuild of some athletes stores their buckets anew, with the rows of the bucket's other athletes as they
+    were; all other buckets keep their files. A reader sees all of the old mart or all of the new. Choose the
+    buckets so that one is some hundred megabytes; the count is fixed when a mart is first written.
     """
-    df.write.mode("overwrite").parquet(path)
 
+    BUCKET = "athlete_bucket"
+    ATHLETE = "athlete_id"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8, keep: int = 10):
+        super().__init__(spark, path, {self.BUCKET: T.IntegerType()}, keep)
+        self.buckets = buckets
+
+    def _bucket(self, athlete: Column) -> Column:
+        return F.pmod(F.xxhash64(athlete.cast("long")), F.lit(self.buckets)).cast("int")
+
+    def _place(self, rows: DataFrame) -> None:
+        self._add(rows.withColumn(self.BUCKET, self._bucket(F.col(self.ATHLETE))), [self.ATHLETE])
+
+    def write(self, rows: DataFrame) -> None:
+        """Store the mart, rebuilt in full."""
+        with self.load():
+            self._drop(list(self._open.parts))
+            self._place(rows)
+
+    def rebuild(self, rows: DataFrame, athletes: DataFrame) -> None:
+        """Store the rows of some athletes, who are all in ``athletes``, in place of what they had."""
+        athletes = athletes.select(self.ATHLETE).distinct()
+        # at most as many as there are buckets, so safe to collect
+        touched = {str(r[0]) for r in athletes.select(self._bucket(F.col(self.ATHLETE))).distinct().collect()}
+        with self.load():
+            held = {b: loads for b, loads in self._open.parts.items() if b in touched}
+            others = self._rows(rows.schema, held).select(*rows.columns).join(athletes, self.ATHLETE, "left_anti")
+            self._drop(list(held))
+            self._place(others.select(*rows.columns).unionByName(rows))
+
+    def read(self, athletes: list[int] | None = None, version: int | None = None) -> DataFrame:
+        """The mart; of some athletes only, from their buckets; or an older version that is still kept."""
+        held = (self.version() if version is None else self.log.at(version)).parts
+        if not held:
+            raise FileNotFoundError(f"no mart at {self.path}")
+        if athletes is not None:
+            own = self.spark.sql("SELECT 1").select(F.array(*[self._bucket(F.lit(a)) for a in athletes])).first()[0]
+            held = {b: held[b] for b in map(str, own) if b in held} or dict([next(iter(held.items()))])
+        paths = [f"{self.log.data}/{self.LOAD}={load}/{self.BUCKET}={b}" for b in held for load in held[b]]
+        rows = self.spark.read.option("basePath", self.log.data).parquet(*paths).drop(self.LOAD, self.BUCKET)
+        return rows if athletes is None else rows.filter(F.col(self.ATHLETE).isin(athletes))
 
-def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+
+def write_mart(df: DataFrame, path: str) -> None:
+    """Store a mart, rebuilt in full."""
+    MartTable(df.sparkSession, path).write(df)
+
+
+def read_mart(spark: SparkSession, path: str, athletes: list[int] | None = None) -> DataFrame:
+    return MartTable(spark, path).read(athletes)
+
+
+def _each(spark: SparkSession, work: dict[str, Callable[[], None]]) -> None:
+    """Run the writes side by side: one plans while another computes, and tails of one fill with tasks of another."""
+    with ThreadPoolExecutor(len(work)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(fn)) for fn in work.values()]:
+            done.result()
 
 
 def build(
     raw: dict[str, DataFrame], out: str, silver: dict[str, DataFrame] | None = None
 ) -> dict[str, str]:
-    """Write all marts under ``out``; returns their paths."""
-    paths = {}
-    for name, df in marts(raw, silver).items():
-        paths[name] = f"{out}/{name}"
-        write_mart(df, paths[name])
+    """Write all marts under ``out``; returns their paths. Without stored staging, activities are staged once."""
+    made = marts(raw, silver or stage_once(raw))
+    paths = {name: f"{out}/{name}" for name in made}
+    spark = raw["activities"].sparkSession
+    _each(spark, {name: partial(write_mart, df, paths[name]) for name, df in made.items()})
     return paths
+
+
+def update(
+    raw: dict[str, DataFrame],
+    out: str,
+    activities: DataFrame | None = None,
+    days: DataFrame | None = None,
+    goals: DataFrame | None = None,
+) -> None:
+    """Rebuild the marts under ``out`` for the athletes whose activities, health days or goals have changed.
+
+    The three hold ``athlete_id``, as ``MonthTable.changed`` gives it. What an athlete's rows say depends on all of the
+    athlete's days (records, running counts), so an athlete is computed whole; nobody else is.
+    """
+
+    def of(name: str, athletes: DataFrame) -> DataFrame:
+        return raw[name].join(athletes, "athlete_id", "left_semi")
+
+    work: dict[str, Callable[[], None]] = {}
+    if activities is not None:
+        ids = activities.select("athlete_id").distinct()
+        rows = training.mart_training(staging.stage_activities(of("activities", ids)))
+        work["mart_training"] = partial(_rebuild, rows, f"{out}/mart_training", ids)
+    if days is not None:
+        ids = days.select("athlete_id").distinct()
+        rows = health.mart_health(staging.stage_health(of("daily_health", ids)))
+        work["mart_health"] = partial(_rebuild, rows, f"{out}/mart_health", ids)
+    racing = [df.select("athlete_id") for df in (activities, goals) if df is not None]
+    if racing:
+        ids = reduce(DataFrame.unionByName, racing).distinct()
+        staged = staging.stage_activities(of("activities", ids))
+        work["mart_race"] = partial(_rebuild, race.mart_race(staged, of("race_goals", ids)), f"{out}/mart_race", ids)
+    if work:
+        _each(raw["activities"].sparkSession, work)
+
+
+def _rebuild(rows: DataFrame, path: str, athletes: DataFrame) -> None:
+    MartTable(rows.sparkSession, path).rebuild(rows, athletes)

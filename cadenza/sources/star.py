@@ -33,6 +33,10 @@ def _build(df: DataFrame, base: dict[str, str], steps: list[dict[str, str]], kee
 _written: dict[tuple[str, str, str], str] = {}
 
 
+def _write(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
+
+
 class StarTables:
     """Raw tables over one directory of test tables.
 
@@ -48,12 +52,14 @@ class StarTables:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _once(self, name: str, derived: Callable[[], DataFrame]) -> str:
+    def _once(
+        self, name: str, derived: Callable[[], DataFrame], write: Callable[[DataFrame, str], None] = _write
+    ) -> str:
         """Path of a derived table, written when first asked for."""
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _written:
             path = new_path(self.spark, name)
-            derived().write.parquet(path)
+            write(derived(), path)
             _written[key] = path
         return _written[key]
 

@@ -210,6 +210,9 @@ SQL["delete_by_key"] = f"SELECT {names('analysis_log')} FROM x_log WHERE model_u
 SQL["sink_marts"] = (
     "SELECT athlete_id, week_start_date, total_activities, total_distance_km FROM x_mt"
 )
+choose("sink_mart_health", "x_mh", "athlete_id date recovery_score training_readiness")
+for _name in ("sink_mart_race", "sink_mart_changes"):
+    choose(_name, "x_mr", RACE + "race_number is_personal_record training_runs_30d")
 SQL["sink_views"] = (
     "SELECT athlete_id, effort_level, count(*) AS activities FROM x_stg GROUP BY 1, 2"
 )

@@ -66,7 +66,7 @@ def test_a_killed_load_leaves_the_table_and_can_be_repeated(store, table, run_ro
 
             m.setattr(store.log, "commit", cut)
         else:
-            listed = store._written_months
+            listed = store._written_parts
 
             def half(path):  # the files of the first months are there, those of the others are not yet
                 months = listed(path)
@@ -75,7 +75,7 @@ def test_a_killed_load_leaves_the_table_and_can_be_repeated(store, table, run_ro
                     shutil.rmtree(f"{path}/part_month={month}")
                 raise Killed
 
-            m.setattr(store, "_written_months", half)
+            m.setattr(store, "_written_parts", half)
         with pytest.raises(Killed):
             load(store)
     assert rows_of(store) == before and store.version().number == number
@@ -132,9 +132,9 @@ def test_compact_joins_the_loads_of_a_month(store, table, run_row):
     store.append(runs(table, run_row, [MONTHS[1]]), FIRST)
     before = rows_of(store)
     store.compact(loads=2)
-    assert {m: len(held) for m, held in store.version().months.items()} == {MONTHS[0]: 1, MONTHS[1]: 1}
+    assert {m: len(held) for m, held in store.version().parts.items()} == {MONTHS[0]: 1, MONTHS[1]: 1}
     assert rows_of(store) == before
-    assert store.version().months[MONTHS[1]] == store.log.at(store.version().number - 1).months[MONTHS[1]]
+    assert store.version().parts[MONTHS[1]] == store.log.at(store.version().number - 1).parts[MONTHS[1]]
 
 
 def plan(df):
@@ -190,7 +190,7 @@ def test_a_key_that_moves_is_found_in_any_month(spark, table):
     moved = [{"athlete_id": 1, "event_uuid": "a", "event_date": "2025-12-01", "title": "y"}]
     events.replace_by_key(table("calendar_events", moved).drop("inserted_at", "updated_at"), LATER)
     assert sorted((r.event_uuid, r.title) for r in rows_of(events)) == [("a", "y"), ("b", "x"), ("c", "x")]
-    assert MONTHS[0] not in events.version().months
+    assert MONTHS[0] not in events.version().parts
 
 
 def activity(ident, **change):
