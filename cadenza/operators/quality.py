@@ -1,4 +1,4 @@
-"""Data tests: all row tests of a table in one aggregate pass.
+"""Data tests: all tests of a table in one pass.
 
 A test yields the number of failing rows (repeated keys for ``unique``), and a status:
 ``pass``, or its severity ``warn`` / ``error``. Reports never raise.
@@ -66,30 +66,44 @@ def _literal(value) -> str:
     return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
-def run_row_tests(df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
-    """One pass over the table, one row per test."""
-    counted = df.selectExpr(*[f"count_if({t.failing()}) AS t{i}" for i, t in enumerate(tests)])
-    results = ", ".join(t.result(f"t{i}") for i, t in enumerate(tests))
-    return counted.selectExpr(f"inline(array({results}))")
+#: Row tests whose outcome fits into one whole number, one bit each.
+_BITS = 62
 
 
-def run_unique(df: DataFrame, test: ColumnTest) -> DataFrame:
-    """Number of keys (athlete, column) stored more than once."""
-    keys = df.filter(F.col(test.column).isNotNull()).groupBy(ATHLETE, test.column).count()
-    repeated = keys.agg(F.count_if(F.col("count") > 1).alias("n"))
-    return repeated.selectExpr(f"inline(array({test.result('n')}))")
+def run_tests(df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
+    """All tests of a table in one scan and one shuffle, one row per test.
+
+    A row becomes one entry with a bit for each row test that it fails, and one entry per ``unique`` test with its key
+    (athlete and column; none for a null). Equal entries are counted, partially before the shuffle: what is
+    shuffled is the keys and the few patterns of failures that occur.
+    """
+    by_row = [t for t in tests if t.kind != "unique"]
+    unique = [t for t in tests if t.kind == "unique"]
+    groups = [by_row[i : i + _BITS] for i in range(0, len(by_row), _BITS)]
+    entries = []
+    for g, group in enumerate(groups):
+        bits = " + ".join(f"IF({t.failing()}, {1 << i}L, 0L)" for i, t in enumerate(group))
+        entries.append(f"struct({-1 - g} AS test, CAST(NULL AS BIGINT) AS athlete, CAST(NULL AS STRING) AS key, {bits} AS bits)")
+    for u, t in enumerate(unique):
+        known = f"IF(`{t.column}` IS NULL, NULL, {u})"
+        entries.append(f"struct({known} AS test, {ATHLETE} AS athlete, CAST(`{t.column}` AS STRING) AS key, 0L AS bits)")
+    counted = df.selectExpr(f"inline(array({', '.join(entries)}))").filter("test IS NOT NULL AND (test >= 0 OR bits <> 0)")
+    counted = counted.groupBy("test", "athlete", "key", "bits").agg(F.count("*").alias("n"))
+    sums = [
+        f"coalesce(sum(IF(test = {-1 - g} AND (bits & {1 << i}L) <> 0, n, 0L)), 0L)"
+        for g, group in enumerate(groups)
+        for i in range(len(group))
+    ]
+    sums += [f"count_if(test = {u} AND n > 1)" for u in range(len(unique))]
+    found = counted.selectExpr(*[f"{x} AS t{i}" for i, x in enumerate(sums)])
+    results = ", ".join(t.result(f"t{i}") for i, t in enumerate([*by_row, *unique]))
+    return found.selectExpr(f"inline(array({results}))")
 
 
 def report(tables: dict[str, DataFrame], tests: list[ColumnTest]) -> DataFrame:
     """One row per test over all tables."""
-    parts = []
-    for name, df in tables.items():
-        mine = [t for t in tests if t.table == name]
-        by_row = [t for t in mine if t.kind != "unique"]
-        if by_row:
-            parts.append(run_row_tests(df, by_row))
-        parts += [run_unique(df, t) for t in mine if t.kind == "unique"]
-    found = reduce(DataFrame.unionByName, parts)
+    mine = {name: [t for t in tests if t.table == name] for name in tables}
+    found = reduce(DataFrame.unionByName, [run_tests(df, mine[name]) for name, df in tables.items() if mine[name]])
     status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.col("severity"))
     return found.withColumn("status", status)
 
