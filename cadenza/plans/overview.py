@@ -139,7 +139,11 @@ def weekly_health(mart: DataFrame) -> DataFrame:
 
 
 def recent_weekly_health(mart: DataFrame, weeks: int = 4) -> DataFrame:
-    return newest(weekly_health(mart), weeks, c("week_start_date").desc())
+    """The newest weeks per athlete. Their days are found first, by a rank that every map partition cuts, so that only
+    they are shuffled and summed, not the whole history."""
+    by_week = Window.partitionBy(ATHLETE).orderBy(c("week_start_date").desc())
+    days = mart.withColumn("_week", F.dense_rank().over(by_week)).filter(c("_week") <= weeks)
+    return weekly_health(days)
 
 
 def rhr_week_spread(mart: DataFrame) -> DataFrame:
@@ -186,19 +190,17 @@ def distinct_weeks(activities: DataFrame) -> DataFrame:
 
 
 def training_with_health(training: DataFrame, health: DataFrame, weeks: int = 4) -> DataFrame:
-    """Weekly distance next to the week's health. Health is cut to one row per week
-    before the join, so neither side fans out."""
-    joined = training.select(ATHLETE, "week_start_date", "total_distance_km").join(
-        weekly_health(health).drop("avg_rhr"), [ATHLETE, "week_start_date"]
-    )
-    out = joined.select(
-        ATHLETE,
-        "week_start_date",
-        rnd_agg(c("total_distance_km"), 1).alias("avg_distance"),
-        "avg_recovery",
-        "avg_sleep",
+    """Weekly distance next to the week's health, of the newest weeks that have both.
+
+    Which weeks these are is found on the weekly training rows; only their health days are summed. Health is
+    cut to one row per week before the last join, so neither side fans out."""
+    week = [ATHLETE, "week_start_date"]
+    both = training.select(*week, "total_distance_km").join(health.select(*week), week, "left_semi")
+    shown = newest(both, weeks, c("week_start_date").desc())
+    days = health.join(shown.select(*week), week, "left_semi")
+    return shown.join(weekly_health(days).drop("avg_rhr"), week).select(
+        *week, rnd_agg(c("total_distance_km"), 1).alias("avg_distance"), "avg_recovery", "avg_sleep"
     )
-    return newest(out, weeks, c("week_start_date").desc())
 
 
 def days_with_workouts(health: DataFrame, activities: DataFrame, days: int = 7) -> DataFrame:
