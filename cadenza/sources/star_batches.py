@@ -216,9 +216,9 @@ def forecast_payload(t: StarTables) -> DataFrame:
             series(f"CAST(date_add(DATE '{AS_OF}', i) AS STRING)").alias("time"),
             series(
                 "CASE WHEN (c + i) % 11 = 0 THEN NULL"
-                " ELSE CAST((c * 3 + i * 5) % 40 - 5 AS DOUBLE) + 25e-2 END"
+                " ELSE CAST((c * 3 + i * 5) % 40 - 5 AS DOUBLE) + 0.25e0 END"
             ).alias("temperature_2m_min"),
-            series("CAST((c * 3 + i * 5) % 40 + 5 AS DOUBLE) + 25e-2").alias("temperature_2m_max"),
+            series("CAST((c * 3 + i * 5) % 40 + 5 AS DOUBLE) + 0.25e0").alias("temperature_2m_max"),
             series("CAST((c + i * 7) % 80 AS DOUBLE) / 1e1").alias("precipitation_sum"),
             series("CAST((c * 2 + i) % 45 AS DOUBLE)").alias("windspeed_10m_max"),
             series("element_at(array(0, 1, 2, 3, 45, 61, 95, 7), CAST((c + i) % 8 AS INT) + 1)").alias(
@@ -258,7 +258,7 @@ def activity_batch(t: StarTables) -> DataFrame:
     found = a.withColumns(
         {
             "activity_name": F.lit("Fetched again"),
-            "weather_temp_c": F.coalesce("weather_temp_c", F.expr("CASE WHEN k % 2 = 0 THEN 115e-1 END")),
+            "weather_temp_c": F.coalesce("weather_temp_c", F.expr("CASE WHEN k % 2 = 0 THEN 11.5e0 END")),
             "weather_humidity_pct": F.expr("CASE WHEN k % 2 = 0 THEN 77 END"),
             "weather_condition": F.expr("CASE WHEN k % 12 <> 3 THEN 'FOUND' END"),
             "weather_feels_like_c": F.lit(None).cast("double"),

@@ -8,6 +8,8 @@ literals written with an exponent. ``k`` is the order key, ``c`` the customer ke
 
 from __future__ import annotations
 
+from cadenza import constants as K
+
 # The day after the last order.
 AS_OF = "2001-08-02"
 # Load time given to tables the queries write.
@@ -21,7 +23,7 @@ def whole(num: str, den: int) -> str:
 
 def half_up(x: str, places: int) -> str:
     """Round a value that is never negative."""
-    return f"(floor({x} * 1e{places} + 5e-1) / 1e{places})"
+    return f"(floor({x} * 1e{places} + 0.5e0) / 1e{places})"
 
 
 ATHLETE = whole("c", 30)
@@ -91,9 +93,9 @@ ACTIVITY_STEPS = [
     },
     {
         "duration_minutes": half_up("duration_seconds / 6e1", 2),
-        "moving_duration_seconds": "CASE WHEN k % 11 = 0 THEN NULL ELSE duration_seconds * 95e-2 END",
+        "moving_duration_seconds": "CASE WHEN k % 11 = 0 THEN NULL ELSE duration_seconds * 0.95e0 END",
         "avg_speed_mps": "distance_m / nullif(duration_seconds, 0e0)",
-        "max_speed_mps": "distance_m / nullif(duration_seconds, 0e0) * 13e-1",
+        "max_speed_mps": "distance_m / nullif(duration_seconds, 0e0) * 1.3e0",
     },
     {
         "avg_pace_min_km": (
@@ -139,7 +141,7 @@ HEALTH_BASE = {
 }
 HEALTH_STEPS = [
     {
-        "distance_m": "steps * 75e-2",
+        "distance_m": "steps * 0.75e0",
         "deep_sleep_seconds": f"CAST({whole('sleep_seconds', 5)} AS INT)",
         "rem_sleep_seconds": f"CAST({whole('sleep_seconds', 4)} AS INT)",
     },
@@ -166,11 +168,9 @@ CALENDAR_STEPS = [
     {"distance_km": half_up("distance_m / 1e3", 3)},
     {
         "race_distance_category": (
-            "CASE WHEN distance_km BETWEEN 48e-1 AND 52e-1 THEN '5K'"
-            " WHEN distance_km BETWEEN 98e-1 AND 103e-1 THEN '10K'"
-            " WHEN distance_km BETWEEN 209e-1 AND 214e-1 THEN 'Half Marathon'"
-            " WHEN distance_km BETWEEN 419e-1 AND 43e0 THEN 'Marathon'"
-            " WHEN distance_km > 43e0 THEN 'Ultra' ELSE NULL END"
+            "CASE "
+            + " ".join(f"WHEN distance_km BETWEEN {lo}e0 AND {hi}e0 THEN '{label}'" for label, lo, hi in K.DISTANCE_BANDS)
+            + f" WHEN distance_km > {K.ULTRA_ABOVE_KM}e0 THEN '{K.ULTRA_LABEL}' ELSE NULL END"
         )
     },
 ]
@@ -178,15 +178,16 @@ CALENDAR_FILTER = "o_orderpriority = '1-URGENT'"
 
 # One goal per athlete and day: the least over its tagged races of every second kind.
 GOAL_FILTER = "k % 50 = 7 AND duration_seconds > 0"
-GOAL_SECONDS = "CAST(floor(duration_seconds * (90e-2 + (k % 20) / 1e2)) AS INT)"
+GOAL_SECONDS = "CAST(floor(duration_seconds * (0.9e0 + (k % 20) / 1e2)) AS INT)"
 
 LOG_BASE = {
     "athlete_id": ATHLETE,
     "analysis_id": "'A' || CAST(k AS STRING)",
     "generated_at": "ts",
     "goal_distance": (
-        "CASE k % 5 WHEN 0 THEN '5K' WHEN 1 THEN '10K' WHEN 2 THEN 'Half Marathon'"
-        " WHEN 3 THEN 'Marathon' ELSE 'Ultra' END"
+        f"CASE k % {len(K.DISTANCE_LABELS)} "
+        + " ".join(f"WHEN {i} THEN '{label}'" for i, label in enumerate(K.DISTANCE_LABELS))
+        + " END"
     ),
     "goal_hours": "CAST(CASE WHEN k % 3 = 0 THEN 0 ELSE k % 5 END AS INT)",
     "goal_minutes": "CAST(20 + k % 40 AS INT)",

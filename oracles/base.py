@@ -17,12 +17,12 @@ TODAY = f"DATE '{M.AS_OF}'"
 
 def r(x: str, places: int) -> str:
     """Round a row value, halves away from zero."""
-    return f"(sign({x}) * floor(abs({x}) * 1e{places} + 5e-1) / 1e{places} + 0e0)"
+    return f"(sign({x}) * floor(abs({x}) * 1e{places} + 0.5e0) / 1e{places} + 0e0)"
 
 
 def s(x: str, places: int) -> str:
     """Round an aggregate; ties lifted so that summing order does not matter."""
-    return f"(sign({x}) * floor(abs({x}) * 1e{places} + 500001e-6) / 1e{places} + 0e0)"
+    return f"(sign({x}) * floor(abs({x}) * 1e{places} + 0.500001e0) / 1e{places} + 0e0)"
 
 
 def quote(v) -> str:

@@ -101,8 +101,8 @@ FROM (
   SELECT {M.whole('c_custkey', 30)} AS athlete_id, 'City ' || CAST(c_custkey AS VARCHAR) AS city,
     {TODAY} + CAST(i AS INTEGER) AS day,
     CASE WHEN (c_custkey + i) % 11 = 0 THEN 0e0
-      ELSE CAST((c_custkey * 3 + i * 5) % 40 - 5 AS DOUBLE) + 25e-2 END AS low,
-    CAST((c_custkey * 3 + i * 5) % 40 + 5 AS DOUBLE) + 25e-2 AS high,
+      ELSE CAST((c_custkey * 3 + i * 5) % 40 - 5 AS DOUBLE) + 0.25e0 END AS low,
+    CAST((c_custkey * 3 + i * 5) % 40 + 5 AS DOUBLE) + 0.25e0 AS high,
     CAST((c_custkey + i * 7) % 80 AS DOUBLE) / 1e1 AS rain,
     CAST((c_custkey * 2 + i) % 45 AS DOUBLE) AS wind,
     [0, 1, 2, 3, 45, 61, 95, 7][CAST((c_custkey + i) % 8 AS INTEGER) + 1] AS code
@@ -129,7 +129,7 @@ FROM x_activities
 X["x_stored"] = f"SELECT * FROM x_activities WHERE activity_date < DATE '{B.STORED_UNTIL}'"
 X["x_batch"] = f"""
 SELECT * REPLACE ('Fetched again' AS activity_name,
-    coalesce(weather_temp_c, CASE WHEN k % 2 = 0 THEN 115e-1 END) AS weather_temp_c,
+    coalesce(weather_temp_c, CASE WHEN k % 2 = 0 THEN 11.5e0 END) AS weather_temp_c,
     CAST(CASE WHEN k % 2 = 0 THEN 77 END AS INTEGER) AS weather_humidity_pct,
     CASE WHEN k % 12 <> 3 THEN 'FOUND' END AS weather_condition,
     CAST(NULL AS DOUBLE) AS weather_feels_like_c, CAST(NULL AS DOUBLE) AS weather_wind_speed_ms,
