@@ -153,22 +153,27 @@ def predict(model: Model, text: str | None) -> tuple[str, float]:
     return model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_text: bool = False
+) -> DataFrame:
     """``lang_pred`` and ``score`` for every row, beside the columns in ``keep``; only the text is read.
 
+    ``with_text`` gives the text back as ``_text``, so that it need not be among ``keep`` too and go to a task twice.
+
     One pass without a shuffle: the matrix goes to the tasks, and each text is scored on its own. A null
     text, or one without a letter, gets ``und`` and 0.0, as does every text without a model.
     """
     spark: SparkSession = docs.sparkSession
     chosen = docs.select(*keep, F.col(text).cast("string").alias("_text"))
-    schema = chosen.drop("_text").withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    out = chosen if with_text else chosen.drop("_text")
+    schema = out.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
     held = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "_text", BATCH_BYTES):
             found = [predict(held.value, t) if held.value else ("und", 0.0) for t in common.column_of(batch, "_text")]
-            own = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "_text"]
-            names = [n for n in batch.schema.names if n != "_text"]
+            names = [n for n in batch.schema.names if with_text or n != "_text"]
+            own = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays(
                 [*own, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 names=[*names, "lang_pred", "score"],
@@ -185,10 +190,11 @@ def with_language(docs: DataFrame, model: Model | None, text: str = "text", lang
     """
     filled = F.coalesce(F.col(f"_row.`{lang}`"), F.col("lang_pred")) if model else F.col(f"_row.`{lang}`")
     model = model or Model(["unnamed"], np.zeros(1), np.zeros((1, 1), np.float32), (1,))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    found = identify(docs.select(row, F.col(text).alias("text")), model, keep=("_row",))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("_row")
+    found = identify(docs.select(row, F.col(text).alias("text")), model, keep=("_row",), with_text=True)
     kept = found.where("lang_pred != 'und'")
-    return kept.select(*[filled.alias(c) if c == lang else F.col(f"_row.`{c}`") for c in docs.columns])
+    back = {lang: filled, text: F.col("_text").cast(docs.schema[text].dataType)}
+    return kept.select(*[back.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
