@@ -474,6 +474,49 @@ def first_of_each(docs: DataFrame, ids: str = "doc_id", text: str = "text", **op
     return kept.select("_row.*").union(docs.where(F.col(ids).isNull()))
 
 
+#: The query's rows in SQL. Linked sets share one of so many of their rarest shingles as one may have beside the other.
+ORACLE = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT rid, s FROM (
+    SELECT rid, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2])) END) AS s
+    FROM docs)
+), sizes AS (
+  SELECT rid, count(*) AS n, sha256(string_agg(s, chr(10) ORDER BY s)) AS key FROM shingles GROUP BY rid
+), sets AS (
+  SELECT z.key, any_value(z.n) AS n, min(z.rid) AS rid
+  FROM sizes z JOIN docs d ON z.rid = d.rid WHERE d.doc_id IS NOT NULL GROUP BY z.key
+), ranked AS (
+  SELECT e.key, e.n, h.s, row_number() OVER (PARTITION BY e.key ORDER BY f.often, h.s) AS rank
+  FROM sets e JOIN shingles h ON e.rid = h.rid
+  JOIN (SELECT s, count(*) AS often FROM shingles WHERE rid IN (SELECT rid FROM sets) GROUP BY s) f ON h.s = f.s
+), heads AS (
+  SELECT key, n, s FROM ranked WHERE rank <= n - (85 * n + 99) // 100 + 1
+), pairs AS (
+  SELECT DISTINCT a.key AS u, b.key AS v, a.n AS un, b.n AS vn
+  FROM heads a JOIN heads b ON a.s = b.s AND a.key < b.key
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+), links AS (
+  SELECT p.u, p.v FROM pairs p JOIN ranked a ON a.key = p.u JOIN ranked b ON b.key = p.v AND a.s = b.s
+  GROUP BY p.u, p.v, p.un, p.vn HAVING 100 * count(*) >= 85 * (p.un + p.vn - count(*))
+), both_ways AS (
+  SELECT u AS a, v AS b FROM links UNION ALL SELECT v, u FROM links
+), reach AS (
+  SELECT key AS a, key AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a
+), component AS (
+  SELECT r.a AS key, min(d.doc_id) AS component_id
+  FROM reach r JOIN sizes z ON r.b = z.key JOIN docs d ON z.rid = d.rid GROUP BY r.a
+)
+SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+       coalesce(coalesce(c.component_id, d.doc_id) = d.doc_id, true) AS kept
+FROM docs d LEFT JOIN sizes z ON d.rid = z.rid LEFT JOIN component c ON z.key = c.key AND d.doc_id IS NOT NULL
+"""
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles have a similarity of 0.85 or more."""
     return near_duplicates(common.table(spark, sf_dir, "documents"), width=3, percent=85)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import chat_format, divergence
+from cadenza.llm import chat_format, chosen_path, divergence, suffix_dedup
 from cadenza.llm.ann import op1_forest_ann
 from cadenza.llm.chat_format import op13_chat_formatting
 from cadenza.llm.chosen_path import op5_minhash_near_dedup
@@ -38,6 +38,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": suffix_dedup.ORACLE,
+    "op5_minhash_near_dedup": chosen_path.ORACLE,
     "op12_source_divergence": divergence.ORACLE,
     "op13_chat_formatting": chat_format.ORACLE,
 }

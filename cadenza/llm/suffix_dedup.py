@@ -524,6 +524,41 @@ def without_repeats(docs: DataFrame, text: str = "text", ids: str = "doc_id", le
     return found.where(F.col("kept").rlike(common.WORD)).select(*[new[c].alias(c) for c in docs.columns])
 
 
+#: The query's rows in SQL, by definition: every string of 50 bytes and the smallest id that has it.
+ORACLE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), parts AS (
+  SELECT rid, doc_id, a AS base, substr(h, 2 * a + 1, 2 * 1049) AS part
+  FROM (SELECT rid, doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0), 1000)) AS a FROM docs WHERE doc_id IS NOT NULL)
+), starts AS (
+  SELECT rid, doc_id, base + p AS start, unhex(substr(part, 2 * p + 1, 100)) AS string
+  FROM (SELECT *, unnest(range(0, least(length(part) // 2 - 49, 1000))) AS p FROM parts)
+), firsts AS (
+  SELECT string, min(doc_id) AS first_id FROM starts GROUP BY string HAVING min(doc_id) < max(doc_id)
+), covered AS (
+  SELECT s.rid, s.start FROM starts s JOIN firsts f ON s.string = f.string AND f.first_id < s.doc_id
+), marked AS (
+  SELECT rid, start, CASE WHEN start - lag(start) OVER (PARTITION BY rid ORDER BY start) <= 50 THEN 0 ELSE 1 END AS opens
+  FROM covered
+), runs AS (
+  SELECT rid, min(start) AS lo, max(start) + 50 AS hi
+  FROM (SELECT rid, start, sum(opens) OVER (PARTITION BY rid ORDER BY start) AS run FROM marked)
+  GROUP BY rid, run
+), gaps AS (
+  SELECT r.rid, r.lo, r.hi, coalesce(lag(r.hi) OVER (PARTITION BY r.rid ORDER BY r.lo), 0) AS before FROM runs r
+), kept AS (
+  SELECT g.rid, sum(g.hi - g.lo) AS n_removed, count(*) AS n_spans, max(g.hi) AS last,
+         string_agg(substr(d.h, 2 * g.before + 1, 2 * (g.lo - g.before)), '' ORDER BY g.lo) AS front
+  FROM gaps g JOIN docs d ON g.rid = d.rid GROUP BY g.rid
+)
+SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN k.rid IS NULL THEN d.h ELSE concat(k.front, substr(d.h, 2 * k.last + 1)) END)) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.rid = k.rid
+"""
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat a 50-byte string of a document with a smaller doc_id."""
     return remove_repeats(common.table(spark, sf_dir, "documents"))
