@@ -6,9 +6,10 @@ probability is the sum over all its segmentations, found by a forward recursion
 is the product over its words and its end. No segmentation is chosen, so the score is a true marginal.
 
 The baseline needs the training count of each word of each document, and there is no bound on the number of
-words. Tasks reduce a chunk of documents to its distinct words and the documents they occur in, and deal
-those to bins by the word's hash. A bin adds up the counts of its words and answers each chunk with a
-partial sum for each document. A word that every document has is one entry a chunk.
+words. Tasks reduce a chunk of documents to its distinct words, and send each word's hash and training count in
+the chunk to a bin by the hash. A bin adds up the counts of its words and answers each chunk with the words'
+totals; which document has which word stays with the chunk, where the documents' sums are made. So a word is one
+entry of twelve bytes a chunk, however many documents have it.
 """
 
 from __future__ import annotations
@@ -168,22 +169,28 @@ class _Numbers(dict):
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    sizes = np.array([len(arrays[0]), len(arrays[-1])], np.int64)
-    return sizes.tobytes() + pa.Codec("zstd", 3).compress(b"".join(a.tobytes() for a in arrays), asbytes=True)
+    """Arrays in one compressed piece, their lengths and kinds in front."""
+    head = "".join(f"{a.dtype.str} {len(a)} " for a in arrays).encode() + b"\n"
+    return head + pa.Codec("zstd", 3).compress(b"".join(a.tobytes() for a in arrays), asbytes=True)
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
-    words, pairs = np.frombuffer(blob[:16], np.int64).tolist()
-    raw = pa.Codec("zstd").decompress(blob[16:], words * 16 + pairs * 8, asbytes=True)
+def _unpacked(blob: bytes) -> list[np.ndarray]:
+    head, packed = blob.split(b"\n", 1)
+    named = head.decode().split()
+    kinds, sizes = [np.dtype(k) for k in named[::2]], [int(n) for n in named[1::2]]
+    raw = pa.Codec("zstd").decompress(packed, sum(k.itemsize * n for k, n in zip(kinds, sizes, strict=True)), asbytes=True)
     out, at = [], 0
-    for kind, n in ((np.uint64, words), (np.uint32, words), (np.uint32, words), (np.uint32, pairs), (np.uint32, pairs)):
+    for kind, n in zip(kinds, sizes, strict=True):
         out.append(np.frombuffer(raw, kind, n, at))
         at += out[-1].nbytes
-    return tuple(out)
+    return out
 
 
 def deal_words(docs: DataFrame, path: str, log_probability: np.ndarray, bins: int, chunk_bytes: int) -> DataFrame:
-    """Rows (key, chunk, data). A key from 0 is a bin, with the chunk's words there; a key below 0 has the chunk's rows.
+    """Rows (key, chunk, data, words). A key from 0 is a bin, with the hashes and counts of the chunk's words there.
+
+    A key below 0 has the chunk's rows, and in ``words`` which of them has which word how often, the words in the
+    order of the bins.
 
     ``docs`` has ``_id``, ``held_out`` and ``_text``, which is binary.
     """
@@ -217,7 +224,6 @@ def deal_words(docs: DataFrame, path: str, log_probability: np.ndarray, bins: in
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, rows.schema) as writer:
                 writer.write_batch(rows)
-            out = [(-chunk, chunk, sink.getvalue().to_pybytes())]
 
             pairs, times = np.unique(
                 tokens * len(texts) + np.repeat(np.arange(len(texts)), sizes), return_counts=True
@@ -227,61 +233,44 @@ def deal_words(docs: DataFrame, path: str, log_probability: np.ndarray, bins: in
             place = (hashes % np.uint64(bins)).astype(np.int64)
             trained = np.bincount(word, times * training[doc], len(numbers)).astype(np.uint32)
             order = np.argsort(place, kind="stable")
-            rank = np.empty(len(order), np.int64)
+            rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order))
-            by_place = np.argsort(rank[word], kind="stable")
-            docs_of = np.bincount(word, minlength=len(numbers)).astype(np.uint32)[order]
-            doc, times = doc[by_place].astype(np.uint32), times[by_place].astype(np.uint32)
-            cuts = np.searchsorted(place[order], np.arange(bins + 1))
-            pair_cuts = np.concatenate([[0], np.cumsum(docs_of, dtype=np.int64)])[cuts]
-            for b in range(bins):
-                w, p = slice(cuts[b], cuts[b + 1]), slice(pair_cuts[b], pair_cuts[b + 1])
-                if w.start < w.stop:
-                    blob = _packed(hashes[order[w]], trained[order[w]], docs_of[w], doc[p], times[p])
-                    out.append((b, chunk, blob))
+            of_docs = _packed(rank[word], doc.astype(np.uint32), times.astype(np.uint32))
+            out = [(-chunk, chunk, sink.getvalue().to_pybytes(), of_docs)]
+            there, starts = np.unique(place[order], return_index=True)
+            for b, own in zip(there.tolist(), np.split(order, starts[1:]), strict=True):
+                out.append((b, chunk, _packed(hashes[own], trained[own]), None))
             columns = zip(*out, strict=True)
-            kinds = (pa.int64(), pa.int64(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "chunk", "data"]
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "chunk", "data", "words"]
             )
 
-    return docs.select("_id", "held_out", "_text").mapInArrow(deal, "key long, chunk long, data binary")
+    return docs.select("_id", "held_out", "_text").mapInArrow(deal, "key long, chunk long, data binary, words binary")
 
 
-def partial_sums(dealt: DataFrame) -> DataFrame:
-    """Rows (chunk, rows, sums, tokens, words): for each chunk and bin the sums of its documents.
+def word_totals(dealt: DataFrame) -> DataFrame:
+    """Rows (chunk, key, totals, tokens, words): for each bin and chunk the training counts of the chunk's words there.
 
-    ``sums`` has, of each document with a word there, its number in the chunk, the sum of log10(count + 1) and
-    the tokens with a count. ``tokens`` and ``words`` are the bin's totals, on its first row. The chunk's
-    own rows go through as they are.
+    ``tokens`` and ``words`` are the bin's totals, on its first row.
     """
-    schema = "chunk long, rows binary, sums binary, tokens long, words long"
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-    names = ["chunk", "rows", "sums", "tokens", "words"]
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    names = ["chunk", "key", "totals", "tokens", "words"]
 
     def add(table: pa.Table) -> pa.Table:
-        chunk, data = table["chunk"].to_pylist(), table["data"].to_pylist()
-        if table["key"][0].as_py() < 0:
-            out = [(c, d, None, 0, 0) for c, d in zip(chunk, data, strict=True)]
-        else:
-            parts = [_unpacked(d) for d in data]
-            _, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            count = np.bincount(number, np.concatenate([p[1] for p in parts]))
-            value, known = np.log10(count + 1)[number], (count > 0)[number]
-            totals, at, out = (int(count.sum()), int((count > 0).sum())), 0, []
-            for c, (own, _, docs_of, doc, times) in zip(chunk, parts, strict=True):
-                word = np.repeat(np.arange(at, at + len(own)), docs_of)
-                at += len(own)
-                sums = np.bincount(doc, times * value[word])
-                seen = np.bincount(doc, times * known[word]).astype(np.int64)
-                there = np.unique(doc).astype(np.int64)
-                blob = there.tobytes() + sums[there].tobytes() + seen[there].tobytes()
-                out.append((c, None, blob, *totals))
-                totals = (0, 0)
+        parts = [_unpacked(d) for d in table["data"].to_pylist()]
+        _, number = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        count = np.bincount(number, np.concatenate([p[1] for p in parts])).astype(np.int64)
+        totals, at, out = (int(count.sum()), int((count > 0).sum())), 0, []
+        for c, key, (own, _) in zip(table["chunk"].to_pylist(), table["key"].to_pylist(), parts, strict=True):
+            out.append((c, key, _packed(count[number[at : at + len(own)]]), *totals))
+            at += len(own)
+            totals = (0, 0)
         columns = zip(*out, strict=True)
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return dealt.groupBy("key").applyInArrow(add, schema)
+    bins = dealt.where("key >= 0").select("key", "chunk", "data")
+    return bins.groupBy("key").applyInArrow(add, "chunk long, key long, totals binary, tokens long, words long")
 
 
 def score(
@@ -307,23 +296,23 @@ def score(
     scores = piece_scores(own.where(~F.col("held_out")), path, "_text")
     total = own.agg(F.sum(F.length("_text"))).first()[0] or 0
     bins = max(1, -(-total // bin_bytes))
-    sums = common.written(partial_sums(deal_words(own, path, scores, bins, chunk_bytes)), "sums")
-    tokens, words = sums.agg(F.sum("tokens"), F.sum("words")).first()
+    dealt = common.written(deal_words(own, path, scores, bins, chunk_bytes), "words")
+    totals = common.written(word_totals(dealt), "totals")
+    tokens, words = totals.agg(F.sum("tokens"), F.sum("words")).first()
     tokens, words = tokens or 0, words or 0
     floor = math.log10(tokens + words + 1)
 
     key = docs.schema[ids].dataType.simpleString()
     schema = f"`{ids}` {key}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
-    def finish(table: pa.Table) -> pa.Table:
-        rows = next(pa.ipc.open_stream(x).read_next_batch() for x in table["rows"].to_pylist() if x is not None)
-        base, known = np.zeros(rows.num_rows), np.zeros(rows.num_rows, np.int64)
-        for blob in table["sums"].to_pylist():
-            if blob is not None:
-                n = len(blob) // 24
-                at = np.frombuffer(blob, np.int64, n)
-                base[at] += np.frombuffer(blob, np.float64, n, 8 * n)
-                known[at] += np.frombuffer(blob, np.int64, n, 16 * n)
+    def finish(own: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = pa.ipc.open_stream(own["data"][0].as_py()).read_next_batch()
+        word, doc, times = _unpacked(own["words"][0].as_py())
+        order = np.argsort(answers["key"].to_numpy())
+        found = answers["totals"].to_pylist()
+        count = np.concatenate([_unpacked(found[i])[0] for i in order])[word]
+        base = np.bincount(doc, times * np.log10(count + 1), rows.num_rows)
+        known = np.bincount(doc, times * (count > 0), rows.num_rows).astype(np.int64)
         size = np.array(rows.column(2))
         return pa.table(
             {
@@ -337,7 +326,8 @@ def score(
             }
         )
 
-    return sums.groupBy("chunk").applyInArrow(finish, schema)
+    chunks = dealt.where("key < 0").select("chunk", "data", "words")
+    return chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(finish, schema)
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

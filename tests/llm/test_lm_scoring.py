@@ -103,3 +103,18 @@ def test_query(spark, sf_dir):
         assert r.base_score == pytest.approx(want[r.doc_id][4])
     held = [r for r in got if r.held_out]
     print(sum(r.score for r in held), sum(r.base_score for r in held))
+
+
+def test_a_word_of_all_documents_is_one_entry_a_chunk(spark, frame):
+    """What bins get depends on the chunks' distinct words, not on how many documents have them."""
+
+    def sent(copies):
+        docs = frame([(i, "the same few words", None, None) for i in range(copies)]).coalesce(1)
+        own = docs.selectExpr("doc_id AS _id", "false AS held_out", "CAST(text AS BINARY) AS _text")
+        scores = lm.piece_scores(own, PATH, "_text")
+        rows = lm.deal_words(own, PATH, scores, 7, 10**6).where("key >= 0").collect()
+        found = [lm._unpacked(r.data) for r in rows]
+        assert all(count.tolist() == [copies] * len(count) for _, count in found)
+        return sum(len(hashes) for hashes, _ in found)
+
+    assert sent(3) == sent(500) == 5
