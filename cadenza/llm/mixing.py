@@ -18,6 +18,10 @@ from cadenza.llm import common
 ROUNDS = 24
 #: Slots that one row of a source's plan is exploded into at a time.
 SLOT_RUN = 1 << 16
+#: Slots that one task draws, numbers and permutes.
+TASK_SLOTS = 1 << 18
+#: Shards whose running totals are one window.
+SHARD_GROUP = 1 << 12
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
@@ -106,19 +110,31 @@ def slots(targets: DataFrame, block_words: int, shard_slots: int, seed: int) ->
         .where("_slots > 0")
     )
     shards = F.greatest(F.lit(1), F.ceil(F.sum("_slots").over(Window.partitionBy(F.lit(1))) / shard_slots))
-    plan = plan.withColumn("_shards", shards)
+    plan = common.written(plan.withColumn("_shards", shards), "plan")
+    total = plan.agg(F.sum("_slots")).first()[0] or 0
+    tasks = common.row_groups(total, TASK_SLOTS)
+    kept = ["source_no", "source_size", "_blocks", "_full", "_passes", "_rest"]
+    # few rows become many slots: runs of draws, and then shards, are dealt to as many tasks as their slots ask for
     runs = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_slots") - 1) / SLOT_RUN)))
     first = F.col("_run") * SLOT_RUN
     draws = (
         plan.withColumn("_run", runs)
+        .repartition(tasks, "source_no", "_run")
         .withColumn("_draw", F.explode(F.sequence(first, F.least(first + SLOT_RUN, F.col("_slots")) - 1)))
         .withColumn("shard", F.pmod(F.xxhash64(F.lit(f"shard {seed}"), "source_no", "_draw"), F.col("_shards")))
     )
-    kept = ["source_no", "source_size", "_blocks", "_full", "_passes", "_rest"]
     counts = draws.groupBy(*kept, "shard").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = common.written(counts.withColumn("_group", F.floor(F.col("shard") / SHARD_GROUP)), "counts")
+    # running totals by groups of shards first, so that one source's shards are not one window
+    groups = counts.groupBy("source_no", "_group").agg(F.sum("_n").alias("_all"))
+    before = Window.partitionBy("source_no").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("source_no", "_group", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_base"))
+    earlier = Window.partitionBy("source_no", "_group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     index = (
-        counts.withColumn("_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        counts.join(groups, ["source_no", "_group"])
+        .withColumn("_first", F.col("_base") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .drop("_group", "_base")
+        .repartition(tasks, "source_no", "shard")
         .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
         .withColumn("_i", F.col("_first") + F.col("_j"))
         .withColumn("pass", F.floor(F.col("_i") / F.col("_blocks")))

@@ -75,6 +75,21 @@ def test_passes_use_different_orders_and_reruns_agree(spark, frame, rows):
     assert a == b != c
 
 
+def test_slots_are_dealt_to_tasks(spark, frame, rows, monkeypatch):
+    """Few slots a task and shards a window change nothing; an exchange stands before each explode."""
+    docs = frame(rows)
+    want = {tuple(r) for r in mixing.mix(docs, block_words=4, shard_slots=3)[1].collect()}
+    for name, value in (("SLOT_RUN", 5), ("TASK_SLOTS", 9), ("SHARD_GROUP", 2)):
+        monkeypatch.setattr(mixing, name, value)
+    assert want == {tuple(r) for r in mixing.mix(docs, block_words=4, shard_slots=3)[1].collect()}
+    sized = spark.createDataFrame([("a", 10**6), ("b", 10)], "source string, size long")
+    found = mixing.slots(mixing.source_targets(sized), 1000, 8, 1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(sequence") < plan.index("RepartitionByExpression")
+    most = found.groupBy(mixing.F.spark_partition_id()).count().agg(mixing.F.max("count")).first()[0]
+    assert most < found.count() / 4
+
+
 def test_permutation(spark):
     for n in (1, 2, 3, 10, 97, 1000):
         df = spark.range(n).select(mixing.permuted(mixing.F.col("id"), mixing.F.lit(n), mixing.F.lit("k")).alias("p"))
