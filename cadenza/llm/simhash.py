@@ -19,12 +19,10 @@ from cadenza.llm import common
 
 #: Two counters of 32 bits in a long: places j and j + 32 of a hash.
 _LANES = (1 << 32) + 1
-#: Cells of equal width over the range of the ids, whose counts decide on the groups.
+#: Cells that the order of the documents is cut into first; the driver holds so many boundaries.
 CELLS = 1024
 #: Documents in a group of neighbours.
 GROUP_DOCS = 1000
-#: Boundary rows that are broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def term_hashes(text: Column) -> Column:
@@ -101,49 +99,94 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = 3) -> Data
     return met.select("qa", "qb", "a", "b", apart.alias("distance")).distinct()
 
 
+def _count_upto(edges: Column, key: Column, rounds: int, equal: bool) -> Column:
+    """How many of the sorted ``edges`` are below ``key``, or with ``equal`` at most ``key``: a binary search."""
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        edge = F.element_at(edges, middle + 1)
+        right = (edge <= key) if equal else (edge < key)
+        open_ = at["lo"] < at["hi"]
+        return F.struct(
+            F.when(open_ & right, middle + 1).otherwise(at["lo"]).alias("lo"),
+            F.when(open_ & ~right, middle).otherwise(at["hi"]).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, halve, lambda at: at["lo"])
+
+
+def boundaries(keys: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (cell, group, key): the first key of each group of ``GROUP_DOCS`` rows in order, groups numbered from 0.
+
+    Rows are sorted over all tasks by ranges of a sample, so groups follow how the rows lie, whatever their keys;
+    rows of one key are told apart by a random number, so no key is one task's. A task's last group may be
+    smaller. ``cell`` numbers runs of groups; the second result is how many groups a cell has.
+    """
+    order = ["key", "_salt"]
+    ranked = keys.withColumn("_salt", F.rand(5)).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranked = ranked.select("key", F.monotonically_increasing_id().alias("_spot"))
+    nth = F.col("_spot").bitwiseAND(F.lit((1 << 33) - 1))
+    first = common.written(ranked.where(nth % GROUP_DOCS == 0), "firsts")
+    # numbered through by task: a task's groups follow those of the tasks before
+    first = first.select("key", F.shiftright("_spot", 33).alias("_task"), F.floor(nth / GROUP_DOCS).alias("_nth"))
+    sizes = first.groupBy("_task").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    width = max(1, -(-first.count() // CELLS))
+    numbered = first.join(bases, "_task").select((F.col("_base") + F.col("_nth")).alias("group"), "key")
+    cells = numbered.select(F.floor(F.col("group") / width).alias("cell"), "group", "key")
+    return common.written(cells, "boundaries"), width
+
+
 def neighbours(docs: DataFrame, ids: str, text: str) -> DataFrame:
     """Rows (group, place, copy, id, text, next_text) in descending order of the ids, null ids last.
 
-    Ids of a group are neighbours. Groups come of the counts of ``CELLS`` ranges of equal width, each cut into as
-    many as its documents need; only those counts reach the driver. The first row of a group is also put, as a
-    copy, at the end of the group before, and that of the first group at the end of the last, so each text
-    moves once and finds its next one in its group. Rows of one id are in order of a hash of their texts.
+    Rows of one id are in order of a hash of their texts. The order is cut into groups of ``GROUP_DOCS`` rows, by
+    keys alone; the text of a row finds its group by two binary searches, among the cells' first keys and among
+    those of its cell, and moves once. A key that begins several groups, as that of many equal rows, is spread over
+    them: such rows are alike, so it is all one which goes where. The first row of a group is also put, as a
+    copy, at the end of the group before, and that of the first group at the end of the last, so each text finds
+    its next one in its group.
     """
-    spark = docs.sparkSession
     own = docs.select(F.col(ids).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    low, high = own.agg(F.min("id"), F.max("id")).first()
-    low, high = low or 0, high or 0
-    width = (high - low) // CELLS + 1
-    shifted = (F.col("id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")).cast("decimal(20,0)")
-    cell = F.floor(shifted / F.lit(width)).cast("int")
-    counts = {r[0]: r[1] for r in own.where("id IS NOT NULL").groupBy(cell.alias("cell")).count().collect()}
-    parts = F.expr(f"array({', '.join(f'{max(1, -(-counts.get(i, 0) // GROUP_DOCS))}L' for i in range(CELLS))})")
-    rest = shifted - cell * F.lit(width).cast("decimal(20,0)")
-    part = F.floor(rest * F.element_at(parts, cell + 1) / F.lit(width)).cast("long")
-    group = F.coalesce(cell.cast("long") * F.lit(1 << 32) + part, F.lit(-1).cast("long"))
-
-    first = own.select("id", group.alias("group")).groupBy("group").agg(F.max("id").alias("id"))
-    first = common.written(first, "groups")
-    down = Window.orderBy(F.desc("group"))
-    before = F.coalesce(F.lag("group").over(down), F.min("group").over(Window.partitionBy(F.lit(1))))
-    ends = first.select(F.col("id").alias("_id"), F.col("group").alias("_own"), before.alias("_before"))
-    if first.count() <= BROADCAST_ROWS:
-        ends = F.broadcast(ends)
-    placed = own.withColumn("group", group)
-    joined = placed.join(ends, (F.col("group") == F.col("_own")) & F.col("id").eqNullSafe(F.col("_id")), "left")
-    there = F.array(F.struct(F.col("group").alias("g"), F.lit(False).alias("copy")))
-    both = F.when(F.col("_before").isNull(), there).otherwise(
-        F.concat(there, F.array(F.struct(F.col("_before").alias("g"), F.lit(True).alias("copy"))))
+    # ascending order of the key is descending order of the ids: ~id falls as id rises
+    key = F.struct(
+        F.col("id").isNull().alias("none"),
+        F.coalesce(F.bitwise_not("id"), F.lit(0).cast("long")).alias("down"),
+        F.xxhash64("text").alias("hash"),
     )
-    dealt = joined.select("id", "text", F.explode(both).alias("_at")).select("_at.g", "_at.copy", "id", "text")
-    order = Window.partitionBy("g").orderBy("copy", F.col("id").desc_nulls_last(), F.xxhash64("text"))
+    edges, width = boundaries(own.select(key.alias("key")))
+    tops = edges.groupBy("cell").agg(F.min("key").alias("key")).orderBy("cell").collect()
+    names = ("none", "down", "hash")
+    top_keys = F.array(*[F.struct(*[F.lit(k[n]).cast("boolean" if n == "none" else "long").alias(n) for n in names]) for _, k in tops])
+    if not tops:
+        top_keys = F.array(key)
+    in_cell = edges.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("key", "group"))).alias("_edges"))
+    in_cell = common.written(in_cell, "cells")
+
+    def ends_of(df: DataFrame, found: Column, rounds: int) -> DataFrame:
+        low, high = (_count_upto(found, F.col("_key"), rounds, equal) for equal in (False, True))
+        return df.withColumns({"_low": low, "_high": high})
+
+    spread = F.col("_low") + F.floor(F.rand(7) * (F.col("_high") - F.col("_low"))).cast("int")
+    several = F.col("_high") - F.col("_low")
+    keyed = ends_of(own.withColumn("_key", key), top_keys, CELLS.bit_length())
+    cell = F.when(several >= 2, spread).otherwise(F.col("_high") - 1)
+    keyed = keyed.withColumn("cell", cell.cast("long")).join(in_cell, "cell")
+    keyed = ends_of(keyed, F.transform("_edges", lambda e: e["key"]), width.bit_length())
+    edge = F.element_at("_edges", F.when(several >= 3, spread).otherwise(F.col("_high") - 1) + 1)
+    keyed = keyed.select("id", "text", "_key", edge.alias("_edge"))
+    placed = keyed.select("_edge.group", F.lit(False).alias("copy"), "id", "text")
+
+    last = edges.agg(F.max("group")).first()[0]
+    before = F.when(F.col("group") == 0, F.lit(last).cast("long")).otherwise(F.col("group") - 1)
+    firsts = keyed.where(F.col("_key") == F.col("_edge.key")).dropDuplicates(["_key"])
+    copies = firsts.join(edges.select(before.alias("group"), F.col("key").alias("_key")), "_key")
+    dealt = placed.unionByName(copies.select("group", F.lit(True).alias("copy"), "id", "text"))
+    order = Window.partitionBy("group").orderBy("copy", F.col("id").desc_nulls_last(), F.xxhash64("text"))
     return dealt.select(
-        F.col("g").alias("group"),
-        F.row_number().over(order).alias("place"),
-        "copy",
-        "id",
-        "text",
-        F.lead("text").over(order).alias("next_text"),
+        "group", F.row_number().over(order).alias("place"), "copy", "id", "text", F.lead("text").over(order).alias("next_text")
     )
 
 

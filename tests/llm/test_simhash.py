@@ -66,6 +66,26 @@ def test_against_brute_force(spark, frame, ids, monkeypatch):
         assert r.near_next == same(prints[i], prints[want[i][2]])
 
 
+def test_groups_are_bounded_whatever_the_ids(spark, frame, monkeypatch):
+    """One far id, a third of the rows without an id, a third equal rows: no group is far above its size."""
+    monkeypatch.setattr(sh, "GROUP_DOCS", 40)
+    rows = [(i, f"a b {i}", None, None) for i in range(900)] + [(2**61, "x", None, None), (-(2**62), "y", None, None)]
+    rows += [(None, f"n {i}", None, None) for i in range(900)] + [(7777, "the same text", None, None)] * 900
+    found = sh.neighbours(frame(rows).repartition(5), "doc_id", "text").collect()
+    sizes = {}
+    for r in found:
+        sizes[r.group] = sizes.get(r.group, 0) + 1
+    assert max(sizes.values()) <= 130 and len(sizes) > 50
+    own = [r for r in found if not r.copy]
+    assert sorted(repr((r.id, r.text)) for r in own) == sorted(repr(r[:2]) for r in rows)
+    # the texts and the texts after them are the same rows: each is once somebody's next one
+    assert sorted(r.next_text for r in own) == sorted(r.text for r in own)
+    after = {r.id: r.next_text for r in own if r.id is not None and r.id != 7777}
+    assert after[2**61] == "the same text" and after[5] == "a b 4" and after[0] == "y"
+    same = [r.next_text for r in own if r.id == 7777]
+    assert same.count("the same text") == 899 and same.count("a b 899") == 1
+
+
 def test_repeated_and_null_ids(spark, frame):
     rows = [(1, "a b", None, None)] * 3 + [(None, "c d e", None, None), (None, None, None, None), (2, "x y", None, None)]
     got = sh.fingerprint_edits(frame(rows)).collect()
