@@ -43,8 +43,6 @@ MARGIN = 0.12
 #: Probability, at most, that the estimate of a pair at the threshold is too low for a candidate.
 MISS = 1e-6
 CHUNK_BYTES = 8_000_000
-#: Ids that are broadcast to find the texts of candidates; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _RNG = np.random.default_rng(20240229)
 _MULTIPLY = _RNG.integers(0, 1 << 32, (2, TOKENS), dtype=np.uint32) | np.uint32(1)
@@ -288,13 +286,12 @@ def candidates(members: DataFrame, rows: int, least: int, ratio: float) -> DataF
     return called.groupBy("_call").applyInArrow(compare, "u binary, v binary, node long")
 
 
-def full_sets(keys: DataFrame, count: int, sets: DataFrame, docs: DataFrame, text: str, ids: str, width: int) -> DataFrame:
-    """Rows (key, shingles) for ``count`` distinct keys, built anew from one document of each.
+def full_sets(keys: DataFrame, sets: DataFrame, docs: DataFrame, text: str, ids: str, width: int) -> DataFrame:
+    """Rows (key, shingles) for distinct keys, built anew from one document of each.
 
-    Only those come near a shuffle.
+    The ids of these are a written table, whose bytes the planner knows when it picks the join with the texts.
     """
-    wanted = common.written(sets.select("key", "id").join(keys, "key").select("id").distinct(), "wanted", count)
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    wanted = common.written(sets.select("key", "id").join(keys, "key").select("id").distinct(), "wanted")
     own = docs.select(F.col(ids).alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi")
     full = document_sets(own, "text", "id", width, with_shingles=True).where("n > 0").select("key", "shingles")
     return common.written(full.join(keys, "key", "left_semi").dropDuplicates(["key"]), "full")
@@ -422,8 +419,8 @@ def near_duplicates(
     pairs = common.written(found.where("u IS NOT NULL").select("u", "v").distinct(), "pairs", rows)
     count = pairs.count()
     ends = pairs.select(F.col("u").alias("key")).union(pairs.select(F.col("v").alias("key"))).distinct()
-    full = full_sets(ends, 2 * count, sets, docs, text, ids, width)
-    links = common.written(confirmed(pairs, full, percent), "links", count)
+    full = full_sets(ends, sets, docs, text, ids, width)
+    links = common.written(confirmed(pairs, full, percent), "links")
     parts = common.written(components(links, count), "parts", count)
 
     dense = common.written(found.where("u IS NULL").select("node").distinct(), "dense", 1)
@@ -435,9 +432,9 @@ def near_duplicates(
         )
         cut = common.written(blocks(rest.join(sets.select("key", "n"), "key")), "cut")
         keys = common.written(cut.select("key").distinct(), "keys")
-        full = full_sets(keys, keys.count(), sets, docs, text, ids, width)
+        full = full_sets(keys, sets, docs, text, ids, width)
         more = links_within(cut.join(signed, "key").join(full, "key"), percent)
-        links = common.written(links.union(more), "links", count)
+        links = common.written(links.union(more), "links")
         parts = common.written(components(links, count), "parts", count)
 
     of_set = sets.join(parts, F.col("key") == F.col("vertex"), "left").select(
