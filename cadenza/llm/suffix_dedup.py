@@ -282,12 +282,16 @@ class Entries:
             place = np.concatenate([place, split])
         raw = chunk.data.tobytes()
         stop = start + windows + chunk.length - 1
-        seen: dict[tuple[int, bytes], int] = {}
+        seen: dict[bytes, int] = {}  # equal phrases have one trigger, so one place
         numbered = np.empty(len(start), np.int64)
-        for i, (p, a, b) in enumerate(zip(place.tolist(), start.tolist(), stop.tolist(), strict=True)):
-            numbered[i] = seen.setdefault((p, raw[a:b]), len(seen))
-        own_place = np.fromiter((p for p, _ in seen), np.uint64, len(seen))
-        phrases = [x for _, x in seen]
+        for at in range(0, len(start), 1 << 16):
+            ends = zip(start[at : at + (1 << 16)].tolist(), stop[at : at + (1 << 16)].tolist(), strict=True)
+            for i, (a, b) in enumerate(ends, at):
+                numbered[i] = seen.setdefault(raw[a:b], len(seen))
+        own_place = np.empty(len(seen), np.uint64)
+        own_place[numbered] = place
+        phrases = list(seen)
+        del seen, raw
         order = np.argsort(own_place >> np.uint64(32), kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
@@ -351,19 +355,29 @@ def corpus_order(data: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.n
     return order, new
 
 
+def string_hashes(data: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the strings of ``length`` bytes at the ascending places ``begin``, a segment at a time."""
+    cuts = np.searchsorted(begin, np.arange(0, len(data) + SEGMENT, SEGMENT))
+    parts = [
+        rolling(data[n * SEGMENT : (n + 1) * SEGMENT + length - 1], length)[begin[a:b] - n * SEGMENT]
+        for n, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
+        if a < b
+    ]
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
 def first_documents(phrase: list[bytes], group: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
     """For each phrase the bits of its strings that a smaller document than ``least`` has, lowest bit first."""
-    seen: dict[tuple[int, bytes], int] = {}
-    number = np.fromiter(
-        (seen.setdefault(x, len(seen)) for x in zip(group.tolist(), phrase, strict=True)), np.int64, len(phrase)
-    )
+    seen: dict[bytes, int] = {}  # equal phrases are of one group
+    number = np.fromiter((seen.setdefault(x, len(seen)) for x in phrase), np.int64, len(phrase))
     first = np.full(len(seen), np.iinfo(np.int64).max)
     np.minimum.at(first, number, least)
-    owner = np.fromiter((g for g, _ in seen), np.int64, len(seen))
-    each = np.fromiter((len(p) for _, p in seen), np.int64, len(seen)) - length + 1
+    owner = np.empty(len(seen), np.int64)
+    owner[number] = group
+    each = np.fromiter(map(len, seen), np.int64, len(seen)) - length + 1
     _, of_group, members = np.unique(owner, return_inverse=True, return_counts=True)
     several = members[of_group] > 1  # alone in its group, a phrase is found as a whole or not at all
-    data = np.frombuffer(b"".join(p for (_, p), s in zip(seen, several.tolist(), strict=True) if s), np.uint8)
+    data = np.frombuffer(b"".join(p for p, s in zip(seen, several.tolist(), strict=True) if s), np.uint8)
     del seen
 
     strings = np.where(several, each, 0)
@@ -374,7 +388,7 @@ def first_documents(phrase: list[bytes], group: np.ndarray, least: np.ndarray, l
     begin, from_doc = np.repeat(before, each[own]) + nth, np.repeat(first[own], each[own])
     if len(begin):
         # most suffixes differ from all others already in a hash of their strings, and need no place in the order
-        hashes = rolling(data, length)[begin]
+        hashes = string_hashes(data, begin, length)
         by_hash = np.argsort(hashes)
         same = hashes[by_hash][1:] == hashes[by_hash][:-1]
         met = np.zeros(len(begin), bool)
@@ -437,7 +451,8 @@ def removed_bytes(chunk: Chunk, answers: dict[int, bytes], bits: dict[int, bytes
         at = entries.start[(own >> j) & 1 == 1] + j
         np.add.at(change, at, 1)
         np.add.at(change, at + chunk.length, -1)
-    return np.cumsum(change[: len(chunk.data)]) > 0
+    del entries
+    return np.cumsum(change[: len(chunk.data)], dtype=np.int32) > 0
 
 
 def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:

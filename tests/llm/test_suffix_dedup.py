@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from cadenza.llm import suffix_dedup as sd
@@ -97,3 +98,13 @@ def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     want = plain([(r.doc_id, (r.text or "").encode()) for r in docs], 50)
     assert sorted(map(tuple, sd.op2_suffix_dedup(spark, sf_dir).collect())) == sorted(want)
+
+
+def test_hashes_of_strings_do_not_depend_on_segments(monkeypatch):
+    data = np.random.default_rng(3).integers(0, 4, 1000).astype(np.uint8)
+    begin = np.flatnonzero(np.random.default_rng(4).random(951) < 0.3)
+    whole = sd.rolling(data, 50)[begin]
+    for segment in (1, 7, 64, 950, 951, 1000, 5000):
+        monkeypatch.setattr(sd, "SEGMENT", segment)
+        assert (sd.string_hashes(data, begin, 50) == whole).all()
+    assert len(sd.string_hashes(data, begin[:0], 50)) == 0
