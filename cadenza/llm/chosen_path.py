@@ -350,8 +350,10 @@ def links_within(members: DataFrame, percent: int) -> DataFrame:
         shingles = table["shingles"].combine_chunks()
         codes, often = np.unique(shingles.flatten().to_numpy(), return_inverse=True, return_counts=True)[1:]
         codes = np.argsort(np.argsort(often, kind="stable"))[codes]  # rare ones first
-        ends, owner = np.cumsum(sizes), np.repeat(np.arange(len(key)), sizes)
-        codes = codes[np.lexsort([codes, owner])]
+        ends, owner = np.cumsum(sizes), np.repeat(np.arange(len(key), dtype=np.int32), sizes)
+        codes |= owner.astype(np.int64) << 32  # so that one sort in place orders each set's codes
+        codes.sort()
+        codes = (codes & 0xFFFFFFFF).astype(np.int32)
         rarest = sizes + (-percent * sizes) // 100 + 1
         head = np.arange(len(codes)) - np.repeat(ends - sizes, sizes) < np.repeat(rarest, sizes)
         by_code = np.argsort(codes[head], kind="stable")
