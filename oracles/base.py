@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import re
 
-from cadenza import constants as K
 from cadenza.sources import star_mapping as M
 
+from oracles import values as K
+
 TODAY = f"DATE '{M.AS_OF}'"
 
 
@@ -32,7 +33,7 @@ def quote(v) -> str:
 
 
 def ladder(x: str, steps: list, test: str, missing=None) -> str:
-    """CASE over a band list of ``cadenza.constants``."""
+    """CASE over a band list of ``oracles.values``."""
     out = "CASE"
     if missing is not None:
         out += f" WHEN {x} IS NULL THEN {quote(missing)}"

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 
-from cadenza import constants as K
 from cadenza import quality_specs, schemas
 from cadenza.catalog import ROUNDED
 from cadenza.sources import star_batches as B
 from cadenza.sources import star_mapping as M
 
+from oracles import values as K
 from oracles.base import TODAY, X, assemble, listed, quote, r, s
 
 SQL: dict[str, str] = {}

@@ -9,10 +9,12 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from cadenza import catalog
-from oracles import ORACLES
+from cadenza import catalog, constants
+from cadenza.functions import activity
+from oracles import ORACLES, base, queries, values
 
 SOME = """
     src_goals_csv norm_activities norm_calendar norm_weather norm_daily_health norm_forecast
@@ -55,6 +57,38 @@ def test_every_query_of_the_library_has_its_sql():
     assert {*driver.oracle_sql()} <= {*driver.queries()}
 
 
+def test_expected_values_are_stated_apart():
+    for module in (base, queries):
+        assert module.K is values
+        assert not any(x is constants for x in vars(module).values())
+
+
+BANDS = {
+    "PACE_ZONES": (activity.pace_zone, lambda: base.ladder("x", values.PACE_ZONES, "<", "no_data")),
+    "HR_ZONES": (activity.hr_zone, lambda: base.ladder("x", values.HR_ZONES, "<", "no_hr_data")),
+    "TERRAINS": (activity.terrain, lambda: base.ladder("x", values.TERRAINS, "<", "unknown")),
+    "DISTANCE_BANDS": (activity.distance_category, lambda: base.distance_class("x")),
+}
+
+
+@pytest.mark.parametrize("name", BANDS)
+def test_a_changed_band_shows(spark, monkeypatch, name):
+    own, expected = BANDS[name]
+    bounds = [b for _, *limits in getattr(values, name) for b in limits if b is not None]
+    points = sorted({float(b) + d for b in [0, *bounds] for d in (-0.25, -0.01, 0, 0.01, 0.25)})
+    frame = spark.createDataFrame([(None,), *[(x,) for x in points]], "x double")
+    rows = ", ".join(f"({x!r}::DOUBLE)" for x in points)
+    theirs = dict(duckdb.sql(f"SELECT x, {expected()} FROM (VALUES (NULL), {rows}) t(x)").fetchall())
+
+    def ours():
+        return {r.x: r.y for r in frame.select("x", own(F.col("x")).alias("y")).collect()}
+
+    assert ours() == theirs
+    label, *limits = getattr(constants, name)[0]
+    monkeypatch.setattr(constants, name, [(label, *[b + 0.2 for b in limits]), *getattr(constants, name)[1:]])
+    assert ours() != theirs
+
+
 def test_entry_has_rows(spark):
     assert driver.entry(spark).count() > 0
 
