@@ -29,12 +29,11 @@ def _mean_where(keep: Column, column: str) -> Column:
     return F.avg(F.when(keep, c(column)))
 
 
-def load_context(training: DataFrame) -> DataFrame:
-    """Newest 4 weeks against the 4 before: volume, load, pace, ACWR and zone split."""
-    weeks = newest_ranked(training, 8, c("week_start_date").desc())
+@reusable
+def _load_means() -> list[Column]:
     acute, chronic = c("rank") <= 4, c("rank") > 4
     zones = _mean_where(acute, "pct_zone1_easy") + _mean_where(acute, "pct_zone2_moderate")
-    means = weeks.groupBy(ATHLETE).agg(
+    return [
         _mean_where(acute, "total_distance_km").alias("_km"),
         _mean_where(acute, "total_training_load").alias("_load"),
         F.coalesce(
@@ -43,10 +42,13 @@ def load_context(training: DataFrame) -> DataFrame:
         F.max(F.when(c("rank") == 1, c("total_training_load"))).alias("_now"),
         _mean_where(acute, "avg_pace_min_per_km").alias("_pace"),
         zones.alias("_easy"),
-    )
+    ]
+
+
+@reusable
+def _load_columns() -> list[Column]:
     trend = F.when(c("_base") > 0, (c("_load") - c("_base")) / c("_base") * 100)
-    return means.select(
-        ATHLETE,
+    return [
         rnd_agg(c("_km"), 1).alias("avg_weekly_km"),
         rnd_agg(c("_load"), 1).alias("avg_weekly_load"),
         rnd_agg(F.coalesce(trend, F.lit(0.0)), 1).alias("load_trend_pct"),
@@ -56,18 +58,20 @@ def load_context(training: DataFrame) -> DataFrame:
         rnd_agg(c("_pace"), 2).alias("avg_pace_min_per_km"),
         rnd_agg(c("_easy"), 1).alias("pct_easy"),
         rnd_agg(100.0 - c("_easy"), 1).alias("pct_hard"),
-    )
+    ]
 
 
-def health_context(health: DataFrame) -> DataFrame:
-    """Means of the newest 7 days and the HRV trend against the newest 28.
+def load_context(training: DataFrame) -> DataFrame:
+    """Newest 4 weeks against the 4 before: volume, load, pace, ACWR and zone split."""
+    weeks = newest_ranked(training, 8, c("week_start_date").desc())
+    return weeks.groupBy(ATHLETE).agg(*_load_means()).select(ATHLETE, *_load_columns())
 
-    ``avg_readiness`` is the mean of a text label, which has no numbers: always null.
-    """
-    days = newest_ranked(health, 28, c("date").desc())
+
+@reusable
+def _health_means() -> list[Column]:
     week = c("rank") <= 7
     label = F.when(week, c("training_readiness").try_cast("double"))
-    means = days.groupBy(ATHLETE).agg(
+    return [
         _mean_where(week, "total_sleep_hours").alias("_sleep"),
         _mean_where(week, "hrv_numeric").alias("_hrv"),
         F.avg("hrv_numeric").alias("_hrv_28"),
@@ -75,10 +79,13 @@ def health_context(health: DataFrame) -> DataFrame:
         _mean_where(week, "average_stress_level").alias("_stress"),
         _mean_where(week, "recovery_score").alias("_score"),
         F.avg(label).alias("_readiness"),
-    )
+    ]
+
+
+@reusable
+def _health_columns() -> list[Column]:
     trend = F.when(c("_hrv_28") > 0, (c("_hrv") - c("_hrv_28")) / c("_hrv_28") * 100)
-    return means.select(
-        ATHLETE,
+    return [
         rnd_agg(F.coalesce("_sleep", F.lit(0.0)), 1).alias("avg_sleep_hours"),
         rnd_agg(c("_hrv"), 1).alias("avg_hrv"),
         rnd_agg(trend, 1).alias("hrv_trend_pct"),
@@ -86,7 +93,16 @@ def health_context(health: DataFrame) -> DataFrame:
         rnd_agg(c("_stress"), 0).alias("avg_stress"),
         rnd_agg(c("_score"), 0).alias("avg_recovery_score"),
         rnd_agg(c("_readiness"), 0).alias("avg_readiness"),
-    )
+    ]
+
+
+def health_context(health: DataFrame) -> DataFrame:
+    """Means of the newest 7 days and the HRV trend against the newest 28.
+
+    ``avg_readiness`` is the mean of a text label, which has no numbers: always null.
+    """
+    days = newest_ranked(health, 28, c("date").desc())
+    return days.groupBy(ATHLETE).agg(*_health_means()).select(ATHLETE, *_health_columns())
 
 
 def race_context(race: DataFrame) -> DataFrame:
@@ -240,12 +256,17 @@ def alert(context: DataFrame, name: str) -> DataFrame:
     )
 
 
-def alerts(context: DataFrame) -> DataFrame:
-    """All alerts, red before yellow, each in rule order."""
+@reusable
+def _raised() -> Column:
     raised = F.array_compact(F.array(*[rule() for rule in ALERTS.values()]))
     red = F.filter(raised, lambda a: a["level"] == "red")
     rest = F.filter(raised, lambda a: a["level"] != "red")
-    listed = context.select(ATHLETE, F.posexplode(F.concat(red, rest)).alias("position", "a"))
+    return F.posexplode(F.concat(red, rest)).alias("position", "a")
+
+
+def alerts(context: DataFrame) -> DataFrame:
+    """All alerts, red before yellow, each in rule order."""
+    listed = context.select(ATHLETE, _raised())
     return listed.select(ATHLETE, "position", "a.level", "a.emoji", "a.message").orderBy(
         ATHLETE, "position"
     )

@@ -9,6 +9,7 @@ from cadenza import constants as K
 from cadenza.functions import text as T
 from cadenza.functions import weather as W
 from cadenza.functions.numeric import ratio, rnd, rnd_agg
+from cadenza.functions.reuse import reusable
 from cadenza.operators.windows import newest
 
 c = F.col
@@ -94,8 +95,8 @@ def rain_impact(runs: DataFrame) -> DataFrame:
     return _impact(runs, *_rain())
 
 
-def weather_summary(runs: DataFrame) -> DataFrame:
-    """The whole text per athlete, null below five runs. One aggregate per athlete."""
+@reusable
+def _summary_sums() -> list[Column]:
     buckets = {}
     for i, (label, _, _) in enumerate(K.TEMP_BUCKETS):
         inside = W.temp_bucket(c("temp")) == label
@@ -103,18 +104,21 @@ def weather_summary(runs: DataFrame) -> DataFrame:
         buckets[f"_p{i}"] = F.avg(F.when(inside, c("pace")))
     wind, n_windy, n_calm = _contrast(*_wind())
     rain, n_wet, n_dry = _contrast(*_rain())
-    found = runs.groupBy(ATHLETE).agg(
+    return [
         F.count("*").alias("n_runs"),
         *[e.alias(n) for n, e in buckets.items()],
         F.when((n_windy >= MIN_GROUP) & (n_calm >= MIN_GROUP), wind).alias("_wind"),
         F.when((n_wet >= MIN_GROUP) & (n_dry >= MIN_GROUP), rain).alias("_rain"),
-    )
+    ]
+
+
+@reusable
+def _summary_text() -> Column:
     bucket_lines = [
         F.when(c(f"_n{i}") >= MIN_GROUP, _bucket_line(F.lit(label), c(f"_p{i}"), c(f"_n{i}")))
         for i, (label, _, _) in enumerate(K.TEMP_BUCKETS)
     ]
 
-
     def impact_line(template: str, diff: Column) -> Column:
         size = T.fixed(F.abs(rnd_agg(diff, 0)), 0)
         return T.fill(template, {"size": size, "direction": _direction(diff)})
@@ -127,9 +131,12 @@ def weather_summary(runs: DataFrame) -> DataFrame:
         impact_line(K.WEATHER_WIND, c("_wind")),
         impact_line(K.WEATHER_RAIN, c("_rain")),
     )
-    return found.select(
-        ATHLETE, "n_runs", F.when(c("n_runs") >= MIN_RUNS, text).alias("summary")
-    )
+    return F.when(c("n_runs") >= MIN_RUNS, text).alias("summary")
+
+
+def weather_summary(runs: DataFrame) -> DataFrame:
+    """The whole text per athlete, null below five runs. One aggregate per athlete."""
+    return runs.groupBy(ATHLETE).agg(*_summary_sums()).select(ATHLETE, "n_runs", _summary_text())
 
 
 def forecast_lines(forecast: DataFrame) -> DataFrame:
