@@ -45,6 +45,58 @@ def rows(df):
     return sorted(str(tuple(round(v, 6) if isinstance(v, float) else v for v in r)) for r in df.collect())
 
 
+def stored_plan(monkeypatch, write, source):
+    """Plan of the rows that a write hands to the table."""
+    plans = []
+    add = build.MartTable._add
+
+    def seen(table, df, order, *args, **how):
+        plans.append(plan(df.sortWithinPartitions(table.BUCKET, *order)))
+        add(table, df, order, *args, **how)
+
+    monkeypatch.setattr(build.MartTable, "_add", seen)
+    write(source, new_path(source.sparkSession, "mart"))
+    return plans[0]
+
+
+def test_windows_of_the_health_mart_share_one_sort(table, days):
+    mart = health.mart_health(staging.stage_health(table("daily_health", days)))
+    assert plan(mart).count("Sort [") == 1
+
+
+def test_the_health_mart_is_stored_with_one_shuffle_of_raw_days(monkeypatch, table, days):
+    text = stored_plan(monkeypatch, build.write_health, table("daily_health", days))
+    assert text.count("Exchange") == 1 and text.count("Sort [") == 1
+    below = text[text.index("Exchange") :]
+    assert "rangepartitioning" in below and "sleep_quality" not in below
+
+
+def test_the_weekly_mart_is_not_shuffled_again_to_be_stored(monkeypatch, table, run_row):
+    runs = [run_row(athlete_id=a, activity_id=f"{a}{i}") for a in (None, 1, 2) for i in range(3)]
+    staged = staging.stage_activities(table("activities", runs))
+    text = stored_plan(monkeypatch, build.write_training, staged)
+    assert text.count("Exchange rangepartitioning") == 1 and text.count("Exchange") == 2
+    assert text.count("Sort [") == 1
+
+
+def test_dealt_marts_hold_the_same_rows(spark, table, days, run_row):
+    raw, path = table("daily_health", days), new_path(spark, "mart")
+    build.write_health(raw, path)
+    straight = health.mart_health(staging.stage_health(raw))
+    stored = build.read_mart(spark, path)
+    assert stored.columns == straight.columns and rows(stored) == rows(straight)
+    assert rows(build.read_mart(spark, path, [2, 11])) == rows(straight.filter("athlete_id IN (2, 11)"))
+
+    runs = [
+        run_row(athlete_id=a, activity_id=f"{a}-{i}", activity_date=f"2025-0{1 + i % 3}-0{1 + i % 9} 07:30:00")
+        for a in (None, 1, 2, 11)
+        for i in range(30)
+    ]
+    staged, path = staging.stage_activities(table("activities", runs)), new_path(spark, "mart")
+    build.write_training(staged, path)
+    assert rows(build.read_mart(spark, path)) == rows(training.mart_training(staged))
+
+
 RECORDS = [
     record(1, "2025-03-05", 1, {"totalSteps": 10}, {"lastNightAvg": 50.0, "status": "LOW"}),
     record(1, "2025-03-06", 1, {"totalSteps": 20}, sleep={"dailySleepDTO": {"sleepTimeSeconds": 700}}),
