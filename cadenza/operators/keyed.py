@@ -213,7 +213,9 @@ class MonthTable(VersionedTable):
         """Store rows of unseen keys. Nothing stored is rewritten."""
         require_unique(batch, self.keys)
         with self.load():
-            self._store(stamp(new_rows(self.known_keys(batch), batch, self.keys), loaded_at))
+            if self._open.parts:  # else there is no key to hold the batch against
+                batch = new_rows(self.known_keys(batch), batch, self.keys)
+            self._store(stamp(batch, loaded_at))
 
     def backfill_weather(self, batch: DataFrame, loaded_at: dt.datetime) -> None:
         """Fill weather where it is missing, in the months that have such rows."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cadenza import schemas
 from cadenza.operators.keyed import MonthTable
-from cadenza.operators.shaping import latest_per_key
+from cadenza.operators.shaping import latest_per_key, repeats
 from cadenza.sources import landed
 
 # A landed record carries the number of its fetch; of one key the last fetch counts.
@@ -60,13 +60,9 @@ def load_activities(table: MonthTable, records: DataFrame, loaded_at: dt.datetim
 
 def load_health(table: MonthTable, records: DataFrame, loaded_at: dt.datetime) -> None:
     """Insert unseen days; a stored day is not touched again."""
-    last = latest_per_key(records, ["athlete_id", "date"], "fetch")
-
-    def part(name: str) -> DataFrame:
-        return last.filter(F.col(name).isNotNull()).select("athlete_id", "date", f"{name}.*")
-
-    days = landed.normalise_daily_health(part("stats"), part("hrv"), part("sleep"))
-    table.insert_new(table.stage(days), loaded_at)
+    if repeats(records, ["athlete_id", "date"]):
+        records = table.stage(latest_per_key(records, ["athlete_id", "date"], "fetch"))
+    table.insert_new(landed.normalise_health_records(records), loaded_at)
 
 
 def load_calendar(table: MonthTable, records: DataFrame, loaded_at: dt.datetime) -> None:

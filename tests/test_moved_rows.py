@@ -97,6 +97,10 @@ def test_dealt_marts_hold_the_same_rows(spark, table, days, run_row):
     assert rows(build.read_mart(spark, path)) == rows(training.mart_training(staged))
 
 
+def record(athlete, day, fetch, stats=None, hrv=None, sleep=None):
+    return {"athlete_id": athlete, "date": dt.date.fromisoformat(day), "fetch": fetch, "stats": stats, "hrv": hrv, "sleep": sleep}
+
+
 RECORDS = [
     record(1, "2025-03-05", 1, {"totalSteps": 10}, {"lastNightAvg": 50.0, "status": "LOW"}),
     record(1, "2025-03-06", 1, {"totalSteps": 20}, sleep={"dailySleepDTO": {"sleepTimeSeconds": 700}}),
@@ -104,6 +108,39 @@ RECORDS = [
 ]
 
 
+def test_a_record_with_all_payloads_needs_no_join(spark):
+    records = spark.createDataFrame(RECORDS, ingest.HEALTH_RECORD)
+
+    def part(name):
+        return records.filter(f"{name} IS NOT NULL").select("athlete_id", "date", f"{name}.*")
+
+    found = landed.normalise_health_records(records)
+    assert "Join" not in plan(found) and "Exchange" not in plan(found)
+    joined = landed.normalise_daily_health(part("stats"), part("hrv"), part("sleep"))
+    assert found.schema == joined.schema and rows(found) == rows(joined) and len(rows(found)) == 2
+
+
+def test_health_records_are_reduced_only_if_a_day_comes_twice(spark, monkeypatch):
+    reduced = []
+    latest = ingest.latest_per_key
+    monkeypatch.setattr(ingest, "latest_per_key", lambda *a: reduced.append(a[1:]) or latest(*a))
+    again = record(1, "2025-03-05", 2, {"totalSteps": 11})
+    for batch, steps, times in ((RECORDS, {10, 20}, 0), ([*RECORDS, again], {11, 20}, 1)):
+        stored = ingest.raw_table(spark, new_path(spark, "days"), "daily_health")
+        ingest.load_health(stored, spark.createDataFrame(batch, ingest.HEALTH_RECORD), LOADED)
+        assert {r.steps for r in stored.read().collect()} == steps and len(reduced) == times
+
+
+def test_the_first_load_is_held_against_nothing(spark, table, days, monkeypatch):
+    stored = ingest.raw_table(spark, new_path(spark, "days"), "daily_health")
+    batch = table("daily_health", [d for d in days if d["athlete_id"]]).drop("inserted_at", "updated_at")
+    with monkeypatch.context() as m:
+        m.setattr(stored, "known_keys", lambda *a: pytest.fail("an empty table has no keys"))
+        stored.insert_new(batch, LOADED)
+    stored.insert_new(batch, LOADED)
+    assert stored.read().count() == batch.count()
+
+
 def test_data_tests_build_only_tables_that_they_name(spark, sf_dir):
     t = Tables(spark, sf_dir)
     chosen = [x for x in quality_specs.TESTS if x.kind == "expression"]
