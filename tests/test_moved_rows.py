@@ -141,6 +141,10 @@ def test_the_first_load_is_held_against_nothing(spark, table, days, monkeypatch)
     assert stored.read().count() == batch.count()
 
 
+def test_health_days_are_summed_once(spark, sf_dir):
+    assert "Join" not in plan(Tables(spark, sf_dir).keyed_health)
+
+
 def test_data_tests_build_only_tables_that_they_name(spark, sf_dir):
     t = Tables(spark, sf_dir)
     chosen = [x for x in quality_specs.TESTS if x.kind == "expression"]
