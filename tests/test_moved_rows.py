@@ -141,6 +141,17 @@ def test_the_first_load_is_held_against_nothing(spark, table, days, monkeypatch)
     assert stored.read().count() == batch.count()
 
 
+def test_forecast_days_are_dealt_out_before_they_are_ordered(spark):
+    daily = {"time": ["2025-03-05"], "temperature_2m_min": [1.0], "temperature_2m_max": [5.0],
+             "precipitation_sum": [0.0], "windspeed_10m_max": [3.0], "weathercode": [0]}
+    payload = spark.createDataFrame([{"athlete_id": 1, "city": "A", "daily": daily}], schemas.FORECAST_PAYLOAD)
+    found = landed.normalise_forecast(payload)
+    text = plan(found)  # reads upwards: the last exchange in it comes first
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "Aggregate" not in text[text.rindex("Exchange hashpartitioning") :]
+    assert found.count() == 1
+
+
 def test_health_days_are_summed_once(spark, sf_dir):
     assert "Join" not in plan(Tables(spark, sf_dir).keyed_health)
 
