@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from cadenza import quality_specs, schemas
+from cadenza import catalog, quality_specs, schemas
 from cadenza.catalog import Tables
 from cadenza.plans import build, health, staging, training
 from cadenza.session import new_path
@@ -162,3 +162,9 @@ def test_data_tests_build_only_tables_that_they_name(spark, sf_dir):
     assert set(t.tested(chosen)) == {"stg_health", "int_unified", "stg_activities"}
     assert not any(name.startswith("gold") for name in vars(t))
     assert set(t.tested(quality_specs.TESTS)) == set(Tables.TESTED)
+
+
+def test_payloads_are_read_once(spark, sf_dir):
+    """No filter of the joins reads the JSON again to find a missing key."""
+    text = plan(catalog.run("norm_daily_health", spark, sf_dir))
+    assert "from_json" in text and not any("from_json" in line for line in text.split("\n") if "Filter" in line)
