@@ -6,6 +6,7 @@ import pytest
 
 from cadenza import catalog, quality_specs, schemas
 from cadenza.catalog import Tables
+from cadenza.operators import layout
 from cadenza.plans import build, health, staging, training
 from cadenza.session import new_path
 from cadenza.sources import landed
@@ -97,6 +98,42 @@ def test_dealt_marts_hold_the_same_rows(spark, table, days, run_row):
     assert rows(build.read_mart(spark, path)) == rows(training.mart_training(staged))
 
 
+def test_tasks_of_the_dealt_marts_grow_with_their_rows(spark, monkeypatch, table, days, run_row):
+    raw = table("daily_health", days)
+    straight = rows(health.mart_health(staging.stage_health(raw)))
+    runs = [run_row(athlete_id=a, activity_id=f"{a}-{i}") for a in (None, 1, 2, 11) for i in range(30)]
+    staged = staging.stage_activities(table("activities", runs))
+    assert layout.enough_tasks(raw) == ()  # as many as the session says
+    monkeypatch.setattr(layout, "ROWS_A_TASK", 10)
+    for write, source in ((build.write_health, raw), (build.write_training, staged)):
+        with monkeypatch.context() as m:
+            text = stored_plan(m, write, source)
+        assert f", {source.count() // 10}), REPARTITION_BY_NUM" in text
+    path = new_path(spark, "mart")
+    build.write_health(raw, path)
+    assert rows(build.read_mart(spark, path)) == straight
+
+
+def test_tasks_that_sum_health_days_grow_with_the_lines(spark, monkeypatch):
+    path = new_path(spark, "star")
+    day = "TIMESTAMP_NTZ '2000-01-01' AS o_orderdate"
+    orders = ["id AS o_orderkey", "id % 90 AS o_custkey", day, "'x' AS o_orderpriority"]
+    spark.range(60).selectExpr(*orders).write.parquet(f"{path}/orders.parquet")
+    shipped = "date_add(DATE '2000-01-01', CAST(id % 7 AS INT))"
+    lines = spark.range(200).selectExpr("id % 61 AS l_orderkey", f"{shipped} AS l_shipdate", "id % 5 + 1e0 AS l_quantity")
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = Tables(spark, path)._health_days()
+        monkeypatch.setattr(layout, "ROWS_A_TASK", 10)
+        many = Tables(spark, path)._health_days()
+        text = plan(many)
+        assert text.count(", 20)") == text.count("Exchange hashpartitioning") == 3
+        assert rows(many) == rows(few) and many.count() > 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def record(athlete, day, fetch, stats=None, hrv=None, sleep=None):
     return {"athlete_id": athlete, "date": dt.date.fromisoformat(day), "fetch": fetch, "stats": stats, "hrv": hrv, "sleep": sleep}
 
