@@ -9,7 +9,7 @@ from cadenza.catalog import Tables
 from cadenza.operators import layout
 from cadenza.plans import build, health, staging, training
 from cadenza.session import new_path
-from cadenza.sources import landed
+from cadenza.sources import landed, star
 from cadenza.streaming import ingest
 
 LOADED = dt.datetime(2025, 3, 20, 6)
@@ -134,6 +134,39 @@ def test_tasks_that_sum_health_days_grow_with_the_lines(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.fixture(scope="module")
+def star_dir(spark):
+    """Orders and lines with repeated and missing keys, of some athletes and days."""
+    path = new_path(spark, "star")
+    day = "TIMESTAMP_NTZ '2000-01-01' AS o_orderdate"
+    customer = "IF(id % 29 = 0, NULL, id * 7 % 400) AS o_custkey"
+    spark.range(300).selectExpr("id % 280 AS o_orderkey", customer, day, "'x' AS o_orderpriority").write.parquet(f"{path}/orders.parquet")
+    shipped = "date_add(DATE '2001-04-20', CAST(id * 3 % 100 AS INT)) AS l_shipdate"
+    lines = spark.range(2000).selectExpr("IF(id % 31 = 0, NULL, id % 290) AS l_orderkey", shipped, "id % 5 + 1e0 AS l_quantity")
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    return path
+
+
+@pytest.mark.parametrize(
+    "name, left",
+    [
+        ("ck_battery_label", "WindowGroupLimit"),
+    ],
+)
+def test_a_query_of_the_health_mart_says_the_same_in_many_tasks(spark, monkeypatch, star_dir, name, left):
+    """Its mart is made of one shuffle of raw days, to as many tasks as they need, and the query shuffles little of it."""
+    few = rows(catalog.run(name, spark, star_dir))
+    monkeypatch.setattr(star, "_written", {})
+    monkeypatch.setattr(layout, "ROWS_A_TASK", 100)
+    found = []
+    text = stored_plan(monkeypatch, lambda *_: found.append(catalog.run(name, spark, star_dir)), spark.range(1))
+    tasks = -(-Tables(spark, star_dir).daily_health.count() // 100)
+    assert tasks > 4 and text.count("Exchange") == 1 and f", {tasks}), REPARTITION_BY_NUM" in text
+    read = plan(found[0])  # reads upwards: the last exchange in it comes first
+    assert left in read[read.rindex("Exchange hashpartitioning") :]
+    assert rows(found[0]) == few and len(few) > 5
+
+
 def record(athlete, day, fetch, stats=None, hrv=None, sleep=None):
     return {"athlete_id": athlete, "date": dt.date.fromisoformat(day), "fetch": fetch, "stats": stats, "hrv": hrv, "sleep": sleep}
 
