@@ -150,6 +150,7 @@ def star_dir(spark):
 @pytest.mark.parametrize(
     "name, left",
     [
+        ("qry_health_kpis", "partial_avg"),
         ("ck_battery_label", "WindowGroupLimit"),
     ],
 )
