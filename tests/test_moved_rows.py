@@ -151,6 +151,7 @@ def star_dir(spark):
     "name, left",
     [
         ("qry_health_kpis", "partial_avg"),
+        ("ctx_hrv_trend", "WindowGroupLimit"),
         ("ck_battery_label", "WindowGroupLimit"),
     ],
 )
