@@ -152,6 +152,7 @@ def star_dir(spark):
     [
         ("qry_health_kpis", "partial_avg"),
         ("ctx_hrv_trend", "WindowGroupLimit"),
+        ("agg_readiness_distribution", "partial_avg"),
         ("ck_battery_label", "WindowGroupLimit"),
     ],
 )
