@@ -48,3 +48,12 @@ def test_marts_do_not_depend_on_the_layout(spark, raw, silver):
             for df in (a, b)
         ]
         assert rows[0] == rows[1] and rows[0]
+
+
+def test_tasks_stay_below_those_for_which_a_shuffle_sorts():
+    from cadenza.operators import layout
+
+    assert layout._tasks(400_000, 12, 200) == ()
+    assert layout._tasks(36_000_000, 12, 200) == (72,)
+    assert layout._tasks(216_000_000, 12, 200) == layout._tasks(171_000_000, 12, 200) == (200,)
+    assert layout._tasks(3_000_000_000, 12, 200) == (2000,)

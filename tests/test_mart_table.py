@@ -118,3 +118,61 @@ def test_marts_after_a_load_equal_a_full_rebuild(spark, table, run_row):
         if changed:
             kept = build.read_mart(spark, f"{out}/{name}", athletes=[5])
             assert kept.filter(F.col("athlete_id") == 5).count() > 0
+
+
+def test_a_rebuild_of_dealt_rows_keeps_the_other_athletes(mart, rows, spark):
+    ids = spark.createDataFrame([(3,), (4,), (99,)], "athlete_id long")
+    fresh = spark.createDataFrame([(4, 0, -1.0), (99, 0, 5.0)], rows.schema)
+    mart.rebuild(mart.deal(fresh, (3,)), ids, dealt=True)
+    kept = rows.filter("athlete_id NOT IN (3, 4)")
+    assert mart.read().columns == rows.columns
+    assert values(mart.read()) == values(kept.unionByName(fresh))
+    mart.rebuild(mart.deal(fresh.limit(0)), ids, dealt=True)
+    assert values(mart.read()) == values(kept)
+    assert values(mart.read(athletes=[5])) == values(rows.filter("athlete_id = 5"))
+
+
+def test_changed_athletes_are_found_once_and_held_against_without_a_shuffle(spark, table, run_row, monkeypatch):
+    """The athletes of an update come from a file, and only narrow or dealt rows are shuffled."""
+    seen = {}
+    monkeypatch.setattr(
+        build.MartTable, "rebuild", lambda self, rows, athletes, dealt=False: seen.update({self.path: (rows, athletes, dealt)})
+    )
+    raw = {n: spark.createDataFrame([], schemas.TABLES[n]) for n in schemas.TABLES}
+    store = ingest.raw_table(spark, new_path(spark, "activities"), "activities")
+    store.replace(activities_of(table, run_row), FIRST)
+    changed = store.changed(0, ["athlete_id"])
+    build.update({**raw, "activities": store.read()}, "/marts", activities=changed)
+    assert set(seen) == {"/marts/mart_training", "/marts/mart_race"}
+    for rows, athletes, _ in seen.values():
+        assert athletes.inputFiles() and sorted(r[0] for r in athletes.collect()) == list(range(1, 9))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi, BuildRight" in plan
+    training, _, dealt = seen["/marts/mart_training"]
+    plan = training._jdf.queryExecution().executedPlan().toString()
+    # runs to their weeks, weeks to their bucket, and the athletes; the wide rows are not dealt out again
+    assert dealt and plan.count("REPARTITION_BY_COL") == 2 and "REBALANCE" not in plan
+    assert "ENSURE_REQUIREMENTS" not in plan.replace("BroadcastExchange", "")
+
+
+def test_the_rebuilt_marts_tables_are_read_where_they_come_from(spark, sf_dir, monkeypatch):
+    """Of the raw tables only the goals, which are read twice, are written before the job."""
+    from cadenza import catalog
+    from cadenza.sources import star
+
+    written = []
+    once = star.StarTables._once
+    monkeypatch.setattr(star.StarTables, "_once", lambda self, name, *how: written.append(name) or once(self, name, *how))
+    got = catalog.run("sink_mart_changes", spark, sf_dir)
+    assert set(written) == {"race_goals", "health-days"}
+    assert values(got) == values(catalog.run("sink_mart_race", spark, sf_dir))
+
+
+def test_projected_tables_are_the_stored_ones(spark, sf_dir):
+    from cadenza.catalog import Tables
+
+    t = Tables(spark, sf_dir)
+    for name, schema in schemas.TABLES.items():
+        made = t.projected(name)
+        assert [(f.name, f.dataType) for f in made.schema] == [(f.name, f.dataType) for f in schema]
+        assert values(made) == values(getattr(t, name))

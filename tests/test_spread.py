@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadenza.operators.windows import newest
-from cadenza.plans import race, staging
+from cadenza.plans import race, staging, training
 
 SEED_ROWS = 400
 
@@ -109,3 +109,20 @@ def test_newest_in_parts_matches_a_sort(busy):
     for athlete in {r.athlete_id for r in rows}:
         expected |= {r.activity_id for r in [r for r in rows if r.athlete_id == athlete][:5]}
     assert {r.activity_id for r in spread.collect()} == expected
+
+
+def test_marts_do_not_depend_on_the_number_of_tasks(busy, table):
+    staged = staging.stage_activities(busy)
+    goals = table("race_goals", [{"athlete_id": 0, "race_date": "2025-01-09", "goal_time_seconds": 3000}])
+
+    def rows(df):
+        return sorted(str(tuple(round(v, 6) if isinstance(v, float) else v for v in r)) for r in df.collect())
+
+    assert rows(race.mart_race(staged, goals, (3,))) == rows(race.mart_race(staged, goals))
+    weeks = training.dealt_mart(staged, lambda w: w.withColumn("b", F.lit(0)).repartitionByRange(3, "b", "athlete_id"), ("b",), (5,))
+    assert rows(weeks.drop("b")) == rows(training.mart_training(staged))
+
+
+def test_days_of_a_busy_athlete_are_dealt_out_in_many_tasks(busy):
+    plan = race.day_context(staging.stage_activities(busy), (7,))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2 and "ENSURE_REQUIREMENTS" not in plan
